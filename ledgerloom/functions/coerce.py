@@ -63,28 +63,26 @@ _ISO = (
 def parse_iso_timestamp(c: Column | str) -> Column:
     """ISO text -> TimestampType instant, NULL when it does not parse.
 
-    One regex pass rewrites a well-formed value into Spark's canonical
-    'yyyy-MM-dd HH:mm:ss.ffffff+HH:MM' form, which ``try_cast`` then checks for
-    calendar validity (Feb 30, hour 24, ... -> NULL).  The regex guard is needed
-    because a bare cast is lenient ('2024', '2024-1-1', '10:00' all parse).
+    The regex guard keeps the accepted set strict (a bare cast takes '2024',
+    '2024-1-1', '10:00').  A well-formed value is rewritten by a short chain of
+    regex replacements - split into fields, fill the missing trailing time
+    fields, default the offset to UTC - into 'yyyy-MM-dd HH:mm:ss.f<offset>',
+    which ``try_cast`` checks for calendar validity (Feb 30, hour 24 -> NULL).
+    The chain is linear (no sub-expression is used twice), so the generated
+    code stays small even when the optimizer inlines it into several operators.
     """
     s = _col(c)
-    parts = F.split(F.regexp_replace(s, _ISO, "$1|$2|$3|$4|$5|$6"), r"\|", -1)
-
-    def part(i: int, default: str) -> Column:
-        return F.coalesce(blank_to_null(F.element_at(parts, i)), F.lit(default))
-
-    day = F.regexp_replace(F.element_at(parts, 1), "-", "")
-    date_txt = F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
-    frac = F.rpad(part(5, "0"), 6, "0")
-    time_txt = F.concat_ws(":", part(2, "00"), part(3, "00"), F.concat(part(4, "00"), F.lit("."), frac))
-    off = part(6, "Z")
-    # +HH -> +HH:00, +HHMM -> +HH:MM, Z -> +00:00
-    off = F.when(off == "Z", F.lit("+00:00")).otherwise(
-        F.regexp_replace(F.regexp_replace(off, r"^([+-]\d{2})$", "$1:00"), r"^([+-]\d{2})(\d{2})$", "$1:$2")
+    x = F.regexp_replace(s, _ISO, "$1|$2|$3|$4|$5|$6")
+    # Fields can only be missing from the right: fill them.
+    x = F.regexp_replace(x, r"^([^|]*)\|\|\|\|\|", "$1|00|00|00|0|")
+    x = F.regexp_replace(x, r"^([^|]*\|\d\d)\|\|\|", "$1|00|00|0")
+    x = F.regexp_replace(x, r"^([^|]*\|\d\d\|\d\d)\|\|", "$1|00|0")
+    x = F.regexp_replace(x, r"^([^|]*\|\d\d\|\d\d\|\d\d)\|\|", "$1|0|")
+    x = F.regexp_replace(x, r"\|$", "|Z")
+    x = F.regexp_replace(
+        x, r"^(\d{4})-?(\d\d)-?(\d\d)\|(\d\d)\|(\d\d)\|(\d\d)\|(\d+)\|(.+)$", "$1-$2-$3 $4:$5:$6.$7$8"
     )
-    canonical = F.concat(date_txt, F.lit(" "), time_txt, off)
-    return F.when(s.rlike(_ISO), canonical.try_cast("timestamp"))
+    return F.when(s.rlike(_ISO), x.try_cast("timestamp"))
 
 
 def utc_date(ts: Column | str) -> Column:

@@ -110,8 +110,16 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
         F.sum("buy_qty").over(within).alias("intra_qty"),
     ).join(segment_carry(legs), ["instrument_id", "segment"])
     empty_frame = (F.col("carry_n") + F.col("intra_n")) == 0
-    prior_cost = F.when(~empty_frame, F.col("carry_cost") + F.coalesce(F.col("intra_cost"), F.lit(0)))
-    prior_qty = F.when(~empty_frame, F.col("carry_qty") + F.coalesce(F.col("intra_qty"), F.lit(0)))
+    # Narrow before adding: two decimal(38,10) sums would make Spark drop to scale 9.
+    cost10, qty4 = "decimal(28,10)", "decimal(28,4)"
+    prior_cost = F.when(
+        ~empty_frame,
+        F.col("carry_cost").cast(cost10) + F.coalesce(F.col("intra_cost"), F.lit(0)).cast(cost10),
+    )
+    prior_qty = F.when(
+        ~empty_frame,
+        F.col("carry_qty").cast(qty4) + F.coalesce(F.col("intra_qty"), F.lit(0)).cast(qty4),
+    )
     realised = F.when(
         _is_sell() & (F.coalesce(prior_qty, F.lit(0)) > 0),
         money.realised_on_sell(F.col("price"), F.col("quantity"), prior_cost, prior_qty),

@@ -39,3 +39,30 @@ def above_watermark(records: DataFrame, mark: dt.datetime | None) -> DataFrame:
     if mark is None:
         return records
     return records.where(F.col("executed_at").isNull() | (F.col("executed_at") > F.lit(mark)))
+
+
+def collapse_batch(records: DataFrame, mark: dt.datetime | None, order_col: str,
+                   key: str = "trade_id") -> DataFrame:
+    """High-water filter and in-batch collapse in one grouped pass, with the accounting.
+
+    One row per key of the feed: ``_last`` = the last (by ``order_col``) row that
+    passes the filter (NULL when every copy was skipped), and the counts
+    n_read / n_skipped / n_candidates.  The filter runs before the collapse: if
+    the last copy is below the mark, the newest copy above it wins.  Every
+    aggregate is partial, so a hot key is combined map-side.
+    """
+    skip = F.lit(False) if mark is None else (
+        F.col("executed_at").isNotNull() & (F.col("executed_at") <= F.lit(mark))
+    )
+    values = [c for c in records.columns if c not in (key, order_col)]
+    return records.withColumn("_skip", skip).groupBy(key).agg(
+        F.max_by(F.struct(*values), F.when(~F.col("_skip"), F.col(order_col))).alias("_last"),
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(F.col("_skip")).alias("n_skipped"),
+        F.count_if(~F.col("_skip")).alias("n_candidates"),
+    )
+
+
+def batch_winners(grouped: DataFrame, key: str = "trade_id") -> DataFrame:
+    """The rows to upsert: one per key that kept at least one copy."""
+    return grouped.where(F.col("n_candidates") > 0).select(key, "_last.*")

@@ -45,3 +45,244 @@ def q_daily_pnl(spark, sf):
 @register("daily_pnl_lineitem")
 def q_daily_pnl_lineitem(spark, sf):
     return comparable(W.lineitem_daily_pnl(spark, sf))
+
+
+# ------------------------------------------------------------------ ingest
+
+import datetime as _dt  # noqa: E402
+
+from ..operators import book as _book  # noqa: E402
+from ..operators import ingest as _ingest  # noqa: E402
+from ..operators import merge as _merge  # noqa: E402
+from ..operators import quality as _quality  # noqa: E402
+from ..operators import watermark as _wm  # noqa: E402
+from ..operators import views as _views  # noqa: E402
+from ..operators.dedup import collapse_duplicates as _collapse  # noqa: E402
+from ..operators.instruments import seed_instruments as _seed  # noqa: E402
+from ..operators.valid import invalid_trades as _invalid  # noqa: E402
+from ..sources import derived as _derived  # noqa: E402
+from . import serve as _serve  # noqa: E402
+
+UTC = _dt.timezone.utc
+# Fixed parameters of the registered queries.
+EVENTS_MARK = _dt.datetime(2024, 1, 15, tzinfo=UTC)
+LINEITEM_MARK = _dt.datetime(1998, 6, 30, tzinfo=UTC)
+LINEITEM_SPLIT = _dt.datetime(1998, 1, 1, tzinfo=UTC)
+SINCE = _dt.date(2024, 1, 16)
+SYMBOL = "AAAAAD"  # instrument 3 of the events dimension (an FX-shaped symbol)
+RUN_START, RUN_END = _dt.date(2024, 1, 5), _dt.date(2024, 1, 20)
+TOP_MONTH = _dt.date(2024, 1, 15)
+HOUR_MICROS = 3_600_000_000
+
+
+@register("coerce_feed")
+def q_coerce_feed(spark, sf):
+    return comparable(W.events_trades(spark, sf))
+
+
+@register("watermark_filter")
+def q_watermark_filter(spark, sf):
+    return comparable(_ingest.above_watermark(W.events_trades(spark, sf), EVENTS_MARK))
+
+
+@register("collapse_duplicates")
+def q_collapse_duplicates(spark, sf):
+    return comparable(W.lineitem_trades(spark, sf))
+
+
+@register("load_metrics")
+def q_load_metrics(spark, sf):
+    grouped = _ingest.collapse_batch(W.lineitem_records(spark, sf), LINEITEM_MARK, "feed_order")
+    return comparable(_quality.load_metrics(grouped, LINEITEM_MARK))
+
+
+@register("advance_watermark")
+def q_advance_watermark(spark, sf):
+    marks = _wm.marks_frame(spark, {
+        "trades_csv": {"watermark_at": LINEITEM_MARK, "rows_loaded": 1000},
+        "other_feed": {"watermark_at": _dt.datetime(2001, 1, 1, tzinfo=UTC), "rows_loaded": 5},
+    })
+    grouped = _ingest.collapse_batch(W.lineitem_records(spark, sf), LINEITEM_MARK, "feed_order")
+    return comparable(_wm.advance(marks, _ingest.batch_winners(grouped), "trades_csv"))
+
+
+def _lineitem_batches(spark, sf):
+    recs = W.lineitem_records(spark, sf)
+    first = recs.where(F.col("executed_at") < F.lit(LINEITEM_SPLIT))
+    second = recs.where(F.col("executed_at") >= F.lit(LINEITEM_SPLIT))
+    landed = [
+        _collapse(b, order_col="feed_order").drop("feed_order").withColumn("ingested_at", F.current_timestamp())
+        for b in (first, second)
+    ]
+    return landed
+
+
+@register("upsert_trades")
+def q_upsert_trades(spark, sf):
+    target, source = _lineitem_batches(spark, sf)
+    return comparable(_merge.merge_upsert(target, source, ["trade_id"], keep_first=["ingested_at"]))
+
+
+@register("upsert_instruments")
+def q_upsert_instruments(spark, sf):
+    return _merge.merge_upsert(W.events_instruments(spark, sf), _seed(spark), ["instrument_id"])
+
+
+@register("upsert_daily_pnl")
+def q_upsert_daily_pnl(spark, sf):
+    valid = W.events_valid(spark, sf)
+    full = _book.daily_pnl(valid)
+    since = _book.daily_pnl(valid, SINCE)
+    return comparable(_merge.merge_upsert(full, since, ["pnl_date", "instrument_id"]))
+
+
+@register("classify_instruments")
+def q_classify_instruments(spark, sf):
+    return W.events_instruments(spark, sf)
+
+
+@register("defect_profile")
+def q_defect_profile(spark, sf):
+    return _quality.defect_profile(_derived.events_feed(spark, sf), W.events_instruments(spark, sf))
+
+
+@register("defect_profile_lineitem")
+def q_defect_profile_lineitem(spark, sf):
+    return _quality.defect_profile(_derived.lineitem_feed(spark, sf), W.lineitem_instruments(spark))
+
+
+@register("invalid_trades")
+def q_invalid_trades(spark, sf):
+    return comparable(_invalid(W.events_trades(spark, sf), W.events_instruments(spark, sf)))
+
+
+# ------------------------------------------------------------------ the book stages
+
+def _events_positions(spark, sf):
+    return _book.positions(W.events_valid(spark, sf))
+
+
+@register("trade_positions")
+def q_trade_positions(spark, sf):
+    return _events_positions(spark, sf).select(
+        "instrument_id", "trade_date", "trade_id", "side", "quantity", "price",
+        "signed_qty", "prior_buy_cost", "prior_buy_qty",
+    )
+
+
+@register("trade_realised")
+def q_trade_realised(spark, sf):
+    return _events_positions(spark, sf).select("trade_id", "instrument_id", "trade_date", "realised_pnl")
+
+
+def _events_days(spark, sf):
+    return _book.running_days(_book.day_totals(_events_positions(spark, sf)))
+
+
+@register("daily_net")
+def q_daily_net(spark, sf):
+    return _events_days(spark, sf).select("instrument_id", "trade_date", "trade_count", "net_qty", "realised_pnl")
+
+
+@register("closing_position")
+def q_closing_position(spark, sf):
+    return _events_days(spark, sf).select(
+        "instrument_id", "trade_date", F.col("closing_position").cast("decimal(18,4)").alias("closing_position")
+    )
+
+
+@register("daily_marks")
+def q_daily_marks(spark, sf):
+    return _events_days(spark, sf).select("instrument_id", "trade_date", "close_price")
+
+
+@register("eod_cost")
+def q_eod_cost(spark, sf):
+    return _events_days(spark, sf).select("instrument_id", "trade_date", "cum_buy_cost", "cum_buy_qty")
+
+
+@register("daily_pnl_since")
+def q_daily_pnl_since(spark, sf):
+    return comparable(W.events_daily_pnl(spark, sf, since=SINCE))
+
+
+@register("daily_pnl_since_carry")
+def q_daily_pnl_since_carry(spark, sf):
+    return comparable(W.events_daily_pnl(spark, sf, since=SINCE, carry_in=True))
+
+
+@register("daily_pnl_hourly_segments")
+def q_daily_pnl_hourly_segments(spark, sf):
+    return comparable(W.lineitem_daily_pnl(spark, sf, segment_micros=HOUR_MICROS))
+
+
+# ------------------------------------------------------------------ views and the read surface
+
+def _events_book(spark, sf):
+    return W.events_daily_pnl(spark, sf), W.events_instruments(spark, sf)
+
+
+def _lineitem_book(spark, sf):
+    return W.lineitem_daily_pnl(spark, sf), W.lineitem_instruments(spark)
+
+
+@register("running_pnl")
+def q_running_pnl(spark, sf):
+    return _views.running_pnl(*_events_book(spark, sf))
+
+
+@register("running_pnl_filtered")
+def q_running_pnl_filtered(spark, sf):
+    return _serve.running_pnl(*_events_book(spark, sf), symbol=SYMBOL, start=RUN_START, end=RUN_END)
+
+
+@register("running_pnl_latest")
+def q_running_pnl_latest(spark, sf):
+    return _serve.running_pnl(*_events_book(spark, sf))
+
+
+@register("running_pnl_lineitem")
+def q_running_pnl_lineitem(spark, sf):
+    return _serve.running_pnl(*_lineitem_book(spark, sf), symbol="AAPL")
+
+
+@register("top_by_month")
+def q_top_by_month(spark, sf):
+    return _views.top_instruments_by_month(*_events_book(spark, sf))
+
+
+@register("top_by_month_lineitem")
+def q_top_by_month_lineitem(spark, sf):
+    return _views.top_instruments_by_month(*_lineitem_book(spark, sf))
+
+
+@register("top_by_month_filtered")
+def q_top_by_month_filtered(spark, sf):
+    return _serve.top_instruments(*_events_book(spark, sf), month=TOP_MONTH, top_n=5)
+
+
+@register("top_by_month_lineitem_top3")
+def q_top_by_month_lineitem_top3(spark, sf):
+    return _serve.top_instruments(*_lineitem_book(spark, sf), top_n=3)
+
+
+@register("instrument_list")
+def q_instrument_list(spark, sf):
+    return _serve.instruments(W.events_instruments(spark, sf))
+
+
+@register("stats")
+def q_stats(spark, sf):
+    trade = W.events_trades(spark, sf)
+    inst = W.events_instruments(spark, sf)
+    valid = W.events_valid(spark, sf)
+    daily = W.events_daily_pnl(spark, sf)
+    marks = _wm.advance(_wm.empty_marks(spark), trade)
+    return comparable(_serve.stats(trade, valid, daily, inst, marks))
+
+
+@register("serving_rows")
+def q_serving_rows(spark, sf):
+    return _serve.to_jsonable(
+        _serve.running_pnl(*_events_book(spark, sf), symbol=SYMBOL, start=RUN_START, end=RUN_END)
+    )

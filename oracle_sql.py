@@ -70,7 +70,7 @@ events_dim AS (SELECT instrument_id, symbol, {_K} AS asset_class, {_C} AS curren
 SEED_DIM = f"""seed_sym AS (SELECT * FROM (VALUES {SEED_SYMBOLS_SQL}) t(instrument_id, symbol)),
 seed_dim AS (SELECT CAST(instrument_id AS INTEGER) AS instrument_id, symbol, {_K} AS asset_class, {_C} AS currency FROM seed_sym)"""
 
-LINEITEM_RAW = """li_raw AS (
+LINEITEM_FEED = """li_feed AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trade_id,
          CAST(l_partkey % 30 + 1 AS INTEGER) AS instrument_id,
          CASE WHEN l_returnflag = 'N' THEN 'BUY' WHEN l_returnflag = 'R' THEN 'sell'
@@ -79,14 +79,22 @@ LINEITEM_RAW = """li_raw AS (
          CAST(l_extendedprice AS DECIMAL(18,6)) AS price,
          l_shipdate AS executed_at,
          'lineitem.parquet' AS source_file,
-         row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
-                                     l_extendedprice DESC, l_quantity DESC) AS last_rank,
-         count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies
+         l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity
   FROM lineitem)"""
 
-LINEITEM_TRADES = """li_trades AS (
-  SELECT trade_id, instrument_id, side, quantity, price, executed_at, source_file FROM li_raw WHERE last_rank = 1)"""
+LAST_FIRST = "ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC"
+TRADE_COLS = "trade_id, instrument_id, side, quantity, price, executed_at, source_file"
+
+
+def last_copy(name: str, src: str, where: str = "TRUE") -> str:
+    """One row per trade_id of ``src`` rows passing ``where``: the last in feed order."""
+    return f"""{name} AS (
+  SELECT {TRADE_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY trade_id {LAST_FIRST}) AS last_rank FROM {src} WHERE {where})
+  WHERE last_rank = 1)"""
+
+
+LINEITEM_TRADES = last_copy("li_trades", "li_feed")
 
 
 def valid_cte(name: str, trades: str, dim: str) -> str:
@@ -140,16 +148,146 @@ def book_ctes(clean: str, p: str = "b") -> list[str]:
 
 
 EV_BASE = [EVENTS_FEED, EVENTS_DIM, valid_cte("ev_valid", "events_feed", "events_dim")]
-LI_BASE = [LINEITEM_RAW, LINEITEM_TRADES, SEED_DIM, valid_cte("li_valid", "li_trades", "seed_dim")]
+LI_BASE = [LINEITEM_FEED, LINEITEM_TRADES, SEED_DIM, valid_cte("li_valid", "li_trades", "seed_dim")]
 
 
 def _q(ctes: list[str], select: str) -> str:
     return with_(*ctes) + "\n" + select
 
 
+PNL_COLS = ("pnl_date, instrument_id, trade_count, closing_position, avg_cost, close_price, "
+            "realised_pnl, unrealised_pnl")
+
+EVENTS_MARK = "TIMESTAMP '2024-01-15 00:00:00'"
+LINEITEM_MARK = "TIMESTAMP '1998-06-30 00:00:00'"
+LINEITEM_SPLIT = "TIMESTAMP '1998-01-01 00:00:00'"
+SINCE = "DATE '2024-01-16'"
+
+
+def running_view(daily: str, dim: str, name: str = "run_view") -> str:
+    return f"""{name} AS (
+  SELECT d.pnl_date, d.instrument_id, i.symbol, i.asset_class, d.trade_count, d.closing_position,
+         d.avg_cost, d.close_price, d.realised_pnl, d.unrealised_pnl,
+         CAST(SUM(d.realised_pnl) OVER w AS DECIMAL(28,6)) AS cumulative_realised_pnl,
+         CAST(SUM(d.realised_pnl) OVER w + d.unrealised_pnl AS DECIMAL(29,6)) AS total_pnl
+  FROM {daily} d JOIN {dim} i ON i.instrument_id = d.instrument_id
+  WINDOW w AS (PARTITION BY d.instrument_id ORDER BY d.pnl_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def monthly_view(daily: str, dim: str, name: str = "top_view") -> str:
+    return f"""{name}_m AS (
+  SELECT CAST(date_trunc('month', d.pnl_date) AS DATE) AS month, d.instrument_id, i.symbol, i.asset_class,
+         CAST(SUM(d.realised_pnl) AS DECIMAL(28,6)) AS realised_pnl, CAST(SUM(d.trade_count) AS BIGINT) AS trade_count
+  FROM {daily} d JOIN {dim} i ON i.instrument_id = d.instrument_id
+  GROUP BY 1, 2, 3, 4),
+{name} AS (SELECT *, RANK() OVER (PARTITION BY month ORDER BY realised_pnl DESC) AS pnl_rank FROM {name}_m)"""
+
+
 def build() -> dict[str, str]:
     out: dict[str, str] = {}
+    ev_book = EV_BASE + book_ctes("ev_valid")
+    li_book = LI_BASE + book_ctes("li_valid")
+
     out["valid_trades"] = _q(EV_BASE, "SELECT * FROM ev_valid")
-    out["daily_pnl"] = _q(EV_BASE + book_ctes("ev_valid"), "SELECT * FROM b_pnl")
-    out["daily_pnl_lineitem"] = _q(LI_BASE + book_ctes("li_valid"), "SELECT * FROM b_pnl")
+    out["daily_pnl"] = _q(ev_book, "SELECT * FROM b_pnl")
+    out["daily_pnl_lineitem"] = _q(li_book, "SELECT * FROM b_pnl")
+
+    # ingest
+    out["coerce_feed"] = _q([EVENTS_FEED], "SELECT * FROM events_feed")
+    out["watermark_filter"] = _q(
+        [EVENTS_FEED], f"SELECT * FROM events_feed WHERE executed_at IS NULL OR executed_at > {EVENTS_MARK}")
+    out["collapse_duplicates"] = _q([LINEITEM_FEED, LINEITEM_TRADES], "SELECT * FROM li_trades")
+    cand = f"executed_at IS NULL OR executed_at > {LINEITEM_MARK}"
+    out["load_metrics"] = _q([LINEITEM_FEED, last_copy("li_win", "li_feed", cand)], f"""
+SELECT (SELECT count(*) FROM li_feed) AS rows_read,
+       (SELECT count(*) FROM li_win) AS rows_upserted,
+       (SELECT count(*) FROM li_feed WHERE NOT ({cand})) AS rows_skipped_by_watermark,
+       (SELECT count(*) FROM li_feed WHERE {cand}) - (SELECT count(*) FROM li_win) AS duplicates_collapsed,
+       {LINEITEM_MARK} AS watermark_before,
+       greatest({LINEITEM_MARK}, (SELECT max(executed_at) FROM li_win)) AS watermark_after""")
+    out["advance_watermark"] = _q([LINEITEM_FEED, last_copy("li_win", "li_feed", cand)], f"""
+SELECT 'other_feed' AS stream, TIMESTAMP '2001-01-01 00:00:00' AS watermark_at, CAST(5 AS BIGINT) AS rows_loaded
+UNION ALL
+SELECT 'trades_csv', greatest({LINEITEM_MARK}, (SELECT max(executed_at) FROM li_win)),
+       CAST(1000 + (SELECT count(*) FROM li_win) AS BIGINT)""")
+    out["upsert_trades"] = _q(
+        [LINEITEM_FEED, last_copy("li_a", "li_feed", f"executed_at < {LINEITEM_SPLIT}"),
+         last_copy("li_b", "li_feed", f"executed_at >= {LINEITEM_SPLIT}")],
+        "SELECT * FROM li_b UNION ALL SELECT * FROM li_a WHERE trade_id NOT IN (SELECT trade_id FROM li_b)")
+    out["upsert_instruments"] = _q(
+        [EVENTS_DIM, SEED_DIM],
+        "SELECT * FROM seed_dim UNION ALL "
+        "SELECT * FROM events_dim WHERE instrument_id NOT IN (SELECT instrument_id FROM seed_dim)")
+    ev_since = valid_cte("ev_since", "events_feed", "events_dim").replace(
+        "AND executed_at IS NOT NULL", f"AND executed_at IS NOT NULL AND CAST(executed_at AS DATE) >= {SINCE}")
+    out["upsert_daily_pnl"] = _q(
+        ev_book + [ev_since] + book_ctes("ev_since", "s"),
+        f"SELECT {PNL_COLS} FROM s_pnl UNION ALL SELECT {PNL_COLS} FROM b_pnl "
+        "WHERE (pnl_date, instrument_id) NOT IN (SELECT (pnl_date, instrument_id) FROM s_pnl)")
+    out["classify_instruments"] = _q([EVENTS_DIM], "SELECT * FROM events_dim")
+
+    def profile(feed: str, dim: str) -> str:
+        parts = f"""(SELECT count(*) - count(DISTINCT trade_id) FROM {feed}) AS duplicate_trade_ids,
+       (SELECT count(*) FROM {feed} WHERE price IS NULL) AS null_prices,
+       (SELECT count(*) FROM {feed} WHERE quantity <= 0) AS non_positive_quantities,
+       (SELECT count(*) FROM {feed} WHERE instrument_id IS NULL
+           OR instrument_id NOT IN (SELECT instrument_id FROM {dim})) AS unknown_instruments,
+       (SELECT count(*) FROM {feed} WHERE side IS NULL OR upper(side) NOT IN ('BUY', 'SELL')) AS bad_sides,
+       (SELECT count(*) FROM {feed} WHERE executed_at IS NULL) AS null_timestamps"""
+        return f"""SELECT *, duplicate_trade_ids + null_prices + non_positive_quantities + unknown_instruments
+       + bad_sides + null_timestamps AS total FROM (SELECT {parts})"""
+
+    out["defect_profile"] = _q([EVENTS_FEED, EVENTS_DIM], profile("events_feed", "events_dim"))
+    out["defect_profile_lineitem"] = _q([LINEITEM_FEED, SEED_DIM], profile("li_feed", "seed_dim"))
+    out["invalid_trades"] = _q(EV_BASE, "SELECT * FROM events_feed WHERE trade_id NOT IN (SELECT trade_id FROM ev_valid)")
+
+    # book stages
+    out["trade_positions"] = _q(ev_book, f"""SELECT instrument_id, trade_date, trade_id, side, quantity, price,
+       {scaled('sq', 4, 'DECIMAL(18,4)')} AS signed_qty,
+       {scaled('pc', 10, 'DECIMAL(29,10)')} AS prior_buy_cost,
+       {scaled('pq', 4, 'DECIMAL(29,4)')} AS prior_buy_qty
+FROM b_real""")
+    out["trade_realised"] = _q(ev_book, f"""SELECT trade_id, instrument_id, trade_date,
+       {scaled('r10', 10, 'DECIMAL(38,10)')} AS realised_pnl FROM b_real""")
+    out["daily_net"] = _q(ev_book, f"""SELECT instrument_id, trade_date, CAST(n AS INTEGER) AS trade_count,
+       {scaled('net', 4, 'DECIMAL(28,4)')} AS net_qty, {scaled('r10', 10, 'DECIMAL(38,10)')} AS realised_pnl FROM b_run""")
+    out["closing_position"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
+       {scaled('closing', 4, 'DECIMAL(18,4)')} AS closing_position FROM b_run""")
+    out["daily_marks"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
+       {scaled('mark', 6, 'DECIMAL(18,6)')} AS close_price FROM b_run""")
+    out["eod_cost"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
+       {scaled('cc', 10, 'DECIMAL(38,10)')} AS cum_buy_cost, {scaled('cq', 4, 'DECIMAL(38,4)')} AS cum_buy_qty FROM b_run""")
+    out["daily_pnl_since"] = _q(EV_BASE + [ev_since] + book_ctes("ev_since", "s"), "SELECT * FROM s_pnl")
+    out["daily_pnl_since_carry"] = _q(ev_book, f"SELECT * FROM b_pnl WHERE pnl_date >= {SINCE}")
+    out["daily_pnl_hourly_segments"] = out["daily_pnl_lineitem"]
+
+    # views and the read surface
+    ev_views = ev_book + [running_view("b_pnl", "events_dim"), monthly_view("b_pnl", "events_dim")]
+    li_views = li_book + [running_view("b_pnl", "seed_dim"), monthly_view("b_pnl", "seed_dim")]
+    out["running_pnl"] = _q(ev_views, "SELECT * FROM run_view")
+    filt = ("SELECT * FROM run_view WHERE symbol = 'AAAAAD' AND pnl_date >= DATE '2024-01-05' "
+            "AND pnl_date <= DATE '2024-01-20' ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["running_pnl_filtered"] = _q(ev_views, filt)
+    out["running_pnl_latest"] = _q(ev_views, "SELECT * FROM run_view ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["running_pnl_lineitem"] = _q(
+        li_views, "SELECT * FROM run_view WHERE symbol = 'AAPL' ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["top_by_month"] = _q(ev_views, "SELECT * FROM top_view")
+    out["top_by_month_lineitem"] = _q(li_views, "SELECT * FROM top_view")
+    out["top_by_month_filtered"] = _q(
+        ev_views, "SELECT * FROM top_view WHERE pnl_rank <= 5 AND month = DATE '2024-01-01' ORDER BY month DESC, pnl_rank")
+    out["top_by_month_lineitem_top3"] = _q(
+        li_views, "SELECT * FROM top_view WHERE pnl_rank <= 3 ORDER BY month DESC, pnl_rank")
+    out["instrument_list"] = _q([EVENTS_DIM], "SELECT instrument_id, symbol, asset_class, currency FROM events_dim ORDER BY symbol")
+    out["stats"] = _q(ev_book, """SELECT (SELECT count(*) FROM events_feed) AS trade_rows,
+       (SELECT count(*) FROM ev_valid) AS valid_trade_rows,
+       (SELECT count(*) FROM b_pnl) AS daily_pnl_rows,
+       (SELECT count(*) FROM events_dim) AS instrument_rows,
+       (SELECT max(executed_at) FROM events_feed) AS watermark_at,
+       (SELECT count(*) FROM events_feed) - (SELECT count(*) FROM ev_valid) AS invalid_rows""")
+    out["serving_rows"] = _q(ev_views, f"""SELECT strftime(pnl_date, '%Y-%m-%d') AS pnl_date, instrument_id, symbol,
+       asset_class, trade_count, CAST(closing_position AS DOUBLE) AS closing_position,
+       CAST(avg_cost AS DOUBLE) AS avg_cost, CAST(close_price AS DOUBLE) AS close_price,
+       CAST(realised_pnl AS DOUBLE) AS realised_pnl, CAST(unrealised_pnl AS DOUBLE) AS unrealised_pnl,
+       CAST(cumulative_realised_pnl AS DOUBLE) AS cumulative_realised_pnl, CAST(total_pnl AS DOUBLE) AS total_pnl
+FROM ({filt})""")
     return out
