@@ -286,3 +286,38 @@ def q_serving_rows(spark, sf):
     return _serve.to_jsonable(
         _serve.running_pnl(*_events_book(spark, sf), symbol=SYMBOL, start=RUN_START, end=RUN_END)
     )
+
+
+# ------------------------------------------------------------------ files, store and jobs
+
+from ..session import scratch_dir as _scratch  # noqa: E402
+from ..sources import feed_csv as _csv  # noqa: E402
+from . import jobs as _jobs  # noqa: E402
+
+
+@register("feed_roundtrip")
+def q_feed_roundtrip(spark, sf):
+    """Write the events feed as CSV (fresh folder under the checkpoint root), read it back by header name."""
+    path = _csv.write_feed_csv(_derived.events_feed(spark, sf), _scratch(spark, "feed") + "/trades.csv")
+    return _csv.read_feed_csv(spark, path).drop(_csv.FEED_ORDER)
+
+
+@register("loaded_trades")
+def q_loaded_trades(spark, sf):
+    """Land the lineitem feed twice (full, then again), fold the log, read the trade table."""
+    store = _jobs.create_schema(spark)
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet", incremental=False)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet", incremental=False)
+    store.compact_trades()
+    return comparable(store.trades())
+
+
+@register("pipeline")
+def q_pipeline(spark, sf):
+    """Q6 end to end on a CSV copy of the events feed: seed, load, aggregate, stats."""
+    path = _csv.write_feed_csv(_derived.events_feed(spark, sf), _scratch(spark, "feed") + "/trades.csv")
+    store, out = _jobs.run_pipeline(
+        spark, _csv.read_feed_csv(spark, path), W.events_instruments(spark, sf), source_file="trades.csv"
+    )
+    return comparable(out)

@@ -290,4 +290,14 @@ FROM b_real""")
        CAST(realised_pnl AS DOUBLE) AS realised_pnl, CAST(unrealised_pnl AS DOUBLE) AS unrealised_pnl,
        CAST(cumulative_realised_pnl AS DOUBLE) AS cumulative_realised_pnl, CAST(total_pnl AS DOUBLE) AS total_pnl
 FROM ({filt})""")
+    out["feed_roundtrip"] = """SELECT 'E' || CAST(event_id AS VARCHAR) AS trade_id,
+       CASE WHEN event_id % 667 = 5 THEN '999999' ELSE CAST(user_id + 1 AS VARCHAR) END AS instrument_id,
+       CASE WHEN event_type = 'purchase' THEN 'BUY' WHEN event_type = 'signup' THEN 'buy'
+            WHEN event_type IN ('view', 'click') THEN 'SELL' WHEN event_type = 'error' THEN 'B' END AS side,
+       CASE WHEN event_id % 500 = 11 THEN '0' ELSE CAST(event_id % 97 + 1 AS VARCHAR) END AS quantity,
+       CASE WHEN event_id % 400 = 3 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,6)) AS VARCHAR) END AS price,
+       CASE WHEN event_id % 1250 = 9 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS executed_at
+FROM events"""
+    out["loaded_trades"] = _q([LINEITEM_FEED, LINEITEM_TRADES], "SELECT * FROM li_trades")
+    out["pipeline"] = out["stats"].replace("'events.parquet'", "'trades.csv'")
     return out
