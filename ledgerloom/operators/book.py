@@ -54,15 +54,21 @@ def clean_trades(valid: DataFrame, since: dt.date | None = None) -> DataFrame:
     return valid.where(F.col("executed_at") >= F.lit(start)).where(F.col("trade_date") >= F.lit(since))
 
 
+def _segment_keys(segment_micros: int | None) -> list[str]:
+    # Day segments use trade_date itself, so the later (instrument_id, trade_date)
+    # aggregate sees the window's partitioning and needs no second shuffle.
+    return ["instrument_id", "trade_date"] if segment_micros is None else ["instrument_id", "segment"]
+
+
 def _legs(clean: DataFrame, segment_micros: int | None) -> DataFrame:
     q, p = F.col("quantity"), F.col("price")
-    seg = F.col("trade_date") if segment_micros is None else F.floor(
-        F.unix_micros("executed_at") / F.lit(segment_micros)
-    )
+    extra = [] if segment_micros is None else [
+        F.floor(F.unix_micros("executed_at") / F.lit(segment_micros)).alias("segment")
+    ]
     return clean.select(
         "instrument_id",
         "trade_date",
-        seg.alias("segment"),
+        *extra,
         "trade_id",
         "side",
         "quantity",
@@ -74,17 +80,15 @@ def _legs(clean: DataFrame, segment_micros: int | None) -> DataFrame:
     )
 
 
-def segment_carry(legs: DataFrame) -> DataFrame:
+def segment_carry(legs: DataFrame, keys: list[str]) -> DataFrame:
     """Trades and buys strictly before each (instrument, segment): one row per segment."""
-    before = (
-        Window.partitionBy("instrument_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = legs.groupBy("instrument_id", "segment").agg(
+    seg = keys[1]
+    before = Window.partitionBy("instrument_id").orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
+    totals = legs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("seg_n"), F.sum("buy_cost").alias("seg_cost"), F.sum("buy_qty").alias("seg_qty")
     )
     return totals.select(
-        "instrument_id",
-        "segment",
+        *keys,
         F.coalesce(F.sum("seg_n").over(before), F.lit(0)).alias("carry_n"),
         F.coalesce(F.sum("seg_cost").over(before), F.lit(0)).alias("carry_cost"),
         F.coalesce(F.sum("seg_qty").over(before), F.lit(0)).alias("carry_qty"),
@@ -95,20 +99,22 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
     """P2 + P3, one row per trade: signed quantity, prior buy cost / quantity, realised.
 
     ``prior_buy_cost`` / ``prior_buy_qty`` are NULL on an instrument's first trade
-    (the frame is empty), like a window over an empty frame.
+    (the frame is empty), like a window over an empty frame.  ``segment_close``
+    is the price of the segment's last execution (the same window ordering, so
+    the same sort).
     """
+    keys = _segment_keys(segment_micros)
     legs = _legs(clean, segment_micros)
-    within = (
-        Window.partitionBy("instrument_id", "segment")
-        .orderBy("executed_at", "trade_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    ordered = Window.partitionBy(*keys).orderBy("executed_at", "trade_id")
+    within = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = legs.select(
         "*",
         F.count(F.lit(1)).over(within).alias("intra_n"),
         F.sum("buy_cost").over(within).alias("intra_cost"),
         F.sum("buy_qty").over(within).alias("intra_qty"),
-    ).join(segment_carry(legs), ["instrument_id", "segment"])
+        F.last("price").over(whole).alias("segment_close"),
+    ).join(segment_carry(legs, keys), keys)
     empty_frame = (F.col("carry_n") + F.col("intra_n")) == 0
     # Narrow before adding: two decimal(38,10) sums would make Spark drop to scale 9.
     cost10, qty4 = "decimal(28,10)", "decimal(28,4)"
@@ -127,7 +133,7 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
     return rows.select(
         "instrument_id",
         "trade_date",
-        "segment",
+        *([] if segment_micros is None else ["segment"]),
         "trade_id",
         "side",
         "quantity",
@@ -139,16 +145,24 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
         prior_cost.alias("prior_buy_cost"),
         prior_qty.alias("prior_buy_qty"),
         realised.alias("realised_pnl"),
+        "segment_close",
     )
 
 
 def day_totals(pos: DataFrame) -> DataFrame:
-    """P4 + P6 + the inner sums of P7, one aggregate per (instrument, day)."""
+    """P4 + P6 + the inner sums of P7, one aggregate per (instrument, day).
+
+    Every buffer is fixed-width, so this is a hash aggregate; the mark is the
+    last segment's close (with day segments every row of the day carries it).
+    """
+    close = (
+        F.max_by("segment_close", "segment") if "segment" in pos.columns else F.max("segment_close")
+    )
     return pos.groupBy("instrument_id", "trade_date").agg(
         F.count(F.lit(1)).cast("int").alias("trade_count"),
         F.sum("signed_qty").alias("net_qty"),
         F.sum("realised_pnl").alias("realised_pnl"),
-        F.max_by("price", F.struct("executed_at", "trade_id")).alias("close_price"),
+        close.alias("close_price"),
         F.sum("buy_cost").alias("day_buy_cost"),
         F.sum("buy_qty").alias("day_buy_qty"),
     )
