@@ -28,7 +28,8 @@ def blank_to_null(c: Column | str) -> Column:
 
 def _strip_digit_underscores(c: Column) -> Column:
     # Python's numeric constructors accept '1_000'; keep parity for that one form.
-    return F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")
+    # The regex only runs on the rare values that contain an underscore.
+    return F.when(c.contains("_"), F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")).otherwise(c)
 
 
 def parse_decimal(c: Column | str, precision: int, scale: int) -> Column:
@@ -61,9 +62,7 @@ _ISO = (
 
 
 # The full form a feed normally carries: Spark's cast reads it as is (naive -> append Z).
-_FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?"
-_FULL_ZONED = _FULL + r"(?:Z|[+-]\d{2}:\d{2})$"
-_FULL_NAIVE = _FULL + r"$"
+_FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?$"
 
 
 def parse_iso_timestamp(c: Column | str) -> Column:
@@ -90,11 +89,11 @@ def parse_iso_timestamp(c: Column | str) -> Column:
     x = F.regexp_replace(
         x, r"^(\d{4})-?(\d\d)-?(\d\d)\|(\d\d)\|(\d\d)\|(\d\d)\|(\d+)\|(.+)$", "$1-$2-$3 $4:$5:$6.$7$8"
     )
-    return (
-        F.when(s.rlike(_FULL_ZONED), s.try_cast("timestamp"))
-        .when(s.rlike(_FULL_NAIVE), F.concat(s, F.lit("Z")).try_cast("timestamp"))
-        .when(s.rlike(_ISO), x.try_cast("timestamp"))
-    )
+    # In the full form an offset is 'Z' or '+HH:MM' / '-HH:MM': its sign sits 6 from the end,
+    # where a naive value always has a digit, ':' or '.'.
+    zoned = (F.substring(s, -1, 1) == "Z") | F.substring(s, -6, 1).isin("+", "-")
+    full = F.when(zoned, s).otherwise(F.concat(s, F.lit("Z")))
+    return F.when(s.rlike(_FULL), full.try_cast("timestamp")).when(s.rlike(_ISO), x.try_cast("timestamp"))
 
 
 def utc_date(ts: Column | str) -> Column:

@@ -24,9 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _iso_utc(ts_ntz: Column, with_offset: bool = True) -> Column:
-    text = F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(text, F.lit("+00:00")) if with_offset else F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss")
+def _iso_utc(ts_ntz: Column) -> Column:
+    return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +104,7 @@ def lineitem_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         side.alias("side"),
         F.col("l_quantity").cast("decimal(18,4)").cast("string").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(18,6)").cast("string").alias("price"),
-        _iso_utc(F.col("l_shipdate"), with_offset=False).alias("executed_at"),
+        F.col("l_shipdate").cast("string").alias("executed_at"),  # naive ISO text, read as UTC
         F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("feed_order"),
     )
 
