@@ -46,9 +46,14 @@ def classify(symbols: DataFrame) -> DataFrame:
 
 
 def seed_instruments(spark: SparkSession) -> DataFrame:
-    """The seed dimension (30 rows): ids are the 1-based list positions."""
-    rows = [(i, s) for i, s in enumerate(SEED_SYMBOLS, start=1)]
-    return classify(spark.createDataFrame(rows, "instrument_id int, symbol string"))
+    """The seed dimension (30 rows): ids are the 1-based list positions.
+
+    Built on ``spark.range`` so the planner knows its row count and can broadcast
+    it (a DataFrame made from a Python list has no size statistics).
+    """
+    symbols = F.array(*[F.lit(s) for s in SEED_SYMBOLS])
+    ids = spark.range(1, len(SEED_SYMBOLS) + 1).select(F.col("id").cast("int").alias("instrument_id"))
+    return classify(ids.select("instrument_id", F.element_at(symbols, F.col("instrument_id")).alias("symbol")))
 
 
 def empty_instruments(spark: SparkSession) -> DataFrame:

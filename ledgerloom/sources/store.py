@@ -132,12 +132,32 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(*m["trade_batches"])
 
     def trades(self, manifest: dict | None = None) -> DataFrame:
-        """The current trade table: newest version of each trade_id, first ingested_at."""
+        """The current trade table: newest version of each trade_id, first ingested_at.
+
+        The oldest batch is the base (after ``compact_trades`` it is the whole
+        table); later batches are deltas.  Base rows whose key has a delta are
+        dropped with an anti join against the delta keys - broadcast when the
+        planner sees they are small, so the base is scanned, never shuffled - and
+        the newest delta row per key is added, keeping the base's ingested_at.
+        """
         m = manifest or self.manifest()
-        log = self.trade_log(m)
-        if len(m["trade_batches"]) <= 1:
-            return log.drop(BATCH_SEQ)
-        return latest_by_key(log, ["trade_id"], BATCH_SEQ, keep_first=["ingested_at"])
+        batches = m["trade_batches"]
+        if len(batches) <= 1:
+            return self.trade_log(m).drop(BATCH_SEQ)
+        cols = TRADE_SCHEMA.fieldNames()
+        base = self._read_batches(batches[:1])
+        deltas = self._read_batches(batches[1:])
+        newest = latest_by_key(deltas, ["trade_id"], BATCH_SEQ, keep_first=["ingested_at"])
+        keys = newest.select("trade_id")
+        first_seen = base.select("trade_id", F.col("ingested_at").alias("_base_ingested")).join(keys, "trade_id")
+        replaced = newest.join(first_seen, "trade_id", "left").withColumn(
+            "ingested_at", F.coalesce(F.col("_base_ingested"), F.col("ingested_at"))
+        ).select(*cols)
+        return base.join(keys, "trade_id", "left_anti").select(*cols).unionByName(replaced)
+
+    def _read_batches(self, paths: list[str]) -> DataFrame:
+        schema = T.StructType([*TRADE_SCHEMA.fields, T.StructField(BATCH_SEQ, T.LongType(), False)])
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def daily_pnl(self, manifest: dict | None = None, months: list[str] | None = None) -> DataFrame:
         """daily_pnl; ``months`` ('YYYY-MM') reads only those month directories."""
