@@ -10,18 +10,23 @@ position and end-of-day average cost run over all days so far.
 Plan shape (no window is ever partitioned by instrument alone over trades, so
 a hot instrument cannot serialise the job):
 
-1. ``segment_carry``: buy cost/qty per (instrument, segment) - a partial
-   aggregate, then a running sum over segments of that small table gives the
-   carry-in (everything bought before the segment).
-2. ``positions``: a window partitioned by (instrument, segment) ordered by
-   (executed_at, trade_id) adds the intra-segment prior buys to the carry-in.
-3. ``day_totals`` + ``running_days``: group by (instrument, day) - when segments are days this
-   reuses the window's partitioning, no shuffle - then one running window over
-   the (instrument, day) table gives closing position and cumulative cost.
-
-A segment is a UTC day by default; pass ``segment_micros`` to cut finer time
-slices when single instrument-days are hot.  The sums are exact decimals, so
-regrouping changes no digit.
+1. segments: a UTC day per instrument by default; a day with more than
+   ``hot_rows`` trades is cut into k time slices (k = ceil(count / hot_rows)),
+   found by one partial aggregate and joined back (at most total / hot_rows
+   hot days, so that table stays small).  ``segment_micros`` instead fixes a
+   time width for every segment.
+2. ``segment_carry``: buy cost/qty per segment - a partial aggregate, then a
+   running sum over that small table gives the carry-in (everything bought in
+   earlier segments).
+3. ``positions``: a window partitioned by (instrument, segment) ordered by
+   (executed_at, trade_id) adds the intra-segment prior buys to the carry-in;
+   the same window ordering gives each segment's last price (the mark).
+4. ``day_totals`` + ``running_days``: a hash aggregate per (instrument, day),
+   then one running window over the (instrument, day) table for closing
+   position and cumulative cost.
+
+The sums are exact decimals, so regrouping changes no digit.  Trades at the
+same instant share a segment (the order needs them together).
 """
 
 from __future__ import annotations
@@ -54,21 +59,17 @@ def clean_trades(valid: DataFrame, since: dt.date | None = None) -> DataFrame:
     return valid.where(F.col("executed_at") >= F.lit(start)).where(F.col("trade_date") >= F.lit(since))
 
 
-def _segment_keys(segment_micros: int | None) -> list[str]:
-    # Day segments use trade_date itself, so the later (instrument_id, trade_date)
-    # aggregate sees the window's partitioning and needs no second shuffle.
-    return ["instrument_id", "trade_date"] if segment_micros is None else ["instrument_id", "segment"]
+# A (instrument, day) with more trades than this is cut into time slices, so no
+# window partition holds more than about this many rows.
+HOT_SEGMENT_ROWS = 1_000_000
+MICROS_PER_DAY = 86_400_000_000
 
 
-def _legs(clean: DataFrame, segment_micros: int | None) -> DataFrame:
+def _legs(clean: DataFrame) -> DataFrame:
     q, p = F.col("quantity"), F.col("price")
-    extra = [] if segment_micros is None else [
-        F.floor(F.unix_micros("executed_at") / F.lit(segment_micros)).alias("segment")
-    ]
     return clean.select(
         "instrument_id",
         "trade_date",
-        *extra,
         "trade_id",
         "side",
         "quantity",
@@ -80,31 +81,55 @@ def _legs(clean: DataFrame, segment_micros: int | None) -> DataFrame:
     )
 
 
-def segment_carry(legs: DataFrame, keys: list[str]) -> DataFrame:
+def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """Add the segment column(s); return the frame and the ordered segment key.
+
+    Fixed ``segment_micros``: segment = floor(epoch micros / width).
+    Default: the UTC day, and for hot days (more than ``hot_rows`` trades) a
+    slice = which of k equal time slices of the day the trade falls in, with
+    k = ceil(count / hot_rows).  The hot table has at most total/hot_rows rows;
+    it is joined without a hint, so the planner and AQE broadcast it by its
+    real size.  Trades at the very same instant always share a slice.
+    """
+    if segment_micros is not None:
+        seg = F.floor(F.unix_micros("executed_at") / F.lit(segment_micros)).alias("segment")
+        return legs.select("*", seg), ["segment"]
+    per_day = legs.groupBy("instrument_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
+    hot = per_day.where(F.col("_n") > hot_rows).select(
+        "instrument_id", "trade_date", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_k")
+    )
+    micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
+    slice_ = F.coalesce(F.floor(micros_of_day * F.col("_k") / F.lit(MICROS_PER_DAY)), F.lit(0)).cast("long")
+    out = legs.join(hot, ["instrument_id", "trade_date"], "left").select(*legs.columns, slice_.alias("slice"))
+    return out, ["trade_date", "slice"]
+
+
+def segment_carry(legs: DataFrame, order: list[str]) -> DataFrame:
     """Trades and buys strictly before each (instrument, segment): one row per segment."""
-    seg = keys[1]
-    before = Window.partitionBy("instrument_id").orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
-    totals = legs.groupBy(*keys).agg(
+    before = Window.partitionBy("instrument_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = legs.groupBy("instrument_id", *order).agg(
         F.count(F.lit(1)).alias("seg_n"), F.sum("buy_cost").alias("seg_cost"), F.sum("buy_qty").alias("seg_qty")
     )
     return totals.select(
-        *keys,
+        "instrument_id",
+        *order,
         F.coalesce(F.sum("seg_n").over(before), F.lit(0)).alias("carry_n"),
         F.coalesce(F.sum("seg_cost").over(before), F.lit(0)).alias("carry_cost"),
         F.coalesce(F.sum("seg_qty").over(before), F.lit(0)).alias("carry_qty"),
     )
 
 
-def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
+def positions(clean: DataFrame, segment_micros: int | None = None,
+              hot_rows: int = HOT_SEGMENT_ROWS) -> DataFrame:
     """P2 + P3, one row per trade: signed quantity, prior buy cost / quantity, realised.
 
     ``prior_buy_cost`` / ``prior_buy_qty`` are NULL on an instrument's first trade
     (the frame is empty), like a window over an empty frame.  ``segment_close``
     is the price of the segment's last execution (the same window ordering, so
-    the same sort).
+    the same sort) and ``segment_rank`` orders segments within a day.
     """
-    keys = _segment_keys(segment_micros)
-    legs = _legs(clean, segment_micros)
+    legs, order = _segmented(_legs(clean), segment_micros, hot_rows)
+    keys = ["instrument_id", *order]
     ordered = Window.partitionBy(*keys).orderBy("executed_at", "trade_id")
     within = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -114,7 +139,7 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
         F.sum("buy_cost").over(within).alias("intra_cost"),
         F.sum("buy_qty").over(within).alias("intra_qty"),
         F.last("price").over(whole).alias("segment_close"),
-    ).join(segment_carry(legs, keys), keys)
+    ).join(segment_carry(legs, order), keys)
     empty_frame = (F.col("carry_n") + F.col("intra_n")) == 0
     # Narrow before adding: two decimal(38,10) sums would make Spark drop to scale 9.
     cost10, qty4 = "decimal(28,10)", "decimal(28,4)"
@@ -133,7 +158,6 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
     return rows.select(
         "instrument_id",
         "trade_date",
-        *([] if segment_micros is None else ["segment"]),
         "trade_id",
         "side",
         "quantity",
@@ -146,23 +170,21 @@ def positions(clean: DataFrame, segment_micros: int | None = None) -> DataFrame:
         prior_qty.alias("prior_buy_qty"),
         realised.alias("realised_pnl"),
         "segment_close",
+        F.col(order[-1]).alias("segment_rank"),
     )
 
 
 def day_totals(pos: DataFrame) -> DataFrame:
     """P4 + P6 + the inner sums of P7, one aggregate per (instrument, day).
 
-    Every buffer is fixed-width, so this is a hash aggregate; the mark is the
-    last segment's close (with day segments every row of the day carries it).
+    Every buffer is fixed-width, so this is a hash aggregate (partial per
+    segment, then a small shuffle); the mark is the close of the day's last segment.
     """
-    close = (
-        F.max_by("segment_close", "segment") if "segment" in pos.columns else F.max("segment_close")
-    )
     return pos.groupBy("instrument_id", "trade_date").agg(
         F.count(F.lit(1)).cast("int").alias("trade_count"),
         F.sum("signed_qty").alias("net_qty"),
         F.sum("realised_pnl").alias("realised_pnl"),
-        close.alias("close_price"),
+        F.max_by("segment_close", "segment_rank").alias("close_price"),
         F.sum("buy_cost").alias("day_buy_cost"),
         F.sum("buy_qty").alias("day_buy_qty"),
     )
@@ -210,6 +232,7 @@ def daily_pnl(
     *,
     carry_in: bool = False,
     segment_micros: int | None = None,
+    hot_rows: int = HOT_SEGMENT_ROWS,
 ) -> DataFrame:
     """The daily_pnl rows for a set of valid trades.
 
@@ -219,7 +242,7 @@ def daily_pnl(
     days >= since, which equals the full run restricted to those days.
     """
     clean = valid if carry_in else clean_trades(valid, since)
-    out = finish(running_days(day_totals(positions(clean, segment_micros))))
+    out = finish(running_days(day_totals(positions(clean, segment_micros, hot_rows))))
     if carry_in and since is not None:
         out = out.where(F.col("pnl_date") >= F.lit(since))
     return out

@@ -211,6 +211,12 @@ def q_daily_pnl_since_carry(spark, sf):
     return comparable(W.events_daily_pnl(spark, sf, since=SINCE, carry_in=True))
 
 
+@register("daily_pnl_hot_slices")
+def q_daily_pnl_hot_slices(spark, sf):
+    """Every instrument-day with more than 2 trades cut into time slices: same rows as daily_pnl."""
+    return comparable(W.events_daily_pnl(spark, sf, hot_rows=2))
+
+
 @register("daily_pnl_hourly_segments")
 def q_daily_pnl_hourly_segments(spark, sf):
     return comparable(W.lineitem_daily_pnl(spark, sf, segment_micros=HOUR_MICROS))

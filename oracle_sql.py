@@ -260,6 +260,7 @@ FROM b_real""")
     out["daily_pnl_since"] = _q(EV_BASE + [ev_since] + book_ctes("ev_since", "s"), "SELECT * FROM s_pnl")
     out["daily_pnl_since_carry"] = _q(ev_book, f"SELECT * FROM b_pnl WHERE pnl_date >= {SINCE}")
     out["daily_pnl_hourly_segments"] = out["daily_pnl_lineitem"]
+    out["daily_pnl_hot_slices"] = out["daily_pnl"]
 
     # views and the read surface
     ev_views = ev_book + [running_view("b_pnl", "events_dim"), monthly_view("b_pnl", "events_dim")]
