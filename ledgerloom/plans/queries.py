@@ -327,3 +327,47 @@ def q_pipeline(spark, sf):
         spark, _csv.read_feed_csv(spark, path), W.events_instruments(spark, sf), source_file="trades.csv"
     )
     return comparable(out)
+
+
+def _two_loads(spark, sf):
+    """History before the split landed first (full), then the whole feed incrementally."""
+    store = _jobs.create_schema(spark)
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    history = records.where(F.col("executed_at") < F.lit("1998-01-01"))
+    _jobs.load_trades(store, history, source_file="lineitem.parquet", incremental=False)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet", incremental=True)
+    return store
+
+
+@register("incremental_load")
+def q_incremental_load(spark, sf):
+    return comparable(_two_loads(spark, sf).trades())
+
+
+@register("etl_watermark")
+def q_etl_watermark(spark, sf):
+    return comparable(_two_loads(spark, sf).marks())
+
+
+@register("pnl_job_since")
+def q_pnl_job_since(spark, sf):
+    """Full PnL run, then a run from 2000-01-01 (which restarts the book there) upserted by month."""
+    store = _jobs.create_schema(spark)
+    _jobs.upsert_instruments(store, W.lineitem_instruments(spark))
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet")
+    _jobs.compute_daily_pnl(store)
+    _jobs.compute_daily_pnl(store, since=_dt.date(2000, 1, 1))
+    return comparable(store.daily_pnl())
+
+
+@register("streaming_load")
+def q_streaming_load(spark, sf):
+    """The events feed dropped as CSV files, landed by the availableNow file stream."""
+    from ..streaming.incremental import start_incremental_load
+
+    inbox = _scratch(spark, "inbox")
+    _csv.write_feed_csv(_derived.events_feed(spark, sf), inbox)
+    store = _jobs.create_schema(spark)
+    start_incremental_load(spark, inbox, store, _scratch(spark, "stream-ckpt")).awaitTermination()
+    return comparable(store.trades())

@@ -301,4 +301,19 @@ FROM ({filt})""")
 FROM events"""
     out["loaded_trades"] = _q([LINEITEM_FEED, LINEITEM_TRADES], "SELECT * FROM li_trades")
     out["pipeline"] = out["stats"].replace("'events.parquet'", "'trades.csv'")
+    split = "TIMESTAMP '1998-01-01 00:00:00'"
+    two = [LINEITEM_FEED, last_copy("li_a", "li_feed", f"executed_at < {split}"),
+           last_copy("li_b", "li_feed", "executed_at IS NULL OR executed_at > (SELECT max(executed_at) FROM li_a)")]
+    out["incremental_load"] = _q(
+        two, "SELECT * FROM li_b UNION ALL SELECT * FROM li_a WHERE trade_id NOT IN (SELECT trade_id FROM li_b)")
+    out["etl_watermark"] = _q(two, """SELECT 'trades_csv' AS stream,
+       greatest((SELECT max(executed_at) FROM li_a), (SELECT max(executed_at) FROM li_b)) AS watermark_at,
+       (SELECT count(*) FROM li_a) + (SELECT count(*) FROM li_b) AS rows_loaded""")
+    li_since = valid_cte("li_since", "li_trades", "seed_dim").replace(
+        "AND executed_at IS NOT NULL", "AND executed_at IS NOT NULL AND CAST(executed_at AS DATE) >= DATE '2000-01-01'")
+    out["pnl_job_since"] = _q(
+        li_book + [li_since] + book_ctes("li_since", "s"),
+        f"SELECT {PNL_COLS} FROM s_pnl UNION ALL SELECT {PNL_COLS} FROM b_pnl "
+        "WHERE (pnl_date, instrument_id) NOT IN (SELECT (pnl_date, instrument_id) FROM s_pnl)")
+    out["streaming_load"] = _q([EVENTS_FEED], "SELECT * REPLACE ('stream-epoch-0' AS source_file) FROM events_feed")
     return out
