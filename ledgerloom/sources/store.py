@@ -192,14 +192,24 @@ class TableStore:
         instruments.select(*INSTRUMENT_SCHEMA.fieldNames()).write.mode("errorifexists").parquet(path)
         return path
 
-    def write_daily_months(self, rows: DataFrame) -> dict[str, str]:
-        """Write ``rows`` partitioned by month under one new directory; month -> leaf path."""
+    def write_daily_months(self, rows: DataFrame, observation=None, metrics=()) -> dict[str, str]:
+        """Write ``rows`` partitioned by month under one new directory; month -> leaf path.
+
+        ``observation``/``metrics`` are attached after the last exchange, i.e. in
+        the stage that writes, where Spark applies each task's result once even
+        when tasks or earlier stages are re-run.  Columns not in the daily_pnl
+        schema (markers for the metrics) are dropped before the write.
+        """
         path = self._new_dir("daily_pnl")
+        # Range partitioning: each task holds a contiguous (month, instrument) slice,
+        # so a month is spread over a few balanced tasks and files stay few per month.
+        out = rows.withColumn("pnl_month", F.date_format("pnl_date", "yyyy-MM")).repartitionByRange(
+            "pnl_month", "instrument_id"
+        )
+        if observation is not None:
+            out = out.observe(observation, *metrics)
         (
-            rows.select(*DAILY_PNL_SCHEMA.fieldNames(), F.date_format("pnl_date", "yyyy-MM").alias("pnl_month"))
-            # Range partitioning: each task holds a contiguous (month, instrument) slice,
-            # so a month is spread over a few balanced tasks and files stay few per month.
-            .repartitionByRange("pnl_month", "instrument_id")
+            out.select(*DAILY_PNL_SCHEMA.fieldNames(), "pnl_month")
             .write.mode("errorifexists")
             .partitionBy("pnl_month")
             .parquet(path)
