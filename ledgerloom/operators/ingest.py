@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import blank_to_null, parse_int, parse_iso_timestamp, parse_price, parse_quantity
-from ..schema import FEED_COLUMNS
 
 
 def coerce_feed(feed: DataFrame, source_file: str | Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -29,11 +28,6 @@ def coerce_feed(feed: DataFrame, source_file: str | Column | None = None, keep:
     )
 
 
-def feed_strings(df: DataFrame) -> DataFrame:
-    """Just the six feed columns, in file order."""
-    return df.select(*FEED_COLUMNS)
-
-
 def above_watermark(records: DataFrame, mark: dt.datetime | None) -> DataFrame:
     """High-water filter: drop rows with executed_at <= mark; NULL times always pass."""
     if mark is None:

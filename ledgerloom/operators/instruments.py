@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import INSTRUMENT_SCHEMA
 
 # The seed symbol list, in order; the 1-based position is the id.
 SEED_SYMBOLS = (
@@ -54,7 +53,3 @@ def seed_instruments(spark: SparkSession) -> DataFrame:
     symbols = F.array(*[F.lit(s) for s in SEED_SYMBOLS])
     ids = spark.range(1, len(SEED_SYMBOLS) + 1).select(F.col("id").cast("int").alias("instrument_id"))
     return classify(ids.select("instrument_id", F.element_at(symbols, F.col("instrument_id")).alias("symbol")))
-
-
-def empty_instruments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], INSTRUMENT_SCHEMA)

@@ -45,14 +45,3 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     source = source.select(*cols)
     both = target.withColumn(VERSION, F.lit(0)).unionByName(source.withColumn(VERSION, F.lit(1)))
     return latest_by_key(both, keys, VERSION, keep_first).select(*cols)
-
-
-def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many source keys insert new rows and how many update existing ones (one row)."""
-    t = target.select(*keys).distinct().withColumn("_in_target", F.lit(True))
-    s = source.select(*keys).distinct()
-    j = s.join(t, list(keys), "left")
-    return j.agg(
-        F.count_if(F.col("_in_target").isNull()).alias("inserted"),
-        F.count_if(F.col("_in_target")).alias("updated"),
-    )

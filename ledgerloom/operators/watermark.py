@@ -31,8 +31,11 @@ def marks_frame(spark: SparkSession, marks: dict[str, dict]) -> DataFrame:
 
 def read_mark(marks: DataFrame, stream: str = DEFAULT_STREAM) -> dt.datetime | None:
     """The stored mark of ``stream``, None if it never loaded."""
-    row = marks.where(F.col("stream") == stream).select("watermark_at").first()
-    return None if row is None else row[0]
+    row = marks.where(F.col("stream") == stream).select(F.unix_micros("watermark_at")).first()
+    if row is None or row[0] is None:
+        return None
+    # Through epoch micros: a collected timestamp would come back naive, in the local zone.
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=row[0])
 
 
 def advance(marks: DataFrame, upserted: DataFrame, stream: str = DEFAULT_STREAM) -> DataFrame:

@@ -51,6 +51,5 @@ WATERMARK_SCHEMA = T.StructType([
 
 DEFAULT_STREAM = "trades_csv"
 
-TRADE_KEY = ("trade_id",)
 DAILY_PNL_KEY = ("pnl_date", "instrument_id")
 INSTRUMENT_KEY = ("instrument_id",)

@@ -35,12 +35,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_conf(spark: SparkSession) -> None:
-    """Apply the result-affecting settings to a session someone else built."""
-    for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..operators.merge import latest_by_key
 from ..operators.watermark import marks_frame
-from ..schema import DAILY_PNL_SCHEMA, INSTRUMENT_SCHEMA, TRADE_SCHEMA
+from ..schema import DAILY_PNL_SCHEMA, DEFAULT_STREAM, INSTRUMENT_SCHEMA, TRADE_SCHEMA
 from ..session import scratch_dir
 
 BATCH_SEQ = "batch_seq"
@@ -176,6 +176,11 @@ class TableStore:
         }
         return marks_frame(self.spark, marks)
 
+    def read_mark(self, stream: str = DEFAULT_STREAM, manifest: dict | None = None) -> dt.datetime | None:
+        """I4: the committed high-water mark of ``stream``; None if it never loaded."""
+        m = manifest or self.manifest()
+        return _from_iso((m["marks"].get(stream) or {}).get("watermark_at"))
+
     # ------------------------------------------------------------ writes (not visible until commit)
 
     def _new_dir(self, table: str) -> str:
