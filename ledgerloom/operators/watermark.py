@@ -41,19 +41,21 @@ def read_mark(marks: DataFrame, stream: str = DEFAULT_STREAM) -> dt.datetime | N
 def advance(marks: DataFrame, upserted: DataFrame, stream: str = DEFAULT_STREAM) -> DataFrame:
     """New etl_watermark table after upserting ``upserted`` (lazy).
 
-    The batch's max and count are scalar subqueries over the same plan, which
-    Spark merges into one aggregate pass.  The stream's row is written even for
-    an empty batch; other streams are kept.
+    The batch's max and count come from one aggregate over the batch, read as a
+    single struct-valued scalar subquery (Spark evaluates an identical subquery
+    once).  The stream's row is written even for an empty batch; other streams
+    are kept.
     """
-    stored = marks.where(F.col("stream") == stream)
-    batch_max = upserted.select(F.max("executed_at")).scalar()
-    batch_rows = upserted.select(F.count(F.lit(1))).scalar()
-    stored_mark = stored.select(F.max("watermark_at")).scalar()
-    stored_rows = stored.select(F.sum("rows_loaded")).scalar()
+    batch = upserted.agg(
+        F.struct(F.max("executed_at").alias("max_at"), F.count(F.lit(1)).alias("rows")).alias("b")
+    ).scalar()
+    stored = marks.where(F.col("stream") == stream).agg(
+        F.struct(F.max("watermark_at").alias("mark"), F.sum("rows_loaded").alias("rows")).alias("s")
+    ).scalar()
     new = marks.sparkSession.range(1).select(
         F.lit(stream).alias("stream"),
-        F.greatest(stored_mark, batch_max).alias("watermark_at"),
-        (F.coalesce(stored_rows, F.lit(0)) + batch_rows).cast("long").alias("rows_loaded"),
+        F.greatest(stored.getField("mark"), batch.getField("max_at")).alias("watermark_at"),
+        (F.coalesce(stored.getField("rows"), F.lit(0)) + batch.getField("rows")).cast("long").alias("rows_loaded"),
         F.current_timestamp().alias("updated_at"),
     )
     return marks.where(F.col("stream") != stream).unionByName(new)
