@@ -10,11 +10,11 @@ position and end-of-day average cost run over all days so far.
 Plan shape (no window is ever partitioned by instrument alone over trades, so
 a hot instrument cannot serialise the job):
 
-1. segments: a UTC day per instrument by default; a day with more than
-   ``hot_rows`` trades is cut into k time slices (k = ceil(count / hot_rows)),
-   found by one partial aggregate and joined back (at most total / hot_rows
-   hot days, so that table stays small).  ``segment_micros`` instead fixes a
-   time width for every segment.
+1. segments: (instrument, UTC day, slice).  By default a day is one slice; a
+   day with more than ``hot_rows`` trades is cut into k time slices
+   (k = ceil(count / hot_rows)), found by one partial aggregate and joined back
+   (at most total / hot_rows hot days, so that table stays small).
+   ``segment_micros`` instead cuts every day into slices of that width.
 2. ``segment_carry``: buy cost/qty per segment - a partial aggregate, then a
    running sum over that small table gives the carry-in (everything bought in
    earlier segments).
@@ -82,23 +82,23 @@ def _legs(clean: DataFrame) -> DataFrame:
 
 
 def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int) -> tuple[DataFrame, list[str]]:
-    """Add the segment column(s); return the frame and the ordered segment key.
-
-    Fixed ``segment_micros``: segment = floor(epoch micros / width).
-    Default: the UTC day, and for hot days (more than ``hot_rows`` trades) a
-    slice = which of k equal time slices of the day the trade falls in, with
-    k = ceil(count / hot_rows).  The hot table has at most total/hot_rows rows;
-    it is joined without a hint, so the planner and AQE broadcast it by its
-    real size.  Trades at the very same instant always share a slice.
+    """Add the ``slice`` of the UTC day each trade falls in; segments are (day, slice).
+
+    Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
+    Default: slice 0 (the whole day), except on hot days (more than ``hot_rows``
+    trades), which are cut into k = ceil(count / hot_rows) equal time slices.  The
+    hot table has at most total/hot_rows rows; it is joined without a hint, so the
+    planner and AQE broadcast it by its real size.  Slices never cross midnight, and
+    trades at the very same instant always share a slice.
     """
+    micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
     if segment_micros is not None:
-        seg = F.floor(F.unix_micros("executed_at") / F.lit(segment_micros)).alias("segment")
-        return legs.select("*", seg), ["segment"]
+        slice_ = F.floor(micros_of_day / F.lit(segment_micros)).cast("long")
+        return legs.select("*", slice_.alias("slice")), ["trade_date", "slice"]
     per_day = legs.groupBy("instrument_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
     hot = per_day.where(F.col("_n") > hot_rows).select(
         "instrument_id", "trade_date", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_k")
     )
-    micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
     slice_ = F.coalesce(F.floor(micros_of_day * F.col("_k") / F.lit(MICROS_PER_DAY)), F.lit(0)).cast("long")
     out = legs.join(hot, ["instrument_id", "trade_date"], "left").select(*legs.columns, slice_.alias("slice"))
     return out, ["trade_date", "slice"]
@@ -170,7 +170,7 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
         prior_qty.alias("prior_buy_qty"),
         realised.alias("realised_pnl"),
         "segment_close",
-        F.col(order[-1]).alias("segment_rank"),
+        F.col("slice").alias("segment_rank"),
     )
 
 

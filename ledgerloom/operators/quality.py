@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import blank_to_null, parse_int, parse_iso_timestamp, parse_quantity
+from ..functions.coerce import blank_to_null, parse_int, parse_iso_timestamp, parse_price, parse_quantity
 
 
 def defect_profile(feed: DataFrame, instrument: DataFrame) -> DataFrame:
@@ -23,14 +23,14 @@ def defect_profile(feed: DataFrame, instrument: DataFrame) -> DataFrame:
     rows = feed.select(
         "trade_id",
         "side",
-        blank_to_null("price").alias("price"),
+        parse_price(blank_to_null("price")).alias("price"),
         parse_quantity(blank_to_null("quantity")).alias("qty"),
         parse_int(blank_to_null("instrument_id")).alias("instrument_id"),
         parse_iso_timestamp(blank_to_null("executed_at")).alias("ts"),
     ).join(known, "instrument_id", "left")
     prof = rows.agg(
         (F.count(F.lit(1)) - F.count_distinct(F.coalesce("trade_id", F.lit("")))).alias("duplicate_trade_ids"),
-        F.count_if(F.col("price").isNull() | F.col("price").try_cast("decimal(18,6)").isNull()).alias("null_prices"),
+        F.count_if(F.col("price").isNull()).alias("null_prices"),
         F.count_if(F.col("qty") <= 0).alias("non_positive_quantities"),
         F.count_if(F.col("_known").isNull()).alias("unknown_instruments"),
         F.count_if(~F.coalesce(F.upper("side").isin("BUY", "SELL"), F.lit(False))).alias("bad_sides"),
