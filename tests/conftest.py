@@ -62,6 +62,16 @@ def store(spark):
     return s
 
 
+@pytest.fixture()
+def store_factory(spark):
+    """Fresh seeded stores on demand (for property tests that need one per example)."""
+    def make():
+        s = jobs.create_schema(spark)
+        jobs.upsert_instruments(s, classify(spark.createDataFrame(SEEDED, "instrument_id int, symbol string")))
+        return s
+    return make
+
+
 def load(spark, store, rows, incremental=True):
     return jobs.load_trades(store, feed(spark, rows), incremental=incremental)
 
