@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,20 +37,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (read from the session).
 
-    On a cluster this is set by the operator and must be a shared file system
-    (HDFS, a mounted volume, an object store).  Only when it is unset (tests, a
-    laptop) do we pick one, and then we also register it with the context so that
+    On a cluster the operator sets it to a shared file system (HDFS, a mounted
+    volume) and an unset value is an error: a machine-local folder would lose
+    data with its executor.  Only a local master (tests, a laptop) gets a fresh
+    folder of its own, registered with the context so that
     ``DataFrame.checkpoint()`` uses the same place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "/tmp/ledgerloom-checkpoints"
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for the table store")
+    root = tempfile.mkdtemp(prefix="ledgerloom-")
+    spark.sparkContext.setCheckpointDir(root)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

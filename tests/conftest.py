@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -25,12 +24,9 @@ from ledgerloom.sources.feed_csv import FEED_ORDER  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    extra = {}
-    import os
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # Tests only: a checkpoint root of our own when the environment names none.
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ledgerloom-tests-")
-    s = build_session(master="local[4]", shuffle_partitions=8, extra=extra)
+    # spark.checkpoint.dir is left as the environment sets it; when it is unset,
+    # ledgerloom.session.checkpoint_root picks a fresh folder (local master only).
+    s = build_session(master="local[4]", shuffle_partitions=8)
     yield s
 
 
