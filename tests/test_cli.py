@@ -21,3 +21,16 @@ def test_demo_then_incremental_load_and_stats(spark, tmp_path, capsys):
     assert "from 2030-01-01" in capsys.readouterr().out
     assert main(["stats", "--root", root]) == 0
     assert "trade_rows: 1001" in capsys.readouterr().out
+
+
+def test_reset_empties_every_table_and_keeps_old_versions(spark, store, capsys):
+    from ledgerloom.plans import jobs
+    from tests.conftest import load, trade
+
+    load(spark, store, [trade("T1")], incremental=False)
+    jobs.compute_daily_pnl(store)
+    before = store.version()
+    assert main(["reset", "--root", store.root, "--yes"]) == 0
+    assert store.trades().count() == 0 and store.daily_pnl().count() == 0
+    assert store.instruments().count() == 0 and store.read_mark() is None
+    assert store.trades(store.manifest(before)).count() == 1  # the old version is still readable
