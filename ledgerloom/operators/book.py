@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 
+
 def _is_buy() -> Column:
     return F.col("side") == F.lit("BUY")
 
@@ -65,6 +66,37 @@ HOT_SEGMENT_ROWS = 1_000_000
 MICROS_PER_DAY = 86_400_000_000
 
 
+COST10, QTY4 = "decimal(28,10)", "decimal(28,4)"  # narrowed so adding two sums keeps the scale
+
+
+def opening_book(valid: DataFrame, since: dt.date) -> DataFrame:
+    """Everything before ``since`` that later days depend on, one row per instrument.
+
+    Trades seen, buy cost, buy quantity and net position: one partial aggregate
+    over history - no window, no sort, no shuffle of trade rows - so a run from
+    ``since`` with carry-in costs a scan of history plus the book of recent days.
+    """
+    start = dt.datetime(since.year, since.month, since.day, tzinfo=dt.timezone.utc)
+    hist = _legs(valid.where(F.col("executed_at") < F.lit(start)).where(F.col("trade_date") < F.lit(since)))
+    return hist.groupBy("instrument_id").agg(
+        F.count(F.lit(1)).alias("open_n"),
+        F.sum("buy_cost").cast(COST10).alias("open_cost"),
+        F.sum("buy_qty").cast(QTY4).alias("open_qty"),
+        F.sum("signed_qty").cast(QTY4).alias("open_pos"),
+    )
+
+
+def _with_opening(df: DataFrame, opening: DataFrame | None) -> DataFrame:
+    """Attach the opening book (zeros when there is none)."""
+    if opening is None:
+        return df.select(
+            "*", F.lit(0).cast("long").alias("open_n"), F.lit(0).cast(COST10).alias("open_cost"),
+            F.lit(0).cast(QTY4).alias("open_qty"), F.lit(0).cast(QTY4).alias("open_pos"),
+        )
+    filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("open_n", "open_cost", "open_qty", "open_pos")]
+    return df.join(opening, "instrument_id", "left").select(*df.columns, *filled)
+
+
 def _legs(clean: DataFrame) -> DataFrame:
     q, p = F.col("quantity"), F.col("price")
     return clean.select(
@@ -104,23 +136,33 @@ def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int) -> tu
     return out, ["trade_date", "slice"]
 
 
-def segment_carry(legs: DataFrame, order: list[str]) -> DataFrame:
-    """Trades and buys strictly before each (instrument, segment): one row per segment."""
+def segment_carry(legs: DataFrame, order: list[str], opening: DataFrame | None = None) -> DataFrame:
+    """Trades and buys strictly before each (instrument, segment): one row per segment.
+
+    ``opening`` (from ``opening_book``) adds what happened before the first segment.
+    """
     before = Window.partitionBy("instrument_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     totals = legs.groupBy("instrument_id", *order).agg(
         F.count(F.lit(1)).alias("seg_n"), F.sum("buy_cost").alias("seg_cost"), F.sum("buy_qty").alias("seg_qty")
     )
-    return totals.select(
+    running = totals.select(
         "instrument_id",
         *order,
-        F.coalesce(F.sum("seg_n").over(before), F.lit(0)).alias("carry_n"),
-        F.coalesce(F.sum("seg_cost").over(before), F.lit(0)).alias("carry_cost"),
-        F.coalesce(F.sum("seg_qty").over(before), F.lit(0)).alias("carry_qty"),
+        F.coalesce(F.sum("seg_n").over(before), F.lit(0)).alias("run_n"),
+        F.coalesce(F.sum("seg_cost").over(before), F.lit(0)).cast(COST10).alias("run_cost"),
+        F.coalesce(F.sum("seg_qty").over(before), F.lit(0)).cast(QTY4).alias("run_qty"),
+    )
+    return _with_opening(running, opening).select(
+        "instrument_id",
+        *order,
+        (F.col("open_n") + F.col("run_n")).alias("carry_n"),
+        (F.col("open_cost") + F.col("run_cost")).alias("carry_cost"),
+        (F.col("open_qty") + F.col("run_qty")).alias("carry_qty"),
     )
 
 
 def positions(clean: DataFrame, segment_micros: int | None = None,
-              hot_rows: int = HOT_SEGMENT_ROWS) -> DataFrame:
+              hot_rows: int = HOT_SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
     """P2 + P3, one row per trade: signed quantity, prior buy cost / quantity, realised.
 
     ``prior_buy_cost`` / ``prior_buy_qty`` are NULL on an instrument's first trade
@@ -139,17 +181,16 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
         F.sum("buy_cost").over(within).alias("intra_cost"),
         F.sum("buy_qty").over(within).alias("intra_qty"),
         F.last("price").over(whole).alias("segment_close"),
-    ).join(segment_carry(legs, order), keys)
+    ).join(segment_carry(legs, order, opening), keys)
     empty_frame = (F.col("carry_n") + F.col("intra_n")) == 0
     # Narrow before adding: two decimal(38,10) sums would make Spark drop to scale 9.
-    cost10, qty4 = "decimal(28,10)", "decimal(28,4)"
     prior_cost = F.when(
         ~empty_frame,
-        F.col("carry_cost").cast(cost10) + F.coalesce(F.col("intra_cost"), F.lit(0)).cast(cost10),
+        F.col("carry_cost").cast(COST10) + F.coalesce(F.col("intra_cost"), F.lit(0)).cast(COST10),
     )
     prior_qty = F.when(
         ~empty_frame,
-        F.col("carry_qty").cast(qty4) + F.coalesce(F.col("intra_qty"), F.lit(0)).cast(qty4),
+        F.col("carry_qty").cast(QTY4) + F.coalesce(F.col("intra_qty"), F.lit(0)).cast(QTY4),
     )
     realised = F.when(
         _is_sell() & (F.coalesce(prior_qty, F.lit(0)) > 0),
@@ -190,16 +231,26 @@ def day_totals(pos: DataFrame) -> DataFrame:
     )
 
 
-def running_days(days: DataFrame) -> DataFrame:
-    """P5 + P7: closing position and cumulative buys through each day."""
+def running_days(days: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """P5 + P7: closing position and cumulative buys through each day (plus the opening book)."""
     upto = Window.partitionBy("instrument_id").orderBy("trade_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return days.select(
+    run = days.select(
         "*",
-        F.sum("net_qty").over(upto).alias("closing_position"),
-        F.sum("day_buy_cost").over(upto).alias("cum_buy_cost"),
-        F.sum("day_buy_qty").over(upto).alias("cum_buy_qty"),
+        F.sum("net_qty").over(upto).cast(QTY4).alias("_run_pos"),
+        F.sum("day_buy_cost").over(upto).cast(COST10).alias("_run_cost"),
+        F.sum("day_buy_qty").over(upto).cast(QTY4).alias("_run_qty"),
+    )
+    if opening is None:
+        return run.withColumnsRenamed(
+            {"_run_pos": "closing_position", "_run_cost": "cum_buy_cost", "_run_qty": "cum_buy_qty"}
+        )
+    return _with_opening(run, opening).select(
+        *days.columns,
+        (F.col("open_pos") + F.col("_run_pos")).alias("closing_position"),
+        (F.col("open_cost") + F.col("_run_cost")).alias("cum_buy_cost"),
+        (F.col("open_qty") + F.col("_run_qty")).alias("cum_buy_qty"),
     )
 
 
@@ -238,11 +289,11 @@ def daily_pnl(
 
     ``carry_in=False`` is the reference behaviour: trades before ``since`` are
     ignored, so positions and average cost restart from zero at ``since``.
-    ``carry_in=True`` computes the book over all history and returns only the
-    days >= since, which equals the full run restricted to those days.
+    ``carry_in=True`` equals the full run restricted to the days >= since, but
+    computes it as ``opening_book`` (one aggregate over history) plus the book
+    of the recent trades only.
     """
-    clean = valid if carry_in else clean_trades(valid, since)
-    out = finish(running_days(day_totals(positions(clean, segment_micros, hot_rows))))
-    if carry_in and since is not None:
-        out = out.where(F.col("pnl_date") >= F.lit(since))
-    return out
+    clean = clean_trades(valid, since)
+    opening = opening_book(valid, since) if carry_in and since is not None else None
+    days = day_totals(positions(clean, segment_micros, hot_rows, opening))
+    return finish(running_days(days, opening))

@@ -256,7 +256,7 @@ FROM b_real""")
     out["daily_marks"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
        {scaled('mark', 6, 'DECIMAL(18,6)')} AS close_price FROM b_run""")
     out["eod_cost"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
-       {scaled('cc', 10, 'DECIMAL(38,10)')} AS cum_buy_cost, {scaled('cq', 4, 'DECIMAL(38,4)')} AS cum_buy_qty FROM b_run""")
+       {scaled('cc', 10, 'DECIMAL(28,10)')} AS cum_buy_cost, {scaled('cq', 4, 'DECIMAL(28,4)')} AS cum_buy_qty FROM b_run""")
     out["daily_pnl_since"] = _q(EV_BASE + [ev_since] + book_ctes("ev_since", "s"), "SELECT * FROM s_pnl")
     out["daily_pnl_since_carry"] = _q(ev_book, f"SELECT * FROM b_pnl WHERE pnl_date >= {SINCE}")
     out["daily_pnl_hourly_segments"] = out["daily_pnl_lineitem"]
