@@ -60,6 +60,8 @@ def run_steps(spark, sf_dir: str, timings: dict[str, float]) -> dict:
     pnl_li = timed("daily_pnl_lineitem", lambda: jobs.compute_daily_pnl(li_store))
     timed("daily_pnl_events", lambda: jobs.compute_daily_pnl(ev_store))
     timed("daily_pnl_lineitem_since", lambda: jobs.compute_daily_pnl(li_store, since=dt.date(2000, 1, 1)))
+    timed("daily_pnl_lineitem_since_carry",
+          lambda: jobs.compute_daily_pnl(li_store, since=dt.date(2001, 6, 1), carry_in=True))
 
     # 3. Reads over the committed tables.
     m = li_store.manifest()
