@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import utc_wallclock
+from ..operators import book as _book
+from ..operators import ingest as _ingest
+from ..operators import merge as _merge
+from ..operators import quality as _quality
+from ..operators import views as _views
+from ..operators import watermark as _wm
+from ..operators.dedup import collapse_duplicates as _collapse
+from ..operators.instruments import seed_instruments as _seed
+from ..operators.valid import invalid_trades as _invalid
+from ..session import scratch_dir as _scratch
+from ..sources import derived as _derived
+from ..sources import feed_csv as _csv
+from . import jobs as _jobs
+from . import serve as _serve
 from . import workloads as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,19 +64,6 @@ def q_daily_pnl_lineitem(spark, sf):
 
 # ------------------------------------------------------------------ ingest
 
-import datetime as _dt  # noqa: E402
-
-from ..operators import book as _book  # noqa: E402
-from ..operators import ingest as _ingest  # noqa: E402
-from ..operators import merge as _merge  # noqa: E402
-from ..operators import quality as _quality  # noqa: E402
-from ..operators import watermark as _wm  # noqa: E402
-from ..operators import views as _views  # noqa: E402
-from ..operators.dedup import collapse_duplicates as _collapse  # noqa: E402
-from ..operators.instruments import seed_instruments as _seed  # noqa: E402
-from ..operators.valid import invalid_trades as _invalid  # noqa: E402
-from ..sources import derived as _derived  # noqa: E402
-from . import serve as _serve  # noqa: E402
 
 UTC = _dt.timezone.utc
 # Fixed parameters of the registered queries.
@@ -296,10 +298,6 @@ def q_serving_rows(spark, sf):
 
 # ------------------------------------------------------------------ files, store and jobs
 
-from ..session import scratch_dir as _scratch  # noqa: E402
-from ..sources import feed_csv as _csv  # noqa: E402
-from . import jobs as _jobs  # noqa: E402
-
 
 @register("feed_roundtrip")
 def q_feed_roundtrip(spark, sf):

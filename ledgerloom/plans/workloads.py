@@ -6,7 +6,6 @@ Each function is lazy: it returns a DataFrame plan over the parquet tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import book, ingest
 from ..operators.dedup import collapse_duplicates
@@ -57,5 +56,3 @@ def drop_volatile(df: DataFrame) -> DataFrame:
     """Remove run-time stamps (computed_at, ingested_at, updated_at) from an output."""
     return df.drop(*[c for c in ("computed_at", "ingested_at", "updated_at") if c in df.columns])
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("F",)]
