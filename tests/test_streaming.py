@@ -23,3 +23,23 @@ def test_available_now_stream_lands_new_files_once(spark, store, tmp_path):
     assert set(rows) == {"T1", "T2"}  # T3 is at or below the mark (Jan 2): skipped
     assert str(rows["T2"].price) == "7.000000"
     assert store.manifest()["marks"]["trades_csv"]["watermark_at"] == "2024-01-03T10:00:00+00:00"
+
+
+def test_each_micro_batch_is_its_own_load(spark, store, tmp_path):
+    """maxFilesPerTrigger=1: two micro-batches, two commits; the second sees the first's mark."""
+    import os
+    import time
+
+    inbox = tmp_path / "inbox2"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text(HEADER + "A1,1,BUY,1,5,2024-01-05T00:00:00Z\n")
+    time.sleep(1.1)
+    (inbox / "b.csv").write_text(HEADER + "B1,1,BUY,1,5,2024-01-01T00:00:00Z\nB2,1,BUY,1,5,2024-01-10T00:00:00Z\n")
+    os.utime(inbox / "a.csv", (time.time() - 60, time.time() - 60))  # a is older: processed first
+    before = store.version()
+    q = start_incremental_load(spark, str(inbox), store, scratch_dir(spark, "stream-ckpt"),
+                               max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert store.version() == before + 2
+    assert sorted(r.trade_id for r in store.trades().collect()) == ["A1", "B2"]  # B1 <= the mark of batch 1
+    assert store.manifest()["marks"]["trades_csv"]["rows_loaded"] == 2
