@@ -17,7 +17,7 @@ def test_demo_then_incremental_load_and_stats(spark, tmp_path, capsys):
                     "L1,1,BUY,1,1,2030-01-01T00:00:00Z\nL2,1,BUY,1,1,2000-01-01T00:00:00Z\n")
     assert main(["load", "--root", root, "--file", str(feed)]) == 0
     assert "read 2, upserted 1, skipped 1 below watermark" in capsys.readouterr().out
-    assert main(["pnl", "--root", root, "--since", "2030-01-01"]) == 0
+    assert main(["pnl", "--root", root, "--since", "2030-01-01", "--carry-in", "--hot-rows", "1"]) == 0
     assert "from 2030-01-01" in capsys.readouterr().out
     assert main(["stats", "--root", root]) == 0
     assert "trade_rows: 1001" in capsys.readouterr().out
