@@ -40,6 +40,10 @@ def running_pnl(
     """
     if not 1 <= limit <= MAX_RUNNING_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_RUNNING_LIMIT}")
+    if end is not None:
+        # Safe below the window: a running sum only looks backwards, so days after
+        # ``end`` never change the rows we keep - and the scan can skip them.
+        daily = daily.where(F.col("pnl_date") <= F.lit(end))
     out = running_view(daily, instrument)
     if symbol is not None:
         out = out.where(F.col("symbol") == F.lit(symbol))
@@ -56,6 +60,12 @@ def top_instruments(
     """Q3: ranks <= top_n (ties may return more rows), optional month given as any day in it."""
     if not 1 <= top_n <= MAX_TOP_N:
         raise ValueError(f"top_n must be between 1 and {MAX_TOP_N}")
+    if month is not None:
+        # Ranks are per month, so only that month's rows matter: a plain date range
+        # on pnl_date reaches the Parquet scan (min/max statistics), trunc() would not.
+        first = month.replace(day=1)
+        nxt = (first + dt.timedelta(days=32)).replace(day=1)
+        daily = daily.where((F.col("pnl_date") >= F.lit(first)) & (F.col("pnl_date") < F.lit(nxt)))
     out = top_instruments_by_month(daily, instrument).where(F.col("pnl_rank") <= top_n)
     if month is not None:
         out = out.where(F.col("month") == F.trunc(F.lit(month), "MM"))
