@@ -113,12 +113,14 @@ def _legs(clean: DataFrame) -> DataFrame:
     )
 
 
-def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int) -> tuple[DataFrame, list[str]]:
+def _segmented(legs: DataFrame, segment_micros: int | None,
+               hot_rows: int | None) -> tuple[DataFrame, list[str]]:
     """Add the ``slice`` of the UTC day each trade falls in; segments are (day, slice).
 
     Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
     Default: slice 0 (the whole day), except on hot days (more than ``hot_rows``
-    trades), which are cut into k = ceil(count / hot_rows) equal time slices.  The
+    trades), which are cut into k = ceil(count / hot_rows) equal time slices
+    (``hot_rows=None`` skips that detection pass for data known not to be skewed).  The
     hot table has at most total/hot_rows rows; it is joined without a hint, so the
     planner and AQE broadcast it by its real size.  Slices never cross midnight, and
     trades at the very same instant always share a slice.
@@ -127,6 +129,8 @@ def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int) -> tu
     if segment_micros is not None:
         slice_ = F.floor(micros_of_day / F.lit(segment_micros)).cast("long")
         return legs.select("*", slice_.alias("slice")), ["trade_date", "slice"]
+    if hot_rows is None:  # no detection pass: every day is one slice
+        return legs.select("*", F.lit(0).cast("long").alias("slice")), ["trade_date", "slice"]
     per_day = legs.groupBy("instrument_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
     hot = per_day.where(F.col("_n") > hot_rows).select(
         "instrument_id", "trade_date", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_k")
@@ -162,7 +166,7 @@ def segment_carry(legs: DataFrame, order: list[str], opening: DataFrame | None =
 
 
 def positions(clean: DataFrame, segment_micros: int | None = None,
-              hot_rows: int = HOT_SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
+              hot_rows: int | None = HOT_SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
     """P2 + P3, one row per trade: signed quantity, prior buy cost / quantity, realised.
 
     ``prior_buy_cost`` / ``prior_buy_qty`` are NULL on an instrument's first trade
@@ -283,7 +287,7 @@ def daily_pnl(
     *,
     carry_in: bool = False,
     segment_micros: int | None = None,
-    hot_rows: int = HOT_SEGMENT_ROWS,
+    hot_rows: int | None = HOT_SEGMENT_ROWS,
 ) -> DataFrame:
     """The daily_pnl rows for a set of valid trades.
 
