@@ -15,9 +15,10 @@ format instead (swap ``TableStore`` for ``DataFrame.mergeInto`` on a catalog).
 
 Tables:
   trade       append log: one directory per load batch (collapsed, so trade_id is
-              unique inside it) with ``batch_seq``; the current table is the
-              latest row per trade_id (``merge.latest_by_key``), keeping the
-              first ``ingested_at``.  ``compact_trades`` folds the log into one batch.
+              unique inside it, sorted by time within each file) with ``batch_seq``.
+              The current table is the oldest batch anti-joined with the keys of the
+              later ones, plus the newest later row per key, keeping the first
+              ``ingested_at``.  ``compact_trades`` folds the log into one batch.
   daily_pnl   one directory per month; a run rewrites only the months it touches.
   instrument  one directory per version.
   marks       the etl_watermark rows live in the manifest itself (one per stream).
