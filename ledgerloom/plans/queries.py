@@ -213,6 +213,12 @@ def q_daily_pnl_since_carry(spark, sf):
     return comparable(W.events_daily_pnl(spark, sf, since=SINCE, carry_in=True))
 
 
+@register("daily_pnl_lineitem_since_carry")
+def q_daily_pnl_lineitem_since_carry(spark, sf):
+    """Carry-in from 2000-01-01 over years of history: opening book + recent book = full run restricted."""
+    return comparable(W.lineitem_daily_pnl(spark, sf, since=_dt.date(2000, 1, 1), carry_in=True))
+
+
 @register("daily_pnl_hot_slices")
 def q_daily_pnl_hot_slices(spark, sf):
     """Every instrument-day with more than 2 trades cut into time slices: same rows as daily_pnl."""

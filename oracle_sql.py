@@ -261,6 +261,7 @@ FROM b_real""")
     out["daily_pnl_since_carry"] = _q(ev_book, f"SELECT * FROM b_pnl WHERE pnl_date >= {SINCE}")
     out["daily_pnl_hourly_segments"] = out["daily_pnl_lineitem"]
     out["daily_pnl_hot_slices"] = out["daily_pnl"]
+    out["daily_pnl_lineitem_since_carry"] = _q(li_book, "SELECT * FROM b_pnl WHERE pnl_date >= DATE '2000-01-01'")
 
     # views and the read surface
     ev_views = ev_book + [running_view("b_pnl", "events_dim"), monthly_view("b_pnl", "events_dim")]
