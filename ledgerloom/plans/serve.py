@@ -107,3 +107,8 @@ def to_jsonable(df: DataFrame) -> DataFrame:
             c = F.concat(F.date_format(utc_wallclock(c), "yyyy-MM-dd'T'HH:mm:ss"), frac, F.lit("+00:00"))
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def to_json_rows(df: DataFrame) -> DataFrame:
+    """Q5 as JSON text, one object per row (what an HTTP endpoint would return)."""
+    return to_jsonable(df).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
