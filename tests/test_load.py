@@ -227,3 +227,22 @@ def test_a_feed_split_into_two_files_lands_like_one_file(spark, store_factory, t
     ta, tb = a.trades().select(*cols), b.trades().select(*cols)
     assert ta.exceptAll(tb).count() == 0 and tb.exceptAll(ta).count() == 0
     assert {r.trade_id: r.price for r in ta.collect()}["K0"] == Decimal("380.000000")  # row 370 is the last K0
+
+
+def test_blank_lines_short_rows_and_long_rows(spark, tmp_path):
+    """Blank lines are skipped; a short row gets '' for its missing fields; a long row keeps
+    its first six fields (the extra ones are dropped, documented in the README)."""
+    from ledgerloom.operators.ingest import coerce_feed
+    from ledgerloom.sources.feed_csv import read_feed_csv
+
+    p = tmp_path / "f.csv"
+    p.write_text("trade_id,instrument_id,side,quantity,price,executed_at\n"
+                 "T1,1,BUY,5,10,2024-01-01T10:00:00Z\n\n"
+                 "T2,1,SELL\n"
+                 "T3,1,BUY,5,10,2024-01-02T10:00:00Z,surplus\n")
+    rows = {r.trade_id: r for r in read_feed_csv(spark, str(p)).collect()}
+    assert set(rows) == {"T1", "T2", "T3"}
+    assert (rows["T2"].quantity, rows["T2"].price, rows["T2"].executed_at) == ("", "", "")
+    assert rows["T3"].executed_at == "2024-01-02T10:00:00Z"
+    typed = {r.trade_id: r for r in coerce_feed(read_feed_csv(spark, str(p)).drop("feed_order")).collect()}
+    assert typed["T2"].quantity is None and typed["T2"].side == "SELL"
