@@ -113,42 +113,60 @@ def _legs(clean: DataFrame) -> DataFrame:
     )
 
 
-def _segmented(legs: DataFrame, segment_micros: int | None,
-               hot_rows: int | None) -> tuple[DataFrame, list[str]]:
-    """Add the ``slice`` of the UTC day each trade falls in; segments are (day, slice).
-
-    Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
-    Default: slice 0 (the whole day), except on hot days (more than ``hot_rows``
-    trades), which are cut into k = ceil(count / hot_rows) equal time slices
-    (``hot_rows=None`` skips that detection pass for data known not to be skewed).  The
-    hot table has at most total/hot_rows rows; it is joined without a hint, so the
-    planner and AQE broadcast it by its real size.  Slices never cross midnight, and
-    trades at the very same instant always share a slice.
+def _segments(legs: DataFrame, segment_micros: int | None,
+              hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """Cut each instrument's trades into segments (UTC day, slice); return
+    (trades with their ``slice``, per-segment totals seg_n / seg_cost / seg_qty).
+
+    Fixed ``segment_micros``: slice = floor(micros of the day / width), every day.
+    Default: one aggregate per (instrument, day) gives both the day totals and the
+    trade counts; days with more than ``hot_rows`` trades are cut into
+    k = ceil(count / hot_rows) equal time slices, and only their trades are
+    aggregated again per slice (an inner join with the hot table - when no day is
+    hot, AQE sees the empty side and drops that branch, scan included).  The hot
+    table has at most total / hot_rows rows and is joined without a hint.
+    ``hot_rows=None`` skips the detection.  Slices never cross midnight, and
+    trades at the same instant always share a slice.
     """
     micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
+    sums = [F.count(F.lit(1)).alias("seg_n"), F.sum("buy_cost").alias("seg_cost"),
+            F.sum("buy_qty").alias("seg_qty")]
     if segment_micros is not None:
-        slice_ = F.floor(micros_of_day / F.lit(segment_micros)).cast("long")
-        return legs.select("*", slice_.alias("slice")), ["trade_date", "slice"]
-    if hot_rows is None:  # no detection pass: every day is one slice
-        return legs.select("*", F.lit(0).cast("long").alias("slice")), ["trade_date", "slice"]
-    per_day = legs.groupBy("instrument_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
-    hot = per_day.where(F.col("_n") > hot_rows).select(
-        "instrument_id", "trade_date", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_k")
+        sliced = legs.select("*", F.floor(micros_of_day / F.lit(segment_micros)).cast("long").alias("slice"))
+        return sliced, sliced.groupBy("instrument_id", "trade_date", "slice").agg(*sums)
+    per_day = legs.groupBy("instrument_id", "trade_date").agg(*sums)
+    zero = F.lit(0).cast("long").alias("slice")
+    if hot_rows is None:
+        day_totals_ = per_day.select("instrument_id", "trade_date", zero, "seg_n", "seg_cost", "seg_qty")
+        return legs.select("*", zero), day_totals_
+    hot = per_day.where(F.col("seg_n") > hot_rows).select(
+        "instrument_id", "trade_date", F.ceil(F.col("seg_n") / F.lit(hot_rows)).cast("long").alias("_k")
     )
-    slice_ = F.coalesce(F.floor(micros_of_day * F.col("_k") / F.lit(MICROS_PER_DAY)), F.lit(0)).cast("long")
-    out = legs.join(hot, ["instrument_id", "trade_date"], "left").select(*legs.columns, slice_.alias("slice"))
-    return out, ["trade_date", "slice"]
+    slice_of_hot_day = F.floor(micros_of_day * F.col("_k") / F.lit(MICROS_PER_DAY)).cast("long")
+    keys = ["instrument_id", "trade_date"]
+    sliced = legs.join(hot, keys, "left").select(
+        *legs.columns, F.coalesce(slice_of_hot_day, F.lit(0)).cast("long").alias("slice")
+    )
+    hot_totals = (
+        legs.join(hot, keys)
+        .select("instrument_id", "trade_date", slice_of_hot_day.alias("slice"), "buy_cost", "buy_qty")
+        .groupBy("instrument_id", "trade_date", "slice")
+        .agg(*sums)
+    )
+    cold_totals = per_day.join(hot.select(*keys), keys, "left_anti").select(
+        "instrument_id", "trade_date", zero, "seg_n", "seg_cost", "seg_qty"
+    )
+    return sliced, cold_totals.unionByName(hot_totals)
 
 
-def segment_carry(legs: DataFrame, order: list[str], opening: DataFrame | None = None) -> DataFrame:
-    """Trades and buys strictly before each (instrument, segment): one row per segment.
+def segment_carry(totals: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """Trades and buys strictly before each (instrument, day, slice): one row per segment.
 
-    ``opening`` (from ``opening_book``) adds what happened before the first segment.
+    ``totals`` are the per-segment sums; ``opening`` (from ``opening_book``) adds
+    what happened before the first segment.
     """
+    order = ["trade_date", "slice"]
     before = Window.partitionBy("instrument_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    totals = legs.groupBy("instrument_id", *order).agg(
-        F.count(F.lit(1)).alias("seg_n"), F.sum("buy_cost").alias("seg_cost"), F.sum("buy_qty").alias("seg_qty")
-    )
     running = totals.select(
         "instrument_id",
         *order,
@@ -174,8 +192,8 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
     is the price of the segment's last execution (the same window ordering, so
     the same sort) and ``segment_rank`` orders segments within a day.
     """
-    legs, order = _segmented(_legs(clean), segment_micros, hot_rows)
-    keys = ["instrument_id", *order]
+    legs, totals = _segments(_legs(clean), segment_micros, hot_rows)
+    keys = ["instrument_id", "trade_date", "slice"]
     ordered = Window.partitionBy(*keys).orderBy("executed_at", "trade_id")
     within = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -185,7 +203,7 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
         F.sum("buy_cost").over(within).alias("intra_cost"),
         F.sum("buy_qty").over(within).alias("intra_qty"),
         F.last("price").over(whole).alias("segment_close"),
-    ).join(segment_carry(legs, order, opening), keys)
+    ).join(segment_carry(totals, opening), keys)
     empty_frame = (F.col("carry_n") + F.col("intra_n")) == 0
     # Narrow before adding: two decimal(38,10) sums would make Spark drop to scale 9.
     prior_cost = F.when(
