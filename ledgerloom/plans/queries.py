@@ -323,7 +323,7 @@ def q_loaded_trades(spark, sf):
     return comparable(store.trades())
 
 
-@register("pipeline")
+@register("trade_pipeline")
 def q_pipeline(spark, sf):
     """Q6 end to end on a CSV copy of the events feed: seed, load, aggregate, stats."""
     path = _csv.write_feed_csv(_derived.events_feed(spark, sf), _scratch(spark, "feed") + "/trades.csv")

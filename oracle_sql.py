@@ -301,7 +301,7 @@ FROM ({filt})""")
        CASE WHEN event_id % 1250 = 9 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS executed_at
 FROM events"""
     out["loaded_trades"] = _q([LINEITEM_FEED, LINEITEM_TRADES], "SELECT * FROM li_trades")
-    out["pipeline"] = out["stats"].replace("'events.parquet'", "'trades.csv'")
+    out["trade_pipeline"] = out["stats"].replace("'events.parquet'", "'trades.csv'")
     split = "TIMESTAMP '1998-01-01 00:00:00'"
     two = [LINEITEM_FEED, last_copy("li_a", "li_feed", f"executed_at < {split}"),
            last_copy("li_b", "li_feed", "executed_at IS NULL OR executed_at > (SELECT max(executed_at) FROM li_a)")]
