@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import quality_rules
+from ledgerloom.llm import quality_rules, token_counts
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,15 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _token_counts(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
     }
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled together in a task; bounds the working memory, not the texts.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACES = np.frombuffer(b" \t\n\v\f\r", np.uint8)
 IS_WORD = np.ones(256, bool)
