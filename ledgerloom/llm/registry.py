@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import quality_rules, token_counts
+from ledgerloom.llm import language_id, quality_classifier, quality_rules, token_counts
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,14 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return operator(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+    return run
+
+
 def _token_counts(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -28,8 +36,10 @@ def _token_counts(docs: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_quality_classifier": _with_labels(quality_classifier.quality),
         "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
+        "op9_language_id": _on_documents(language_id.language_id),
     }
 
 
