@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language_id, quality_classifier, quality_rules, token_counts
+from ledgerloom.llm import language_id, quality_classifier, quality_rules, token_counts, toxicity
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,7 @@ def _token_counts(docs: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_toxicity": _with_labels(toxicity.toxicity),
         "op4_quality_classifier": _with_labels(quality_classifier.quality),
         "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
