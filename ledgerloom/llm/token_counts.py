@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from ledgerloom.llm.textcodes import chunks
 
 #: Pieces remembered by a task at a time (a working-memory bound; forgotten pieces are computed anew).
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
 
 #: Fixed value: the split pattern that goes with the vocabulary.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
