@@ -12,7 +12,7 @@ model sharpens, only the bags that look toxic.  A part of the sample that
 training does not see calibrates the scores.
 
 Training takes at most ``TRAIN_DOCS`` labelled documents of each class, drawn
-with a fixed seed; scoring reads whole texts of all rows.
+by a hash of the id; scoring reads whole texts of all rows.
 
 Defined cases: texts without a word (null, empty, blank) have no bag and get the
 lowest score the calibration gives; without labels of both classes every score
@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import remainder
 from ledgerloom.llm.textcodes import IS_WORD, LOWER, Chunk, chunks
 
-#: Labelled documents of each class that training may take.
-TRAIN_DOCS = 2000
+#: Labelled documents that training may take: toxic, clean.
+TRAIN_DOCS = (1000, 2500)
 BAG_WORDS = 4
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 8
-EPOCHS = 8
+EPOCHS = 7
 _NO_BAG = -50.0
 _K = np.uint32(0x01000193)
 
@@ -159,7 +159,11 @@ def _train_bags(bucket: np.ndarray, first: np.ndarray, label: np.ndarray, doc: n
             bias -= 0.1 * to_bias / np.sqrt(seen_b)
         if epoch >= 1:  # of a toxic document, go on with the bags that look toxic
             w = table @ (soft[:, 1] - soft[:, 0])
-            logit = np.add.reduceat(np.append(w[bucket], 0), np.minimum(first[:-1], len(bucket)))
+            logit = np.full(len(size), _NO_BAG)
+            for k in range(0, len(size), 1 << 15):
+                part = size[k:k + (1 << 15)]
+                of = np.repeat(np.arange(len(part)), part)
+                logit[k:k + len(part)] = np.bincount(of, weights=w[bucket[first[k]:first[k + len(part)]]], minlength=len(part))
             logit = np.where(size > 0, logit / np.maximum(size, 1), _NO_BAG) + bias[1] - bias[0]
             top = np.full(doc.max() + 1, -np.inf)
             np.maximum.at(top, doc, logit)
@@ -169,7 +173,7 @@ def _train_bags(bucket: np.ndarray, first: np.ndarray, label: np.ndarray, doc: n
 
 
 def _as_chunks(texts: list[str]) -> Iterator[Chunk]:
-    yield from chunks(pa.array(texts, pa.large_string()), 4 << 20)
+    yield from chunks(pa.array(texts, pa.large_string()))
 
 
 def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 5) -> Model:
@@ -198,7 +202,11 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 5) -> Mo
         chunk_start += chunk.n
     doc = np.concatenate(doc)
     first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    weight, bias = _train_bags(np.concatenate(buckets), first, labels[learn][doc], doc, seed)
+    bucket = np.empty(int(first[-1]), np.int32)
+    for k, part in zip(np.cumsum([0, *map(len, buckets)]), list(buckets)):
+        bucket[k:k + len(part)] = part
+        buckets.pop(0)
+    weight, bias = _train_bags(bucket, first, labels[learn][doc], doc, seed)
     model = Model(weight.astype(np.float32), bias, 1.0, 0.0, share)
     # Platt calibration on the part set aside, at the true share of the classes.
     rest = np.flatnonzero(aside) if aside.any() else learn
@@ -220,18 +228,18 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 5) -> Mo
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", id_column: str = "doc_id",
-          column: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
+          column: str = "text", train_docs: tuple[int, int] = TRAIN_DOCS) -> Model:
     """Fit on a sample of the rows whose id is labelled and for which ``learn`` (over the id) holds."""
     own = labels.where(learn & F.col(label).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(
-        F.max(label).cast("int").alias("label"))
+        (F.max(label) > 0).cast("int").alias("label"))
     sizes = {r[0]: r[1] for r in own.groupBy("label").count().collect()}
     total = sum(sizes.values())
     if not total:
         return fit([], np.zeros(0), 0.0)
-    # The sample holds at most train_docs ids of each class, so it is small enough to broadcast.
+    # The sample holds at most train_docs ids of each class, so it has a fixed size and is broadcast.
     drawn = None
     for c in sorted(sizes):
-        part = own.where(F.col("label") == c).orderBy(F.xxhash64(id_column), id_column).limit(train_docs)
+        part = own.where(F.col("label") == c).orderBy(F.xxhash64(id_column), id_column).limit(train_docs[0] if c else train_docs[1])
         drawn = part if drawn is None else drawn.union(part)
     drawn = drawn.select(F.col(id_column).alias("sampled_id"), "label")
     rows = (docs.select(id_column, column).join(F.broadcast(drawn), F.col(id_column) == F.col("sampled_id"))
