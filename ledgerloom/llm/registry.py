@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language_id, quality_classifier, quality_rules, token_counts, toxicity
+from ledgerloom.llm import language_id, lm_scoring, quality_classifier, quality_rules, token_counts, toxicity
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_toxicity": _with_labels(toxicity.toxicity),
         "op4_quality_classifier": _with_labels(quality_classifier.quality),
+        "op6_lm_scores": _on_documents(lm_scoring.lm_scores),
         "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
         "op9_language_id": _on_documents(language_id.language_id),
