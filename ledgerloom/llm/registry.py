@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language_id, lm_scoring, quality_classifier, quality_rules, token_counts, toxicity
+from ledgerloom.llm import language_id, lm_scoring, mixing, quality_classifier, quality_rules, token_counts, toxicity
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,7 @@ def _token_counts(docs: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixed_sources": _on_documents(mixing.mixed_sources),
         "op3_toxicity": _with_labels(toxicity.toxicity),
         "op4_quality_classifier": _with_labels(quality_classifier.quality),
         "op6_lm_scores": _on_documents(lm_scoring.lm_scores),
@@ -46,7 +47,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": quality_rules.SQL}
+    return {"op1_mixed_sources": mixing.SQL, "op8_quality_rules": quality_rules.SQL}
 
 
 def stages() -> list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]]:
