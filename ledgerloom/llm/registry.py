@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import language_id, lm_scoring, mixing, quality_classifier, quality_rules, token_counts, toxicity
+from ledgerloom.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query
     return run
 
 
+def _with_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _token_counts(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -37,8 +42,10 @@ def _token_counts(docs: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_mixed_sources": _on_documents(mixing.mixed_sources),
+        "op2_ngram_join": _on_documents(ngram_join.join),
         "op3_toxicity": _with_labels(toxicity.toxicity),
         "op4_quality_classifier": _with_labels(quality_classifier.quality),
+        "op5_contaminated": _with_benchmark,
         "op6_lm_scores": _on_documents(lm_scoring.lm_scores),
         "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
