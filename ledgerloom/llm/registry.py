@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontamination, language_id, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
+from ledgerloom.llm import decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
 from ledgerloom.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,7 @@ def queries() -> dict[str, Query]:
         "op7_token_counts": _on_documents(_token_counts),
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
         "op9_language_id": _on_documents(language_id.language_id),
+        "op10_line_dedup": _on_documents(line_dedup.line_report),
     }
 
 
