@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import grouping
-from ledgerloom.llm.common import materialize, text_bytes
+from ledgerloom.llm.common import fresh, materialize, text_bytes
 from ledgerloom.llm.textcodes import Chunk, Words, chunks, distinct_pairs, mix, windows
 
 WORDS = 5
@@ -194,11 +194,8 @@ def _links(unit: pa.Table) -> pa.Table:
                      pa.array([*[0] * len(a), *count[linked]], pa.int64())], names=["a", "b", "n"])
 
 
-def join(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """(id, n_shingles, component, n_links) of every row; ``component``: the least id that links reach.
-
-    ``n_links`` counts other sets (not their copies) that the row's set links to.
-    """
+def groups(docs: DataFrame, id_column: str, column: str) -> DataFrame:
+    """(id, n_shingles, group, n_links) of every row; ``group``: null for the empty set."""
     texts = docs.select(column)
     packed = pack(texts, max(1, -(-text_bytes(texts, column) // BUCKET_BYTES)))
     live = materialize(grouping.live_items(packed), "live")
@@ -209,10 +206,35 @@ def join(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> Da
     links = materialize(units.groupBy("cluster", "x", "y").applyInArrow(_links, "a long, b long, n long"), "links")
     label = grouping.components(links.where("b is not null"))
     count = links.where("b is null").groupBy(F.col("a").alias("linked")).agg(F.sum("n").alias("n_links"))
-    known = (rows.drop("keys").join(label, F.col("item") == F.col("node"), "left")
-             .join(count, F.col("item") == F.col("linked"), "left")
-             .withColumn("group", F.coalesce("component", "item")).select(id_column, "n_shingles", "group", "n_links"))
+    return (rows.drop("keys").join(label, F.col("item") == F.col("node"), "left")
+            .join(count, F.col("item") == F.col("linked"), "left")
+            .select(id_column, "n_shingles", F.coalesce("component", "item").alias("group"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def join(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, n_links) of every row; ``component_id``: the least id that links reach.
+
+    ``n_links`` counts other sets (not their copies) that the row's set links to.
+    """
+    known = groups(docs, id_column, column)
     least = known.where("group is not null").groupBy(F.col("group").alias("of")).agg(F.min(id_column).alias("least"))
+    own = F.when(F.col("group").isNull(), F.col(id_column)).otherwise(F.col("least"))
     return known.join(least, F.col("group") == F.col("of"), "left").select(
-        id_column, "n_shingles", F.when(F.col("group").isNull(), F.col(id_column)).otherwise(F.col("least")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        id_column, "n_shingles", own.alias("component_id"), "n_links")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each component left: that of the least id (null ids last).
+
+    Rows equal in id and text are one document, of which one row stays; documents
+    with the empty set have no component and stay.
+    """
+    digest = F.xxhash64(id_column, column)
+    name = fresh(docs, "digest")
+    known = materialize(groups(docs.select(id_column, digest.alias("digest"), F.col(column).alias("body"))
+                               .select(F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), "digest")
+                                       .alias("row"), "body"), "row", "body"), "groups")
+    first = known.where("group is not null").groupBy("group").agg(F.min("row").alias("row")).select("row.digest")
+    keep = first.unionAll(known.where("group is null").select("row.digest")).distinct().select(F.col("digest").alias(name))
+    return docs.join(keep, digest == F.col(name)).dropDuplicates([name]).select(*docs.columns)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
-from ledgerloom.llm.common import ship, table
+from ledgerloom.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -58,5 +60,38 @@ def oracle_sql() -> dict[str, str]:
     return {"op1_mixed_sources": mixing.SQL, "op8_quality_rules": quality_rules.SQL}
 
 
-def stages() -> list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]]:
-    return []
+def _identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    learn = remainder(F.col("doc_id"), 3) != 1
+    return language_id.keep_identified(docs, language_id.train(docs, learn))
+
+
+def _dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return line_dedup.dedup_lines(docs)
+
+
+def _one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return ngram_join.keep_one(docs)
+
+
+def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return mixing.mix(docs)
+
+
+def stages() -> list[tuple[str, Stage]]:
+    """The pipeline: each takes (spark, docs, sf_dir); all but the last return the columns of docs."""
+    return [
+        ("language_id", _identify),
+        ("line_dedup", _dedup_lines),
+        ("ngram_join", _one_of_each_group),
+        ("decontamination", _decontaminate),
+        ("mixing", _mix),
+    ]
