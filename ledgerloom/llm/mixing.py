@@ -22,12 +22,17 @@ row of its own; an empty table gives an empty mixture; other columns are kept.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.llm.common import fresh
+from ledgerloom.llm.common import fresh, materialize
+from ledgerloom.llm.textcodes import Words, chunks
 
 BLOCK_TOKENS = 1 << 14
 #: Most passes over a source in the production mixture.
@@ -37,8 +42,18 @@ _GRID = 1 << 20
 _BUCKET_BLOCKS = 256
 
 
-def n_words(column: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(column), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+def count_words(docs: DataFrame, columns: list[Column], column: Column) -> DataFrame:
+    """``columns`` and, last, ``n_tokens``: the words of the text, none for null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [Words(c).counts for c in chunks(b.column(b.num_columns - 1))]
+            n = pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], n], names=[*b.schema.names[:-1], "n_tokens"])
+
+    given = docs.select(*columns, column.cast("string"))
+    schema = T.StructType([*given.schema.fields[:-1], T.StructField("n_tokens", T.LongType())])
+    return given.mapInArrow(run, schema)
 
 
 def _draw(*parts: Column) -> Column:
@@ -77,18 +92,14 @@ def exponent(sizes: DataFrame, max_repetition: float | None = MAX_REPETITION, ta
     return high / _GRID
 
 
-def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_entropy: float | None = None,
-        budget: int | None = None, id_column: str = "doc_id", column: str = "text", source_column: str = "source") -> DataFrame:
-    """The columns of ``docs``, once per pass that takes the row, with n_tokens, epoch, block, block_start, source_budget.
+def _source_key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
 
-    ``block_start`` counts the source's tokens before the block over all passes;
-    ordering by ``block_start / source_budget`` interleaves the sources.
-    """
-    names = docs.columns
-    key, size = fresh(docs, "mix_key"), fresh(docs, "n_tokens")
-    rows = docs.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col(source_column)), F.lit("-"))).withColumn(
-        size, n_words(column))
-    sizes = rows.groupBy(F.col(key).alias("k")).agg(F.sum(size).alias("tokens")).where("tokens > 0")
+
+def plan_mixture(measured: DataFrame, max_repetition: float | None, target_entropy: float | None,
+                 budget: int | None) -> tuple[DataFrame, DataFrame]:
+    """From (id, k, n_tokens): the sources (k, blocks) and the passes (k, block, epoch, block_start, source_budget)."""
+    sizes = materialize(measured.groupBy("k").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "sources")
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     a = exponent(sizes, max_repetition, target_entropy, budget)
     weight = F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(a))
@@ -96,10 +107,8 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
     each = (scale[1] if budget is None else budget / scale[0]) if total else 0.0
     plan = sizes.select("k", "tokens", F.round(weight * F.lit(float(each))).cast("long").alias("limit"),
                         F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("long").alias("blocks"))
-    block = F.shiftright(_draw(F.col(id_column)) * F.col("blocks"), 32)
-    by_source = F.col(key) == F.col("k")
-    dealt = rows.join(plan.select("k", "blocks"), by_source).withColumn("block", block)
-    held = dealt.groupBy("k", "block").agg(F.sum(size).alias("in_block")).join(plan, "k")
+    held = (measured.join(plan, "k").groupBy("k", _block().alias("block"))
+            .agg(F.sum("n_tokens").alias("in_block")).join(plan, "k"))
     passes = held.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("limit") - 1) / F.col("tokens")).cast("int"))))
     passes = passes.withColumn("draw", _draw(F.col("k"), F.col("block"), F.col("epoch")))
     passes = passes.withColumn("bucket", F.shiftright(F.col("draw") * F.ceil(F.col("blocks") / _BUCKET_BLOCKS), 32))
@@ -111,17 +120,40 @@ def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_e
         W.partitionBy(*bucket).orderBy("draw", "block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     taken = (passes.join(buckets, bucket)
              .withColumn("block_start", F.col("epoch") * F.col("tokens") + F.col("before") + inside)
-             .where("block_start < limit")
-             .select(F.col("k").alias("k2"), F.col("block").alias("block2"), "epoch", "block_start",
-                     F.col("limit").alias("source_budget")))
-    out = dealt.join(taken, (F.col("k") == F.col("k2")) & (F.col("block") == F.col("block2")))
-    extra = [F.col(size).alias(fresh(docs, "n_tokens")), *(F.col(c).alias(fresh(docs, c)) for c in
-                                                          ("epoch", "block", "block_start", "source_budget"))]
-    return out.select(*names, *extra)
+             .where("block_start < limit").select("k", "block", "epoch", "block_start", F.col("limit").alias("source_budget")))
+    return plan.select("k", "blocks"), taken
+
+
+def _block() -> Column:
+    """The block of a row: its id decides."""
+    return F.shiftright(_draw(F.col("id")) * F.col("blocks"), 32)
+
+
+def mix(docs: DataFrame, max_repetition: float | None = MAX_REPETITION, target_entropy: float | None = None,
+        budget: int | None = None, id_column: str = "doc_id", column: str = "text", source_column: str = "source") -> DataFrame:
+    """The columns of ``docs``, once per pass that takes the row, with n_tokens, epoch, block, block_start, source_budget.
+
+    ``block_start`` counts the source's tokens before the block over all passes;
+    ordering by ``block_start / source_budget`` interleaves the sources.
+    """
+    own = [F.col(id_column).alias("id"), _source_key(F.col(source_column)).alias("k")]
+    measured = materialize(count_words(docs, own, F.col(column)), "measured")
+    sources, taken = plan_mixture(measured, max_repetition, target_entropy, budget)
+    whole = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    rows = count_words(docs, [whole, *own], F.col(column)).join(sources, "k").withColumn("block", _block())
+    out = rows.join(taken, ["k", "block"])
+    extra = (F.col(c).alias(fresh(docs, c)) for c in ("n_tokens", "epoch", "block", "block_start", "source_budget"))
+    return out.select("row.*", *extra)
 
 
 def mixed_sources(docs: DataFrame) -> DataFrame:
-    return mix(docs).select("doc_id", "source", "n_tokens", "epoch", "block", "block_start", "source_budget")
+    """The production mixture of ids, without the texts."""
+    own = [F.col("doc_id").alias("id"), _source_key(F.col("source")).alias("k"), F.col("source")]
+    measured = materialize(count_words(docs, own, F.col("text")), "measured")
+    sources, taken = plan_mixture(measured, MAX_REPETITION, None, None)
+    rows = measured.join(sources, "k").withColumn("block", _block())
+    return rows.join(taken, ["k", "block"]).select(
+        F.col("id").alias("doc_id"), "source", "n_tokens", "epoch", "block", "block_start", "source_budget")
 
 
 SQL = r"""
