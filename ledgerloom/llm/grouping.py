@@ -151,10 +151,11 @@ class Sieve:
                                              names=["bits"])
 
         def either(x: bytes, y: bytes) -> bytes:
-            return (np.frombuffer(x, np.uint8) | np.frombuffer(y, np.uint8)).tobytes()
+            return (np.frombuffer(x, np.uint8) | np.frombuffer(y, np.uint8)).tobytes() if x and y else x or y
 
-        bits = items.coalesce(8).mapInArrow(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeReduce(either)
-        return cls(np.frombuffer(bits, np.uint8))
+        bits = items.coalesce(8).mapInArrow(run, "bits binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(
+            b"", either, either)
+        return cls(np.frombuffer(bits or bytes(size // 8), np.uint8))
 
     def holds(self, item: np.ndarray) -> np.ndarray:
         out = np.ones(len(item), bool)

@@ -152,8 +152,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
-p AS (SELECT r, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM w),
-g AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS c FROM p),
+p AS (SELECT r, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+o AS (SELECT r, i, a, lead(a) OVER z AS b, lead(a, 2) OVER z AS c FROM p WINDOW z AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS c FROM o WHERE c IS NOT NULL),
 c AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM g WHERE c > 1) GROUP BY r),
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
 k AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM l
