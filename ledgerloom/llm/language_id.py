@@ -33,6 +33,7 @@ from ledgerloom.llm.textcodes import Chunk, chunks
 ORDER = 3
 #: Labelled documents per language that the trees are learnt from (expected number; whole texts).
 TRAIN_DOCS = 1000
+_ROWS = 2048
 
 
 def _contexts(chunk: Chunk, symbols: np.ndarray) -> list[np.ndarray]:
@@ -113,16 +114,14 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def build_trees(rows: list[tuple[str, int, int]]) -> Trees:
-    """Trees from (lang, gram, count); everything that scoring needs, as tables."""
-    languages = sorted({r[0] for r in rows})
-    if not rows:
+def build_trees(lang_names: list[str], gram: np.ndarray, n: np.ndarray) -> Trees:
+    """Trees from parallel arrays (language, gram, count); everything that scoring needs, as tables."""
+    languages = sorted(set(lang_names))
+    if not languages:
         return Trees([], np.ones(256, np.int16), np.zeros(8, np.int32), np.zeros((1, 2, 0), np.float32))
     place = {name: i for i, name in enumerate(languages)}
-    lang = np.array([place[r[0]] for r in rows])
-    gram = np.array([r[1] for r in rows], np.int64)
-    n = np.array([r[2] for r in rows], np.float64)
-    digits = np.stack([(gram >> (9 * k)) & 511 for k in range(ORDER, -1, -1)])  # oldest context byte first
+    lang = np.array([place[x] for x in lang_names], np.int8)
+    digits = np.stack([((gram >> (9 * k)) & 511).astype(np.int16) for k in range(ORDER, -1, -1)])  # oldest byte first
     seen = np.unique(digits[-1])
     symbol = np.ones(256, np.int16)
     symbol[seen - 2] = np.arange(2, len(seen) + 2)
@@ -132,48 +131,48 @@ def build_trees(rows: list[tuple[str, int, int]]) -> Trees:
     digits = code[digits]  # in symbols; 0 stays "before the text"
     unseen = 256 - len(seen)
 
-    # Order -1 and 0: one row.  p: row, symbol, language.
+    # Order -1: one row of equal probabilities.  p: row, symbol, language.
     levels = []
-    lower = np.full((1, size, len(languages)), 1 / 256)
+    lower = np.full((1, size, len(languages)), 1 / 256, np.float32)
     lower[:, 0] = 0.0
     lower_row = np.zeros(1, np.int64)  # row of the only context of order -1
     for order in range(ORDER + 1):
         context = np.zeros(digits.shape[1], np.int64)
         for d in digits[ORDER - order:ORDER]:
             context = context * size + d
-        keys, row = np.unique(context, return_inverse=True)
-        count = np.zeros((len(keys), size, len(languages)), np.float64)
-        np.add.at(count, (row, digits[-1], lang), n)
-        parent = lower_row[keys % size ** max(order - 1, 0)] if order else np.zeros(len(keys), np.int64)
-        p = lower[parent]
-        total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
-        known = total > 0
-        weight = np.ones(size)
-        weight[0], weight[1] = 0, unseen
-        left = 1.0 - np.where(count > 0, p, 0.0).sum(1, keepdims=True)
-        escape = np.where(left > 1e-12, kinds / np.maximum(total + kinds, 1) / np.maximum(left, 1e-12), 0.0)
-        here = np.where(count > 0, count / np.maximum(total + kinds, 1), escape * p)
-        p = np.where(known, here, p)
+        keys = np.unique(context)
+        by = np.argsort(context, kind="stable")
+        edge = np.searchsorted(context[by], keys)
+        p = np.empty((len(keys), size, len(languages)), np.float32)
+        for k in range(0, len(keys), _ROWS):  # in blocks of rows, to hold little at a time
+            last = edge[k + _ROWS] if k + _ROWS < len(keys) else len(by)
+            own = by[edge[k]:last]
+            count = np.zeros(p[k:k + _ROWS].shape)
+            np.add.at(count, (np.searchsorted(keys, context[own]) - k, digits[-1][own], lang[own]), n[own])
+            before = lower[lower_row[keys[k:k + _ROWS] % size ** max(order - 1, 0)]] if order else lower
+            before = np.broadcast_to(before, count.shape).astype(np.float64)
+            total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
+            left = 1.0 - np.where(count > 0, before, 0.0).sum(1, keepdims=True)
+            escape = np.where(left > 1e-9, kinds / np.maximum(total + kinds, 1) / np.maximum(left, 1e-9), 0.0)
+            here = np.where(count > 0, count / np.maximum(total + kinds, 1), escape * before)
+            p[k:k + _ROWS] = np.where(total > 0, here, before)
         p[:, 0] = 0.0
         row_of = np.full(size ** order, -1, np.int64)
         row_of[keys] = np.arange(len(keys))
         levels.append((row_of, p))
         lower, lower_row = p, row_of  # the suffix of a counted context is counted itself
     # All contexts of full order, each pointing at the row of its longest seen suffix.
-    base, row, tables = 0, np.full(size ** ORDER, -1, np.int64), []
+    starts = np.cumsum([0, *(len(p) for _, p in levels)])
     every = np.arange(size ** ORDER)
-    offsets = []
-    for row_of, p in levels:
-        offsets.append(base)
-        base += len(p)
-        tables.append(p)
+    row = np.full(size ** ORDER, -1, np.int64)
     for order in range(ORDER, -1, -1):
         found = levels[order][0][every % size ** order]
-        row = np.where((row < 0) & (found >= 0), found + offsets[order], row)
-    p = np.concatenate(tables)
-    bits = np.zeros(p.shape, np.float32)
-    np.log2(np.maximum(p, 1e-30), out=bits, casting="unsafe")
-    return Trees(languages, symbol, row.astype(np.int32), -bits)
+        row = np.where((row < 0) & (found >= 0), found + starts[order], row)
+    bits = np.empty((starts[-1], size, len(languages)), np.float32)
+    for at, (_, p) in zip(starts, levels):
+        np.log2(np.maximum(p, 1e-30), out=bits[at:at + len(p)])
+    np.negative(bits, out=bits)
+    return Trees(languages, symbol, row.astype(np.int32), bits)
 
 
 def train(docs: DataFrame, learn: Column, lang_column: str = "lang", column: str = "text",
@@ -181,11 +180,13 @@ def train(docs: DataFrame, learn: Column, lang_column: str = "lang", column: str
     """Trees from the rows where ``learn`` holds and the language and text are known."""
     labelled = docs.where(learn & F.col(lang_column).isNotNull() & F.col(column).isNotNull())
     sizes = labelled.groupBy(lang_column).count().collect()
+    none = np.zeros(0, np.int64)
     if not sizes:
-        return build_trees([])
+        return build_trees([], none, none)
     drawn = labelled.sampleBy(lang_column, {r[0]: min(1.0, train_docs / r[1]) for r in sizes}, 7)
     grams = count_grams(drawn.select(F.col(lang_column).alias("lang"), F.col(column).alias("text")))
-    return build_trees([tuple(r) for r in grams.collect()])
+    rows = grams.toArrow()
+    return build_trees(rows["lang"].to_pylist(), *(np.asarray(rows[c].combine_chunks()) for c in ("gram", "n")))
 
 
 def readable(column: str = "text") -> Column:

@@ -125,7 +125,8 @@ def test_probabilities_of_every_context_add_up_to_one():
                 g = g * 512 + k
             found, n = np.unique(g * 512 + s, return_counts=True)
             grams += [(lang, int(a), int(b)) for a, b in zip(found, n)]
-    trees = language_id.build_trees(grams)
+    names, gram, n = zip(*grams)
+    trees = language_id.build_trees(list(names), np.array(gram), np.array(n))
     p = np.exp2(-trees.bits.astype(float))
     weight = np.ones(trees.bits.shape[1])
     weight[0], weight[1] = 0, 256 - (trees.bits.shape[1] - 2)
