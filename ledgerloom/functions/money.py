@@ -1,16 +1,24 @@
 """Exact decimal forms for average-cost PnL.
 
 The accounting is  realised = (price - cost/qty) * quantity  and
-unrealised = (close - cost/qty) * position.  Written naively, Spark's decimal
-rules widen ``price * qty`` past 38 digits and silently drop scale to 6.  The
-forms below keep every intermediate exact and do exactly one division, at the
-end, rounded half away from zero to scale 10; the caller sums at scale 10 and
-rounds once more to the column's scale 6 - the same single rounding a numeric
-column applies on insert.
-
-Domain (ANSI mode raises beyond it, it never wraps or goes NULL):
-price and mark < 1e8, single quantity and position < 1e9, cumulative buy
-quantity < 1e14, cumulative buy cost < 1e18.
+unrealised = (close - cost/qty) * position, rounded half away from zero at scale
+10; the caller sums at scale 10 and rounds once more to the column's scale 6.
+
+Spark decimals have 38 digits, fewer than the products above need, so the
+division is carried out in steps that are each exact.  With ``a`` the average
+cost cut to 6 digits, ``r`` the rest of that division and ``u`` the quantity in
+units of 0.0001,
+
+    (price - cost/qty) * u  =  (price - a) * u  -  r * u / qty',
+
+where qty' is the quantity in units of the average's last digit.  ``r * u / qty'``
+is divided like on paper, nine digits of ``u`` at a time, and the last rest
+decides the rounding.
+
+Domain: every price the column holds (< 1e12), every quantity and position it
+holds (< 1e14), cumulative buy quantity < 1e20, cumulative buy cost < 1e27.  A
+position beyond its column's range gives NULL values in its own row, not an
+error.
 """
 
 from __future__ import annotations
@@ -21,29 +29,64 @@ from pyspark.sql import functions as F
 from ..schema import PRICE_TYPE, QTY_TYPE
 
 SCALE10 = "decimal(38,10)"
+#: Cumulative buy cost, narrow enough that adding two keeps scale 10.
+COST = "decimal(37,10)"
+#: Cumulative quantity, narrow enough for the steps of the division.
+QTY = "decimal(24,4)"
+_CHUNK = 1_000_000_000
+
+
+def _unit(scale: int) -> Column:
+    """10 ** -scale as a decimal of that scale."""
+    return F.lit(f"0.{'0' * (scale - 1)}1").cast(f"decimal({scale},{scale})")
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole part of a / b as a long; a and b not negative."""
+    return F.call_function("div", a, b)
+
+
+def _average(cost: Column, qty: Column) -> tuple[Column, Column, Column]:
+    """cost / qty cut to 6 digits, the rest, and the quantity in units of the last digit."""
+    small = (qty.cast(QTY) * _unit(6)).cast("decimal(24,10)")
+    cost = cost.cast(SCALE10)
+    average = (_div(cost, small).cast("decimal(18,0)") * _unit(6)).cast("decimal(18,6)")
+    return average, (cost % small).cast("decimal(24,10)"), small
 
 
-def _spread_times_units(price: Column, cost: Column, qty: Column, units: Column) -> Column:
-    """(price * qty - cost) * units / qty  ->  decimal(38,10), one rounding."""
-    spread = (price.cast("decimal(14,6)") * qty.cast("decimal(18,4)") - cost.cast("decimal(28,10)")).cast(
-        "decimal(24,10)"
-    )
-    return spread * units.cast("decimal(13,4)") / qty.cast("decimal(18,4)")
+def _times_units(price: Column, cost: Column, qty: Column, units: Column) -> Column:
+    """(price - cost / qty) * units, rounded half away from zero to scale 10; units >= 0, qty > 0."""
+    average, rest, small = _average(cost, qty)
+    u = (units.cast("decimal(18,4)") * F.lit(10_000)).cast("long")
+    high, low = _div(u, F.lit(_CHUNK)).cast("decimal(10,0)"), (u % _CHUNK).cast("decimal(10,0)")
+    first = rest * high
+    q1, r1 = _div(first, small), (first % small).cast("decimal(24,10)")
+    second = r1 * F.lit(_CHUNK).cast("decimal(10,0)") + rest * low
+    q2, r2 = _div(second, small), (second % small).cast("decimal(24,10)")
+    taken = (q1 * _CHUNK + q2).cast("decimal(19,0)") * _unit(10)
+    exact = ((price.cast("decimal(18,6)") - average) * units.cast("decimal(18,4)")).cast("decimal(37,10)") - taken
+    # What is left to subtract is r2 / small of the last digit: half or more goes away from zero.
+    up = F.when(exact > 0, r2 + r2 > small).otherwise(r2 + r2 >= small)
+    return exact.cast("decimal(37,10)") - F.when(up, _unit(10)).otherwise(F.lit(0).cast("decimal(10,10)"))
 
 
 def realised_on_sell(price: Column, quantity: Column, prior_cost: Column, prior_qty: Column) -> Column:
     """(price - prior_cost/prior_qty) * quantity at scale 10."""
-    return _spread_times_units(price, prior_cost, prior_qty, quantity)
+    return _times_units(price, prior_cost, prior_qty, quantity)
 
 
 def unrealised_at_mark(close: Column, cum_cost: Column, cum_qty: Column, position: Column) -> Column:
-    """(close - cum_cost/cum_qty) * position at scale 10."""
-    return _spread_times_units(close, cum_cost, cum_qty, position)
+    """(close - cum_cost/cum_qty) * position at scale 10; NULL where the position is out of its range."""
+    held = position.try_cast(QTY_TYPE)
+    value = _times_units(close, cum_cost, cum_qty, F.abs(held)).cast("decimal(37,10)")
+    # 0 - x, since unary minus rounds to 34 digits.
+    return F.when(held < 0, F.lit(0).cast("decimal(37,10)") - value).otherwise(value)
 
 
 def average_cost(cum_cost: Column, cum_qty: Column) -> Column:
-    """cum_cost / cum_qty at scale 16 (cast to the price type by the caller)."""
-    return cum_cost.cast("decimal(28,10)") / cum_qty.cast("decimal(18,4)")
+    """cum_cost / cum_qty rounded half away from zero to scale 6; both positive."""
+    whole, rest, small = _average(cum_cost, cum_qty)
+    return whole + F.when(rest + rest >= small, _unit(6)).otherwise(F.lit(0).cast("decimal(6,6)"))
 
 
 def zero10() -> Column:
@@ -51,8 +94,8 @@ def zero10() -> Column:
 
 
 def to_price(c: Column) -> Column:
-    return c.cast(PRICE_TYPE)
+    return c.try_cast(PRICE_TYPE)
 
 
 def to_qty(c: Column) -> Column:
-    return c.cast(QTY_TYPE)
+    return c.try_cast(QTY_TYPE)

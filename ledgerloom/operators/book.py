@@ -10,10 +10,11 @@ position and end-of-day average cost run over all days so far.
 Plan shape (no window is ever partitioned by instrument alone over trades, so
 a hot instrument cannot serialise the job):
 
-1. segments: (instrument, UTC day, slice).  By default a day is one slice; a
-   day with more than ``hot_rows`` trades is cut into k time slices
-   (k = ceil(count / hot_rows)), found by one partial aggregate and joined back
-   (at most total / hot_rows hot days, so that table stays small).
+1. segments: (instrument, UTC day, slice).  A day is one slice, except that the
+   trades of days with more than ``hot_rows`` of them are range-partitioned by
+   (instrument, day, executed_at, trade_id) and each range is a slice, so trades
+   of one instant are cut as well.  The cut rows are written once under the
+   checkpoint folder: every later step sees the same slices.
    ``segment_micros`` instead cuts every day into slices of that width.
 2. ``segment_carry``: buy cost/qty per segment - a partial aggregate, then a
    running sum over that small table gives the carry-in (everything bought in
@@ -25,8 +26,7 @@ a hot instrument cannot serialise the job):
    then one running window over the (instrument, day) table for closing
    position and cumulative cost.
 
-The sums are exact decimals, so regrouping changes no digit.  Trades at the
-same instant share a segment (the order needs them together).
+The sums are exact decimals, so regrouping changes no digit.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..session import scratch_dir
 
 
 def _is_buy() -> Column:
@@ -60,13 +61,12 @@ def clean_trades(valid: DataFrame, since: dt.date | None = None) -> DataFrame:
     return valid.where(F.col("executed_at") >= F.lit(start)).where(F.col("trade_date") >= F.lit(since))
 
 
-# A (instrument, day) with more trades than this is cut into time slices, so no
-# window partition holds more than about this many rows.
+# A (instrument, day) with more trades than this is cut into slices of about this many.
 HOT_SEGMENT_ROWS = 1_000_000
 MICROS_PER_DAY = 86_400_000_000
 
 
-COST10, QTY4 = "decimal(28,10)", "decimal(28,4)"  # narrowed so adding two sums keeps the scale
+COST10, QTY4 = money.COST, "decimal(28,4)"  # narrowed so adding two sums keeps the scale
 
 
 def opening_book(valid: DataFrame, since: dt.date) -> DataFrame:
@@ -86,6 +86,17 @@ def opening_book(valid: DataFrame, since: dt.date) -> DataFrame:
     )
 
 
+def opening_from_days(days: DataFrame, since: dt.date) -> DataFrame:
+    """The opening book from stored day sums (``daily_pnl`` rows with ``DAY_SUMS``): no trade is read."""
+    earlier = days.where(F.col("pnl_date") < F.lit(since))
+    return earlier.groupBy("instrument_id").agg(
+        F.sum("trade_count").alias("open_n"),
+        F.sum(DAY_SUMS[1]).cast(COST10).alias("open_cost"),
+        F.sum(DAY_SUMS[2]).cast(QTY4).alias("open_qty"),
+        F.sum(DAY_SUMS[0]).cast(QTY4).alias("open_pos"),
+    )
+
+
 def _with_opening(df: DataFrame, opening: DataFrame | None) -> DataFrame:
     """Attach the opening book (zeros when there is none)."""
     if opening is None:
@@ -118,26 +129,30 @@ def _segmented(legs: DataFrame, segment_micros: int | None,
     """Add the ``slice`` of the UTC day each trade falls in; segments are (day, slice).
 
     Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
-    Default: slice 0 (the whole day), except on hot days (more than ``hot_rows``
-    trades), which are cut into k = ceil(count / hot_rows) equal time slices
-    (``hot_rows=None`` skips that detection pass for data known not to be skewed).  The
-    hot table has at most total/hot_rows rows; it is joined without a hint, so the
-    planner and AQE broadcast it by its real size.  Slices never cross midnight, and
-    trades at the very same instant always share a slice.
+    Default: slice 0 (the whole day) except for the trades of hot days, whose slice is
+    their range in (instrument, day, executed_at, trade_id) order.  Whether there are hot
+    days is found by one aggregate when the plan is made (``hot_rows=None`` skips it, for
+    data known not to be skewed).
     """
-    micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
+    order = ["trade_date", "slice"]
     if segment_micros is not None:
-        slice_ = F.floor(micros_of_day / F.lit(segment_micros)).cast("long")
-        return legs.select("*", slice_.alias("slice")), ["trade_date", "slice"]
-    if hot_rows is None:  # no detection pass: every day is one slice
-        return legs.select("*", F.lit(0).cast("long").alias("slice")), ["trade_date", "slice"]
-    per_day = legs.groupBy("instrument_id", "trade_date").agg(F.count(F.lit(1)).alias("_n"))
-    hot = per_day.where(F.col("_n") > hot_rows).select(
-        "instrument_id", "trade_date", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("long").alias("_k")
-    )
-    slice_ = F.coalesce(F.floor(micros_of_day * F.col("_k") / F.lit(MICROS_PER_DAY)), F.lit(0)).cast("long")
-    out = legs.join(hot, ["instrument_id", "trade_date"], "left").select(*legs.columns, slice_.alias("slice"))
-    return out, ["trade_date", "slice"]
+        micros_of_day = F.pmod(F.unix_micros("executed_at"), F.lit(MICROS_PER_DAY))
+        return legs.select("*", F.floor(micros_of_day / F.lit(segment_micros)).cast("long").alias("slice")), order
+    plain = legs.select("*", F.lit(0).cast("long").alias("slice"))
+    if hot_rows is None:
+        return plain, order
+    day = ["instrument_id", "trade_date"]
+    hot = legs.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    total = hot.agg(F.sum("n")).first()[0]
+    if not total:
+        return plain, order
+    slices = max(2, -(-total // hot_rows))
+    cut = (legs.join(hot.select(*day), day, "left_semi").repartitionByRange(slices, *day, "executed_at", "trade_id")
+           .withColumn("slice", F.spark_partition_id().cast("long")).select(*plain.columns))
+    path = scratch_dir(legs.sparkSession, "hot-days")
+    cut.write.parquet(path)
+    cut = legs.sparkSession.read.schema(cut.schema).parquet(path)
+    return plain.join(hot.select(*day), day, "left_anti").select(*plain.columns).unionByName(cut), order
 
 
 def segment_carry(legs: DataFrame, order: list[str], opening: DataFrame | None = None) -> DataFrame:
@@ -258,26 +273,42 @@ def running_days(days: DataFrame, opening: DataFrame | None = None) -> DataFrame
     )
 
 
-def finish(run: DataFrame) -> DataFrame:
-    """The daily_pnl projection, values rounded once to the column scales."""
-    has_buys = F.col("cum_buy_qty") > 0
-    avg = F.when(has_buys, money.to_price(money.average_cost(F.col("cum_buy_cost"), F.col("cum_buy_qty"))))
-    unreal = F.when(
-        has_buys,
-        money.unrealised_at_mark(
-            F.col("close_price"), F.col("cum_buy_cost"), F.col("cum_buy_qty"), F.col("closing_position")
-        ),
-    ).otherwise(money.zero10())
+def _unrealised(run_columns: tuple[str, str, str, str] = ("close_price", "cum_buy_cost", "cum_buy_qty", "closing_position")) -> Column:
+    return F.when(F.col("cum_buy_qty") > 0, money.unrealised_at_mark(*(F.col(c) for c in run_columns))).otherwise(money.zero10())
+
+
+def _average() -> Column:
+    return F.when(F.col("cum_buy_qty") > 0, money.to_price(money.average_cost(F.col("cum_buy_cost"), F.col("cum_buy_qty"))))
+
+
+def wide_days(valid: DataFrame) -> DataFrame:
+    """The daily book before its values are narrowed to the column scales of ``daily_pnl``."""
+    run = running_days(day_totals(positions(valid)))
+    return run.select("instrument_id", "trade_date", "trade_count", "closing_position", "cum_buy_cost",
+                      F.col("realised_pnl").cast(money.SCALE10).alias("realised_pnl"),
+                      _unrealised().cast(money.SCALE10).alias("unrealised_pnl"), _average().alias("avg_cost"))
+
+
+DAY_SUMS = ("day_net_qty", "day_buy_cost", "day_buy_qty")
+
+
+def finish(run: DataFrame, with_sums: bool = False) -> DataFrame:
+    """The daily_pnl projection, values rounded once to the column scales.
+
+    ``with_sums`` adds what a later opening book needs of the day (``DAY_SUMS``).
+    """
     return run.select(
         F.col("trade_date").alias("pnl_date"),
         "instrument_id",
         "trade_count",
         money.to_qty(F.col("closing_position")).alias("closing_position"),
-        avg.alias("avg_cost"),
+        _average().alias("avg_cost"),
         money.to_price(F.col("close_price")).alias("close_price"),
         money.to_price(F.col("realised_pnl")).alias("realised_pnl"),
-        money.to_price(unreal).alias("unrealised_pnl"),
+        money.to_price(_unrealised()).alias("unrealised_pnl"),
         F.current_timestamp().alias("computed_at"),
+        *((F.col("net_qty").cast(QTY4).alias(DAY_SUMS[0]), F.col("day_buy_cost").cast(COST10).alias(DAY_SUMS[1]),
+           F.col("day_buy_qty").cast(QTY4).alias(DAY_SUMS[2])) if with_sums else ()),
     )
 
 
@@ -288,16 +319,22 @@ def daily_pnl(
     carry_in: bool = False,
     segment_micros: int | None = None,
     hot_rows: int | None = HOT_SEGMENT_ROWS,
+    opening: DataFrame | None = None,
+    with_sums: bool = False,
 ) -> DataFrame:
     """The daily_pnl rows for a set of valid trades.
 
     ``carry_in=False`` is the reference behaviour: trades before ``since`` are
     ignored, so positions and average cost restart from zero at ``since``.
     ``carry_in=True`` equals the full run restricted to the days >= since, but
-    computes it as ``opening_book`` (one aggregate over history) plus the book
-    of the recent trades only.
+    computes it as an opening book plus the book of the recent trades only.  The
+    opening book is ``opening`` if given (``opening_from_days``), else one
+    aggregate over the earlier trades.
     """
     clean = clean_trades(valid, since)
-    opening = opening_book(valid, since) if carry_in and since is not None else None
+    if not carry_in or since is None:
+        opening = None
+    elif opening is None:
+        opening = opening_book(valid, since)
     days = day_totals(positions(clean, segment_micros, hot_rows, opening))
-    return finish(running_days(days, opening))
+    return finish(running_days(days, opening), with_sums)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RUNNING_COLUMNS = (
@@ -36,15 +36,36 @@ def running_pnl(daily: DataFrame, instrument: DataFrame) -> DataFrame:
     )
 
 
-def top_instruments_by_month(daily: DataFrame, instrument: DataFrame) -> DataFrame:
+def _coarse(value: Column) -> Column:
+    """A number that never falls as ``value`` rises: sign, length and leading digits of the value."""
+    digits = F.abs(value * 1_000_000).cast("decimal(38,0)").cast("string")
+    size = F.length(digits) * 1000 + F.rpad(F.substring(digits, 1, 3), 3, "0").cast("int")
+    return F.when(value < 0, -size).when(value == 0, F.lit(0)).otherwise(size)
+
+
+def top_instruments_by_month(daily: DataFrame, instrument: DataFrame, at_most: int | None = None) -> DataFrame:
     """v_top_instruments_by_month: monthly realised and trade count, RANK() by realised desc.
 
-    Ties share a rank and the next rank skips (RANK, not DENSE_RANK).
+    Ties share a rank and the next rank skips (RANK, not DENSE_RANK).  The rank is
+    found in two levels, so no window holds a whole month: the rows of coarser
+    buckets above, then the greater values inside the bucket.  With ``at_most``
+    only ranks up to it are wanted; a plain rank window is then cut to so many rows
+    per task before its shuffle.
     """
     monthly = (
         _with_instrument(daily, instrument)
         .groupBy(F.trunc("pnl_date", "MM").alias("month"), "instrument_id", "symbol", "asset_class")
         .agg(F.sum("realised_pnl").alias("realised_pnl"), F.sum("trade_count").alias("trade_count"))
     )
-    w = Window.partitionBy("month").orderBy(F.desc("realised_pnl"))
-    return monthly.select("*", F.rank().over(w).cast("long").alias("pnl_rank"))
+    if at_most is not None:
+        w = Window.partitionBy("month").orderBy(F.desc("realised_pnl"))
+        return monthly.select("*", F.rank().over(w).cast("long").alias("pnl_rank")).where(F.col("pnl_rank") <= at_most)
+    values = monthly.groupBy("month", "realised_pnl").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "bucket", _coarse(F.col("realised_pnl")))
+    above = Window.partitionBy("month").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = values.groupBy("month", "bucket").agg(F.sum("n").alias("n")).select(
+        "month", "bucket", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
+    greater = Window.partitionBy("month", "bucket").orderBy(F.desc("realised_pnl")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = values.withColumn("greater", F.coalesce(F.sum("n").over(greater), F.lit(0))).join(buckets, ["month", "bucket"])
+    rank = (F.col("above") + F.col("greater") + 1).cast("long").alias("pnl_rank")
+    return monthly.join(ranks.select("month", "realised_pnl", rank), ["month", "realised_pnl"]).select(*monthly.columns, "pnl_rank")

@@ -110,8 +110,8 @@ def q_advance_watermark(spark, sf):
 
 def _lineitem_batches(spark, sf):
     recs = W.lineitem_records(spark, sf)
-    first = recs.where(F.col("executed_at") < F.lit(LINEITEM_SPLIT))
-    second = recs.where(F.col("executed_at") >= F.lit(LINEITEM_SPLIT))
+    before = F.coalesce(F.col("executed_at") < F.lit(LINEITEM_SPLIT), F.lit(False))
+    first, second = recs.where(before), recs.where(~before)
     landed = [
         _collapse(b, order_col="feed_order").drop("feed_order").withColumn("ingested_at", F.current_timestamp())
         for b in (first, second)
@@ -215,19 +215,36 @@ def q_daily_pnl_since_carry(spark, sf):
 
 @register("daily_pnl_lineitem_since_carry")
 def q_daily_pnl_lineitem_since_carry(spark, sf):
-    """Carry-in from 2000-01-01 over years of history: opening book + recent book = full run restricted."""
-    return comparable(W.lineitem_daily_pnl(spark, sf, since=_dt.date(2000, 1, 1), carry_in=True))
+    """Through the store: a full run, then a carry-in run from 2000-01-01 whose opening book is the stored day sums."""
+    store = _jobs.create_schema(spark)
+    _jobs.upsert_instruments(store, W.lineitem_instruments(spark))
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet")
+    _jobs.compute_daily_pnl(store)
+    _jobs.compute_daily_pnl(store, since=_dt.date(2000, 1, 1), carry_in=True)
+    return comparable(store.daily_pnl().where(F.col("pnl_date") >= F.lit(_dt.date(2000, 1, 1))))
 
 
 @register("daily_pnl_hot_slices")
 def q_daily_pnl_hot_slices(spark, sf):
-    """Every instrument-day with more than 2 trades cut into time slices: same rows as daily_pnl."""
-    return comparable(W.events_daily_pnl(spark, sf, hot_rows=2))
+    """Every lineitem day with more than 2 trades cut into slices (all its trades are at midnight): the same rows."""
+    return comparable(W.lineitem_daily_pnl(spark, sf, hot_rows=2))
 
 
 @register("daily_pnl_hourly_segments")
 def q_daily_pnl_hourly_segments(spark, sf):
-    return comparable(W.lineitem_daily_pnl(spark, sf, segment_micros=HOUR_MICROS))
+    """The events feed has real times of day: each hour of an instrument's day is a segment."""
+    return comparable(W.events_daily_pnl(spark, sf, segment_micros=HOUR_MICROS))
+
+
+@register("book_of_large_trades")
+def q_book_of_large_trades(spark, sf):
+    """lineitem with quantities and prices scaled up: positions beyond 1e9, spreads beyond 1e14."""
+    valid = W.lineitem_valid(spark, sf).withColumns({
+        "quantity": (F.col("quantity") * 1_000_000).cast("decimal(18,4)"),
+        "price": (F.col("price") * 10_000).cast("decimal(18,6)"),
+    })
+    return _book.wide_days(valid)
 
 
 # ------------------------------------------------------------------ views and the read surface
@@ -260,6 +277,11 @@ def q_running_pnl_lineitem(spark, sf):
     return _serve.running_pnl(*_lineitem_book(spark, sf), symbol="AAPL")
 
 
+@register("running_pnl_lineitem_all")
+def q_running_pnl_lineitem_all(spark, sf):
+    return _views.running_pnl(*_lineitem_book(spark, sf))
+
+
 @register("top_by_month")
 def q_top_by_month(spark, sf):
     return _views.top_instruments_by_month(*_events_book(spark, sf))
@@ -289,10 +311,9 @@ def q_instrument_list(spark, sf):
 def q_stats(spark, sf):
     trade = W.events_trades(spark, sf)
     inst = W.events_instruments(spark, sf)
-    valid = W.events_valid(spark, sf)
     daily = W.events_daily_pnl(spark, sf)
     marks = _wm.advance(_wm.empty_marks(spark), trade)
-    return comparable(_serve.stats(trade, valid, daily, inst, marks))
+    return comparable(_serve.stats(trade, daily, inst, marks))
 
 
 @register("serving_rows")
@@ -312,6 +333,40 @@ def q_feed_roundtrip(spark, sf):
     return _csv.read_feed_csv(spark, path).drop(_csv.FEED_ORDER)
 
 
+@register("coerce_dirty_text")
+def q_coerce_dirty_text(spark, sf):
+    """Malformed ids, numbers and times of every kind: what does not parse is NULL."""
+    return comparable(_ingest.coerce_feed(_derived.dirty_feed(spark, sf), "dirty"))
+
+
+@register("feed_of_two_headers")
+def q_feed_of_two_headers(spark, sf):
+    """The events feed in one folder, half its files with another column order."""
+    folder = _scratch(spark, "feed")
+    feed = _derived.events_feed(spark, sf)
+    odd = F.pmod(F.xxhash64("trade_id"), F.lit(2)) == 1
+    _csv.write_feed_csv(feed.where(odd), f"{folder}/a")
+    _csv.write_feed_csv(feed.where(~odd), f"{folder}/b", columns=list(reversed(_csv.FEED_COLUMNS)))
+    return _csv.read_feed_csv(spark, [f"{folder}/a", f"{folder}/b"]).drop(_csv.FEED_ORDER)
+
+
+@register("sql_views")
+def q_sql_views(spark, sf):
+    """The committed tables through ``spark.sql`` over the registered views."""
+    store = _jobs.create_schema(spark)
+    _jobs.upsert_instruments(store, W.events_instruments(spark, sf))
+    feed = _derived.events_feed(spark, sf).withColumn(_csv.FEED_ORDER, F.lit(0))
+    _jobs.load_trades(store, feed, source_file="events.parquet")
+    _jobs.compute_daily_pnl(store)
+    _jobs.register_views(store)
+    out = spark.sql("""
+        SELECT v.pnl_date, v.symbol, v.cumulative_realised_pnl, t.pnl_rank, (SELECT count(*) FROM v_valid_trade) AS valid_rows
+        FROM v_running_pnl v JOIN v_top_instruments_by_month t
+          ON t.instrument_id = v.instrument_id AND t.month = trunc(v.pnl_date, 'MM')""")
+    _jobs.drop_schema(spark)
+    return out
+
+
 @register("loaded_trades")
 def q_loaded_trades(spark, sf):
     """Land the lineitem feed twice (full, then again), fold the log, read the trade table."""
@@ -348,6 +403,14 @@ def q_incremental_load(spark, sf):
     return comparable(_two_loads(spark, sf).trades())
 
 
+@register("pnl_after_two_loads")
+def q_pnl_after_two_loads(spark, sf):
+    store = _two_loads(spark, sf)
+    _jobs.upsert_instruments(store, W.lineitem_instruments(spark))
+    _jobs.compute_daily_pnl(store)
+    return comparable(store.daily_pnl())
+
+
 @register("etl_watermark")
 def q_etl_watermark(spark, sf):
     return comparable(_two_loads(spark, sf).marks())

@@ -1,4 +1,4 @@
-"""The read surface (what the reference served over HTTP), as DataFrame functions.
+"""The read surface as DataFrame functions.
 
 Each returns a lazy DataFrame; the caller collects, writes or serves it.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import utc_wallclock
+from ..operators.valid import flag_validity
 from ..operators.views import running_pnl as running_view
 from ..operators.views import top_instruments_by_month
 
@@ -66,28 +67,27 @@ def top_instruments(
         first = month.replace(day=1)
         nxt = (first + dt.timedelta(days=32)).replace(day=1)
         daily = daily.where((F.col("pnl_date") >= F.lit(first)) & (F.col("pnl_date") < F.lit(nxt)))
-    out = top_instruments_by_month(daily, instrument).where(F.col("pnl_rank") <= top_n)
+    out = top_instruments_by_month(daily, instrument, at_most=top_n)
     if month is not None:
         out = out.where(F.col("month") == F.trunc(F.lit(month), "MM"))
     return out.orderBy(F.desc("month"), F.asc("pnl_rank"))
 
 
-def stats(trade: DataFrame, valid: DataFrame, daily: DataFrame, instrument: DataFrame,
-          watermark: DataFrame) -> DataFrame:
+def stats(trade: DataFrame, daily: DataFrame, instrument: DataFrame, watermark: DataFrame) -> DataFrame:
     """Q4: one row of counts and the newest mark over all streams, plus invalid_rows.
 
-    Five scalar subqueries (each its own small aggregate job), as the reference does.
+    The landed and the valid trades are counted in one pass over the trades.
     """
-    trade_rows = trade.select(F.count(F.lit(1))).scalar()
-    valid_rows = valid.select(F.count(F.lit(1))).scalar()
-    base = trade.sparkSession.range(1)
-    return base.select(
-        trade_rows.alias("trade_rows"),
-        valid_rows.alias("valid_trade_rows"),
+    trades = flag_validity(trade, instrument).agg(
+        F.count(F.lit(1)).alias("trade_rows"), F.count_if("is_valid").alias("valid_trade_rows"),
+        F.count_if(~F.col("is_valid")).alias("invalid_rows"))
+    return trades.select(
+        "trade_rows",
+        "valid_trade_rows",
         daily.select(F.count(F.lit(1))).scalar().alias("daily_pnl_rows"),
         instrument.select(F.count(F.lit(1))).scalar().alias("instrument_rows"),
         watermark.select(F.max("watermark_at")).scalar().alias("watermark_at"),
-        (trade_rows - valid_rows).alias("invalid_rows"),
+        "invalid_rows",
     )
 
 

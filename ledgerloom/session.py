@@ -36,6 +36,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def attached_session(app_name: str = "ledgerloom") -> SparkSession:
+    """The session that the launcher configured: master, memory and partitions are its business.
+
+    Raises when a setting that results depend on is off.
+    """
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("spark.sql.ansi.enabled must be true: the decimal forms rely on overflow being an error")
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (read from the session).
 

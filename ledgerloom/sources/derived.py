@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.instruments import classify, seed_instruments
 
 # Fixed values of the derivation rules (FIXTURES.md section 3).
-ORPHAN_INSTRUMENT = "999999"
+ORPHAN_INSTRUMENT = "-1"  # ids of the dimension are positive, so it never becomes known
 LINEITEM_INSTRUMENTS = 30
 
 
@@ -56,6 +56,31 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as feed text that parses only in part: ids, numbers, sides and times of every malformed kind."""
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+
+    def pick(modulus: int, odd: dict[int, Column | str], usual: Column) -> Column:
+        out = F
+        for rest, value in odd.items():
+            out = out.when(eid % modulus == rest, F.lit(value) if isinstance(value, str) else value)
+        return out.otherwise(usual)
+
+    user, number = F.col("user_id").cast("string"), (eid % 97 + 1).cast("string")
+    return e.select(
+        F.concat(F.lit("E"), eid.cast("string")).alias("trade_id"),
+        pick(7, {0: "", 1: F.concat(F.lit("x"), user), 2: "99999999999"}, user).alias("instrument_id"),
+        pick(5, {0: "", 1: "Sell"}, F.upper("event_type")).alias("side"),
+        pick(11, {0: "abc", 1: "", 2: "1,000", 3: F.concat(number, F.lit(".50009")), 4: F.concat(F.lit("-"), number),
+                  5: F.concat(number, F.lit("x"))}, number).alias("quantity"),
+        pick(13, {0: "n/a", 1: "12.3.4", 2: "", 3: "0.0000005"},
+             F.col("value").cast("decimal(18,6)").cast("string")).alias("price"),
+        pick(17, {0: "2024-02-30T10:00:00", 1: "yesterday", 2: "", 3: "2024-01-05", 4: "2024-13-01T00:00:00"},
+             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("executed_at"),
+    )
+
+
 def _letters(id_col: Column, n: int) -> Column:
     """n upper-case base-26 digits of a non-negative id, most significant first."""
     return F.concat(*[F.char(F.lit(65) + F.floor(id_col / F.lit(26**k)) % 26) for k in range(n - 1, -1, -1)])

@@ -1,51 +1,76 @@
-"""The trade feed as CSV files: read by header name, write in the fixed column order."""
+"""The trade feed as CSV files: columns matched by the header of each file, written in the fixed order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import FEED_COLUMNS
 
 FEED_ORDER = "feed_order"
+SURPLUS = "surplus"
+_FIELDS = [f"f{i}" for i in range(len(FEED_COLUMNS))]
+#: Fields by position; one more than the feed has shows lines that are too long.
+RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in [*_FIELDS, SURPLUS]])
 
 
 class FeedHeaderError(ValueError):
-    """The header is missing a feed column or has one the feed does not know."""
+    """A file has no header, or one that misses a feed column or has one the feed does not know."""
+
+
+def csv_options(reader):
+    """Quotes are escaped by doubling; every field is text; no field spans lines, so files stay splittable."""
+    return reader.schema(RAW_SCHEMA).option("header", False).option("escape", '"').option("mode", "PERMISSIVE")
+
+
+def _is_header() -> Column:
+    return F.array_sort(F.array(*_FIELDS)) == F.array(*(F.lit(c) for c in sorted(FEED_COLUMNS)))
+
+
+def by_header(raw: DataFrame) -> DataFrame:
+    """Rows by position (``RAW_SCHEMA`` and ``file``) -> the six feed columns, by the header of their own file.
+
+    The rest of the columns stay.  A file without a proper header raises
+    ``FeedHeaderError``; a line with more fields than the feed has raises when
+    it is read.
+    """
+    headers = raw.where(_is_header()).select(F.col("file").alias("header_file"), F.array(*_FIELDS).alias("names"))
+    orders = [r[0] for r in headers.select("names").distinct().collect()]
+    bare = raw.select("file").distinct().join(headers, F.col("file") == F.col("header_file"), "left_anti").limit(5).collect()
+    if bare:
+        raise FeedHeaderError(f"no header with the columns {', '.join(FEED_COLUMNS)} in {sorted(r[0] for r in bare)}")
+    rest = [c for c in raw.columns if c not in RAW_SCHEMA.names]
+    rows = raw.where(~F.coalesce(_is_header(), F.lit(False)))
+    value: dict[str, Column]
+    if len(orders) == 1:
+        value = {name: F.col(_FIELDS[orders[0].index(name)]) for name in FEED_COLUMNS}
+    else:
+        rows = rows.join(headers, F.col("file") == F.col("header_file"))
+        place = {name: F.array_position("names", name).cast("int") for name in FEED_COLUMNS}
+        value = {name: F.element_at(F.array(*_FIELDS), place[name]) for name in FEED_COLUMNS}
+    too_long = F.raise_error(F.concat(F.lit("a line has more than the six fields of the feed: "), F.concat_ws(",", *_FIELDS)))
+    value["trade_id"] = F.when(F.col(SURPLUS).isNotNull(), too_long).otherwise(value["trade_id"])
+    return rows.select(*(F.coalesce(value[c], F.lit("")).alias(c) for c in FEED_COLUMNS), *rest)
 
 
 def read_feed_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Feed rows (six strings, '' for an empty field) plus ``feed_order``.
 
-    Columns are matched by header name, so a reordered header is fine; a missing
-    or unknown column raises.  No schema inference: every field stays a string.
-    Quotes are escaped by doubling (as Python's csv module writes them); no
-    field spans lines, so files stay splittable.  ``feed_order`` captures the
+    Every file may have its own order of columns.  ``feed_order`` captures the
     position in the input (file, split, row) at scan time, before any shuffle,
     so "last occurrence" means last in file order even across splits.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    have, want = set(raw.columns), set(FEED_COLUMNS)
-    if have != want:
-        raise FeedHeaderError(f"feed header {sorted(have)} does not match {sorted(want)}")
-    order = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in FEED_COLUMNS], order.alias(FEED_ORDER))
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    raw = csv_options(spark.read).csv(path).select("*", F.col("_metadata.file_path").alias("file"), order.alias(FEED_ORDER))
+    return by_header(raw).drop("file")
 
 
-def write_feed_csv(feed: DataFrame, path: str, mode: str = "errorifexists") -> str:
+def write_feed_csv(feed: DataFrame, path: str, mode: str = "errorifexists", columns: list[str] | None = None) -> str:
     """Write the six feed columns, header first, values untrimmed, '' as an empty field."""
     (
-        feed.select(*FEED_COLUMNS)
+        feed.select(*(columns or FEED_COLUMNS))
         .write.mode(mode)
         .option("header", True)
         .option("escape", '"')

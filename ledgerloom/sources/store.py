@@ -13,13 +13,15 @@ A crash before the rename leaves unreferenced files and no visible change.
 Rename is atomic on HDFS and local disks; on a plain object store use a table
 format instead (swap ``TableStore`` for ``DataFrame.mergeInto`` on a catalog).
 
+A commit that lost the race is put on top of the newest version when the two
+changed different parts of the manifest (``publish``).
+
 Tables:
-  trade       append log: one directory per load batch (collapsed, so trade_id is
-              unique inside it, sorted by time within each file) with ``batch_seq``.
-              The current table is the oldest batch anti-joined with the keys of the
-              later ones, plus the newest later row per key, keeping the first
-              ``ingested_at``.  ``compact_trades`` folds the log into one batch.
+  trade       directories by month of the UTC trade date (rows without a time under
+              ``none``); always merged: a load that re-sends known trades rewrites the
+              months that hold their old versions, so a read is a plain scan.
   daily_pnl   one directory per month; a run rewrites only the months it touches.
+              The files also hold each day's sums for later opening books.
   instrument  one directory per version.
   marks       the etl_watermark rows live in the manifest itself (one per stream).
 """
@@ -34,12 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import latest_by_key
+from ..functions.coerce import utc_date
+from ..operators.book import DAY_SUMS
 from ..operators.watermark import marks_frame
 from ..schema import DAILY_PNL_SCHEMA, DEFAULT_STREAM, INSTRUMENT_SCHEMA, TRADE_SCHEMA
 from ..session import scratch_dir
 
-BATCH_SEQ = "batch_seq"
+NO_MONTH = "none"
+#: daily_pnl as stored: with the day's exact sums.
+STORED_DAILY = T.StructType([*DAILY_PNL_SCHEMA.fields,
+                             *(T.StructField(c, T.DecimalType(*size)) for c, size in zip(DAY_SUMS, ((28, 4), (37, 10), (28, 4))))])
 
 
 class CommitConflict(RuntimeError):
@@ -85,7 +91,7 @@ class TableStore:
     def manifest(self, version: int | None = None) -> dict:
         v = self.version() if version is None else version
         if v == 0:
-            return {"version": 0, "trade_batches": [], "daily_pnl": {}, "instrument": None, "marks": {}}
+            return {"version": 0, "trade_months": {}, "daily_pnl": {}, "instrument": None, "marks": {}}
         stream = self._fs.open(self._Path(f"{self._manifest_dir()}/v{v:010d}.json"))
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
@@ -117,6 +123,21 @@ class TableStore:
             raise CommitConflict(f"version {new} already committed under {self.root}")
         return new
 
+    def publish(self, read: dict, changes: dict) -> int:
+        """Commit ``changes`` made on top of the manifest ``read``.
+
+        If other versions were committed meanwhile and left the changed parts
+        alone, the changes go on top of the newest one; else ``CommitConflict``.
+        """
+        newest = read
+        while True:
+            try:
+                return self.commit(newest["version"], {**newest, **changes})
+            except CommitConflict:
+                newest = self.manifest()
+                if any(newest.get(part) != read.get(part) for part in changes):
+                    raise
+
     # ------------------------------------------------------------ reads
 
     def instruments(self, manifest: dict | None = None) -> DataFrame:
@@ -125,48 +146,26 @@ class TableStore:
             return self.spark.createDataFrame([], INSTRUMENT_SCHEMA)
         return self.spark.read.schema(INSTRUMENT_SCHEMA).parquet(m["instrument"])
 
-    def trade_log(self, manifest: dict | None = None) -> DataFrame:
+    def trades(self, manifest: dict | None = None, since: dt.date | None = None) -> DataFrame:
+        """The current trade table; with ``since`` only the months that hold trades from that date on."""
         m = manifest or self.manifest()
-        schema = T.StructType([*TRADE_SCHEMA.fields, T.StructField(BATCH_SEQ, T.LongType(), False)])
-        if not m["trade_batches"]:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*m["trade_batches"])
-
-    def trades(self, manifest: dict | None = None) -> DataFrame:
-        """The current trade table: newest version of each trade_id, first ingested_at.
+        first = None if since is None else f"{since:%Y-%m}"
+        months = [k for k in m["trade_months"] if first is None or (k != NO_MONTH and k >= first)]
+        return self.read_trades([p for k in sorted(months) for p in m["trade_months"][k]])
 
-        The oldest batch is the base (after ``compact_trades`` it is the whole
-        table); later batches are deltas.  Base rows whose key has a delta are
-        dropped with an anti join against the delta keys - broadcast when the
-        planner sees they are small, so the base is scanned, never shuffled - and
-        the newest delta row per key is added, keeping the base's ingested_at.
-        """
-        m = manifest or self.manifest()
-        batches = m["trade_batches"]
-        if len(batches) <= 1:
-            return self.trade_log(m).drop(BATCH_SEQ)
-        cols = TRADE_SCHEMA.fieldNames()
-        base = self._read_batches(batches[:1])
-        deltas = self._read_batches(batches[1:])
-        newest = latest_by_key(deltas, ["trade_id"], BATCH_SEQ, keep_first=["ingested_at"])
-        keys = newest.select("trade_id")
-        first_seen = base.select("trade_id", F.col("ingested_at").alias("_base_ingested")).join(keys, "trade_id")
-        replaced = newest.join(first_seen, "trade_id", "left").withColumn(
-            "ingested_at", F.coalesce(F.col("_base_ingested"), F.col("ingested_at"))
-        ).select(*cols)
-        return base.join(keys, "trade_id", "left_anti").select(*cols).unionByName(replaced)
-
-    def _read_batches(self, paths: list[str]) -> DataFrame:
-        schema = T.StructType([*TRADE_SCHEMA.fields, T.StructField(BATCH_SEQ, T.LongType(), False)])
-        return self.spark.read.schema(schema).parquet(*paths)
+    def read_trades(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], TRADE_SCHEMA)
+        return self.spark.read.schema(TRADE_SCHEMA).parquet(*paths)
 
-    def daily_pnl(self, manifest: dict | None = None, months: list[str] | None = None) -> DataFrame:
-        """daily_pnl; ``months`` ('YYYY-MM') reads only those month directories."""
+    def daily_pnl(self, manifest: dict | None = None, months: list[str] | None = None,
+                  schema: T.StructType = DAILY_PNL_SCHEMA) -> DataFrame:
+        """daily_pnl; ``months`` ('YYYY-MM') reads only those month directories, ``STORED_DAILY`` the day sums too."""
         m = manifest or self.manifest()
         paths = [p for k, p in sorted(m["daily_pnl"].items()) if months is None or k in months]
         if not paths:
-            return self.spark.createDataFrame([], DAILY_PNL_SCHEMA)
-        return self.spark.read.schema(DAILY_PNL_SCHEMA).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def marks(self, manifest: dict | None = None) -> DataFrame:
         m = manifest or self.manifest()
@@ -187,18 +186,32 @@ class TableStore:
     def _new_dir(self, table: str) -> str:
         return f"{self.root}/{table}/{uuid.uuid4().hex}"
 
-    def write_trade_batch(self, batch: DataFrame, seq: int) -> str:
-        """Write one load batch.  Rows are sorted by time inside each task (no shuffle), so
-        Parquet row-group min/max on executed_at let a ``since`` read skip old row groups."""
+    def write_trades(self, rows: DataFrame) -> dict[str, str]:
+        """Write trades partitioned by month; month -> directory.
+
+        Rows are sorted by time inside each task (no shuffle), so Parquet row-group
+        min/max on executed_at let a ``since`` read skip row groups of its first month.
+        """
         path = self._new_dir("trade")
+        month = F.coalesce(F.date_format(utc_date("executed_at"), "yyyy-MM"), F.lit(NO_MONTH))
         (
-            batch.select(*TRADE_SCHEMA.fieldNames())
-            .withColumn(BATCH_SEQ, F.lit(seq).cast("long"))
-            .sortWithinPartitions("executed_at")
+            rows.select(*TRADE_SCHEMA.fieldNames(), month.alias("trade_month"))
+            .sortWithinPartitions("trade_month", "executed_at")
             .write.mode("errorifexists")
+            .partitionBy("trade_month")
             .parquet(path)
         )
-        return path
+        return self._partitions(path, "trade_month")
+
+    def _partitions(self, path: str, column: str) -> dict[str, str]:
+        found = {}
+        root = self._Path(path)
+        if self._fs.exists(root):
+            for st in self._fs.listStatus(root):
+                name = st.getPath().getName()
+                if name.startswith(f"{column}="):
+                    found[name.split("=", 1)[1]] = f"{path}/{name}"
+        return found
 
     def write_instruments(self, instruments: DataFrame) -> str:
         path = self._new_dir("instrument")
@@ -222,30 +235,18 @@ class TableStore:
         if observation is not None:
             out = out.observe(observation, *metrics)
         (
-            out.select(*DAILY_PNL_SCHEMA.fieldNames(), "pnl_month")
+            out.select(*STORED_DAILY.fieldNames(), "pnl_month")
             .write.mode("errorifexists")
             .partitionBy("pnl_month")
             .parquet(path)
         )
-        months = {}
-        root = self._Path(path)
-        if self._fs.exists(root):
-            for st in self._fs.listStatus(root):
-                name = st.getPath().getName()
-                if name.startswith("pnl_month="):
-                    months[name.split("=", 1)[1]] = f"{path}/{name}"
-        return months
+        return self._partitions(path, "pnl_month")
 
     def compact_trades(self) -> int:
-        """Fold the trade log into one batch (same rows), commit, return the new version."""
-        base = self.version()
-        m = self.manifest(base)
-        if len(m["trade_batches"]) <= 1:
-            return base
-        seq = max_batch_seq(m) + 1
-        path = self.write_trade_batch(self.trades(m), seq)
-        return self.commit(base, {**m, "trade_batches": [path], "next_batch_seq": seq + 1})
-
-
-def max_batch_seq(manifest: dict) -> int:
-    return int(manifest.get("next_batch_seq", 1)) - 1
+        """Fold months that several loads added to into one directory each (same rows); the new version."""
+        m = self.manifest()
+        several = [k for k, paths in m["trade_months"].items() if len(paths) > 1]
+        if not several:
+            return m["version"]
+        folded = self.write_trades(self.read_trades([p for k in several for p in m["trade_months"][k]]))
+        return self.publish(m, {"trade_months": {**m["trade_months"], **{k: [p] for k, p in folded.items()}}})

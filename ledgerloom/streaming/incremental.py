@@ -8,8 +8,9 @@ failure converges to the same table (``rows_loaded`` counts the replay, as a
 re-run does).  This is a batch high-water mark, not an event-time watermark:
 nothing is dropped for lateness except by the stored mark.
 
-Streaming file sources need a declared schema and map columns by position,
-so files must carry the standard header order.
+Streaming file sources need a declared schema and map columns by position, so
+the stream reads fields by position, headers included, and each micro-batch maps
+them by the header of their own file (a file is never split over micro-batches).
 """
 
 from __future__ import annotations
@@ -19,21 +20,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import jobs
-from ..schema import DEFAULT_STREAM, FEED_COLUMNS, FEED_SCHEMA
-from ..sources.feed_csv import FEED_ORDER
+from ..schema import DEFAULT_STREAM
+from ..sources.feed_csv import FEED_ORDER, by_header, csv_options
 from ..sources.store import TableStore
 
 
 def feed_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(FEED_SCHEMA).option("header", True).option("escape", '"')
+    reader = csv_options(spark.readStream)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(input_dir)
-    return raw.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in FEED_COLUMNS],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    return reader.csv(input_dir).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def start_incremental_load(
@@ -50,13 +47,8 @@ def start_incremental_load(
 
     def land(batch: DataFrame, epoch_id: int) -> None:
         # The row position is taken per micro-batch scan, before any shuffle.
-        records = batch.select(
-            *FEED_COLUMNS,
-            F.struct(
-                F.col("_file").alias("file"), F.col("_block").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias(FEED_ORDER),
-        )
+        order = F.struct("file", F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
+        records = by_header(batch.select("*", order.alias(FEED_ORDER))).drop("file", "_block")
         jobs.load_trades(store, records, stream=stream, source_file=f"stream-epoch-{epoch_id}")
 
     writer = feed_stream(spark, input_dir, max_files_per_trigger).writeStream.foreachBatch(land) \

@@ -9,9 +9,11 @@ TIMESTAMP values on both sides.
 
 from __future__ import annotations
 
-from ledgerloom.operators.instruments import SEED_SYMBOLS
-
-SEED_SYMBOLS_SQL = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SEED_SYMBOLS, start=1))
+# The instruments every seed dimension has, by id.
+SEED_ROWS = """(1, 'AAPL'), (2, 'MSFT'), (3, 'AMZN'), (4, 'GOOGL'), (5, 'META'), (6, 'TSLA'), (7, 'NVDA'), (8, 'JPM'),
+(9, 'BAC'), (10, 'XOM'), (11, 'CVX'), (12, 'PFE'), (13, 'JNJ'), (14, 'WMT'), (15, 'HD'), (16, 'PG'),
+(17, 'KO'), (18, 'PEP'), (19, 'DIS'), (20, 'NFLX'), (21, 'INTC'), (22, 'AMD'), (23, 'CRM'), (24, 'ORCL'),
+(25, 'EURUSD'), (26, 'GBPUSD'), (27, 'USDJPY'), (28, 'AUDUSD'), (29, 'ESZ5'), (30, 'NQZ5')"""
 
 # ---------------------------------------------------------------- helpers
 
@@ -34,7 +36,7 @@ def with_(*ctes: str) -> str:
 
 EVENTS_FEED = """events_feed AS (
   SELECT 'E' || CAST(event_id AS VARCHAR) AS trade_id,
-         CAST(CASE WHEN event_id % 667 = 5 THEN 999999 ELSE user_id + 1 END AS INTEGER) AS instrument_id,
+         CAST(CASE WHEN event_id % 667 = 5 THEN -1 ELSE user_id + 1 END AS INTEGER) AS instrument_id,
          CASE WHEN event_type = 'purchase' THEN 'BUY' WHEN event_type = 'signup' THEN 'buy'
               WHEN event_type IN ('view', 'click') THEN 'SELL' WHEN event_type = 'error' THEN 'B' END AS side,
          CAST(CASE WHEN event_id % 500 = 11 THEN 0 ELSE event_id % 97 + 1 END AS DECIMAL(18,4)) AS quantity,
@@ -67,7 +69,7 @@ EVENTS_DIM = f"""events_ids AS (SELECT DISTINCT CAST(user_id + 1 AS INTEGER) AS
 events_sym AS (SELECT instrument_id, {_EV_SYMBOL} AS symbol FROM events_ids),
 events_dim AS (SELECT instrument_id, symbol, {_K} AS asset_class, {_C} AS currency FROM events_sym)"""
 
-SEED_DIM = f"""seed_sym AS (SELECT * FROM (VALUES {SEED_SYMBOLS_SQL}) t(instrument_id, symbol)),
+SEED_DIM = f"""seed_sym AS (SELECT * FROM (VALUES {SEED_ROWS}) t(instrument_id, symbol)),
 seed_dim AS (SELECT CAST(instrument_id AS INTEGER) AS instrument_id, symbol, {_K} AS asset_class, {_C} AS currency FROM seed_sym)"""
 
 LINEITEM_FEED = """li_feed AS (
@@ -97,52 +99,74 @@ def last_copy(name: str, src: str, where: str = "TRUE") -> str:
 LINEITEM_TRADES = last_copy("li_trades", "li_feed")
 
 
-def valid_cte(name: str, trades: str, dim: str) -> str:
-    return f"""{name} AS (
-  SELECT trade_id, instrument_id, upper(side) AS side, quantity, price, executed_at,
-         CAST(executed_at AS DATE) AS trade_date
-  FROM {trades}
-  WHERE instrument_id IS NOT NULL AND side IS NOT NULL AND upper(side) IN ('BUY', 'SELL')
-    AND quantity IS NOT NULL AND quantity > 0 AND price IS NOT NULL AND price > 0
-    AND executed_at IS NOT NULL
-    AND instrument_id IN (SELECT instrument_id FROM {dim}))"""
+def valid_cte(name: str, trades: str, dim: str, first_day: str | None = None) -> str:
+    """Usable trades: those that no reason for rejection applies to."""
+    late = f"coalesce(CAST(executed_at AS DATE) < {first_day}, FALSE)" if first_day else "FALSE"
+    return f"""{name}_checked AS (
+  SELECT t.*, CASE upper(t.side) WHEN 'BUY' THEN 'BUY' WHEN 'SELL' THEN 'SELL' END AS way,
+         list_any_value([CASE WHEN t.executed_at IS NULL THEN 'time' END, CASE WHEN coalesce(t.price, 0) <= 0 THEN 'price' END,
+                         CASE WHEN coalesce(t.quantity, 0) <= 0 THEN 'quantity' END, CASE WHEN k.instrument_id IS NULL THEN 'unknown' END,
+                         CASE WHEN {late} THEN 'early' END]) AS fault
+  FROM {trades} t LEFT JOIN (SELECT DISTINCT instrument_id FROM {dim}) k ON t.instrument_id = k.instrument_id),
+{name} AS (
+  SELECT trade_id, instrument_id, way AS side, quantity, price, executed_at, CAST(executed_at AS DATE) AS trade_date
+  FROM {name}_checked WHERE fault IS NULL AND way IS NOT NULL)"""
 
 
 # ---------------------------------------------------------------- the book, exact integers
 
-def book_ctes(clean: str, p: str = "b") -> list[str]:
-    """CTEs {p}_pos (per trade), {p}_day (per instrument-day), {p}_run, {p}_pnl."""
+def long_half(p: str, q: str, cost: str, qty: str) -> str:
+    """round((p - cost/qty) * q) half away from zero for q >= 0, cutting cost/qty first so that nothing overflows."""
+    whole, rest = f"(({cost}) // ({qty}))", f"((({cost}) % ({qty})) * ({q}))"
+    m = f"((({p}) - {whole}) * ({q}) - {rest} // ({qty}))"
+    return (f"({m} - CASE WHEN {m} > 0 AND 2 * ({rest} % ({qty})) > ({qty}) THEN 1 "
+            f"WHEN {m} <= 0 AND 2 * ({rest} % ({qty})) >= ({qty}) THEN 1 ELSE 0 END)")
+
+
+def book_ctes(clean: str, p: str = "b", large: bool = False) -> list[str]:
+    """CTEs {p}_real (per trade), {p}_day (per instrument-day), {p}_run, {p}_pnl.
+
+    What was bought before a trade, and through a day, is gathered by joining
+    each row with the earlier ones.  ``large``: values beyond HUGEINT products.
+    """
+    sold = long_half("t.p", "t.q", "e.cost", "e.units") if large else half("(t.p * e.units - e.cost) * t.q", "e.units")
+    if large:
+        size = long_half("mark", "abs(closing)", "cc", "cq")
+        held = f"sign(closing)::HUGEINT * {size}"
+    else:
+        held = half("(mark * cq - cc) * closing", "cq")
     pnl_cols = f"""trade_date AS pnl_date, instrument_id, CAST(n AS INTEGER) AS trade_count,
          {scaled('closing', 4, 'DECIMAL(18,4)')} AS closing_position,
-         CASE WHEN cq > 0 THEN {scaled(half(half('cc * 10000000000', 'cq'), '10000000000'), 6, 'DECIMAL(18,6)')} END AS avg_cost,
+         CASE WHEN cq > 0 THEN {scaled(half('cc', 'cq'), 6, 'DECIMAL(18,6)')} END AS avg_cost,
          {scaled('mark', 6, 'DECIMAL(18,6)')} AS close_price,
          {scaled(half('r10', '10000'), 6, 'DECIMAL(18,6)')} AS realised_pnl,
-         {scaled(f"CASE WHEN cq > 0 THEN {half(half('(mark * cq - cc) * closing', 'cq'), '10000')} ELSE 0 END", 6, 'DECIMAL(18,6)')} AS unrealised_pnl"""
+         {scaled(f"CASE WHEN cq > 0 THEN {half('u10', '10000')} ELSE 0 END", 6, 'DECIMAL(18,6)')} AS unrealised_pnl"""
     return [
         f"""{p}_int AS (
   SELECT instrument_id, trade_date, trade_id, side, executed_at, quantity, price,
-         CAST(quantity * 10000 AS HUGEINT) AS q, CAST(price * 1000000 AS HUGEINT) AS p
+         CAST(CAST(quantity AS DECIMAL(28,4)) * 10000 AS HUGEINT) AS q, CAST(CAST(price AS DECIMAL(28,6)) * 1000000 AS HUGEINT) AS p
   FROM {clean})""",
-        f"""{p}_pos AS (
-  SELECT *, CASE WHEN side = 'BUY' THEN q ELSE -q END AS sq,
-         CASE WHEN side = 'BUY' THEN q * p ELSE 0 END AS bc,
-         CASE WHEN side = 'BUY' THEN q ELSE 0 END AS bq,
-         SUM(CASE WHEN side = 'BUY' THEN q * p ELSE 0 END) OVER prior AS pc,
-         SUM(CASE WHEN side = 'BUY' THEN q ELSE 0 END) OVER prior AS pq
-  FROM {p}_int
-  WINDOW prior AS (PARTITION BY instrument_id ORDER BY executed_at, trade_id
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+        f"""{p}_earlier AS (
+  SELECT a.instrument_id, a.trade_id, count(*) AS trades, sum(b.q * b.p) FILTER (b.side = 'BUY') AS cost,
+         sum(b.q) FILTER (b.side = 'BUY') AS units
+  FROM {p}_int a JOIN {p}_int b ON a.instrument_id = b.instrument_id
+   AND (b.executed_at < a.executed_at OR (b.executed_at = a.executed_at AND b.trade_id < a.trade_id))
+  GROUP BY a.instrument_id, a.trade_id)""",
         f"""{p}_real AS (
-  SELECT *, CASE WHEN side = 'SELL' AND COALESCE(pq, 0) > 0 THEN {half('(p * pq - pc) * q', 'pq')} ELSE 0 END AS r10
-  FROM {p}_pos)""",
+  SELECT t.*, CASE t.side WHEN 'BUY' THEN t.q ELSE -t.q END AS sq, CASE t.side WHEN 'BUY' THEN t.q * t.p ELSE 0 END AS bc,
+         CASE t.side WHEN 'BUY' THEN t.q ELSE 0 END AS bq,
+         CASE WHEN e.trades > 0 THEN coalesce(e.cost, 0) END AS pc, CASE WHEN e.trades > 0 THEN coalesce(e.units, 0) END AS pq,
+         CASE WHEN t.side = 'SELL' AND e.units > 0 THEN {sold} ELSE 0 END AS r10
+  FROM {p}_int t LEFT JOIN {p}_earlier e ON e.instrument_id = t.instrument_id AND e.trade_id = t.trade_id)""",
         f"""{p}_day AS (
-  SELECT instrument_id, trade_date, COUNT(*) AS n, SUM(sq) AS net, SUM(r10) AS r10,
-         SUM(bc) AS dbc, SUM(bq) AS dbq, first(p ORDER BY executed_at DESC, trade_id DESC) AS mark
+  SELECT instrument_id, trade_date, count(*) AS n, sum(sq) AS net, sum(r10) AS r10, sum(bc) AS dbc, sum(bq) AS dbq,
+         arg_max(p, (executed_at, trade_id)) AS mark
   FROM {p}_real GROUP BY instrument_id, trade_date)""",
-        f"""{p}_run AS (
-  SELECT *, SUM(net) OVER w AS closing, SUM(dbc) OVER w AS cc, SUM(dbq) OVER w AS cq
-  FROM {p}_day
-  WINDOW w AS (PARTITION BY instrument_id ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        f"""{p}_through AS (
+  SELECT a.instrument_id, a.trade_date, sum(b.net) AS closing, sum(b.dbc) AS cc, sum(b.dbq) AS cq
+  FROM {p}_day a JOIN {p}_day b ON b.instrument_id = a.instrument_id AND b.trade_date <= a.trade_date
+  GROUP BY a.instrument_id, a.trade_date)""",
+        f"""{p}_run AS (SELECT *, CASE WHEN cq > 0 THEN {held} ELSE 0 END AS u10 FROM {p}_day JOIN {p}_through USING (instrument_id, trade_date))""",
         f"""{p}_pnl AS (SELECT {pnl_cols} FROM {p}_run)""",
     ]
 
@@ -165,22 +189,29 @@ SINCE = "DATE '2024-01-16'"
 
 
 def running_view(daily: str, dim: str, name: str = "run_view") -> str:
-    return f"""{name} AS (
-  SELECT d.pnl_date, d.instrument_id, i.symbol, i.asset_class, d.trade_count, d.closing_position,
-         d.avg_cost, d.close_price, d.realised_pnl, d.unrealised_pnl,
-         CAST(SUM(d.realised_pnl) OVER w AS DECIMAL(28,6)) AS cumulative_realised_pnl,
-         CAST(SUM(d.realised_pnl) OVER w + d.unrealised_pnl AS DECIMAL(29,6)) AS total_pnl
-  FROM {daily} d JOIN {dim} i ON i.instrument_id = d.instrument_id
-  WINDOW w AS (PARTITION BY d.instrument_id ORDER BY d.pnl_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+    """Cumulative realised by joining each day with the days up to it."""
+    return f"""{name}_sofar AS (
+  SELECT late.instrument_id, late.pnl_date, sum(early.realised_pnl) AS total
+  FROM {daily} late, {daily} early WHERE early.instrument_id = late.instrument_id AND early.pnl_date <= late.pnl_date
+  GROUP BY ALL),
+{name} AS (
+  SELECT day.*, known.symbol, known.asset_class, CAST(sofar.total AS DECIMAL(28,6)) AS cumulative_realised_pnl,
+         CAST(sofar.total + day.unrealised_pnl AS DECIMAL(29,6)) AS total_pnl
+  FROM {daily} day JOIN {name}_sofar sofar USING (instrument_id, pnl_date)
+  JOIN {dim} known USING (instrument_id))"""
 
 
 def monthly_view(daily: str, dim: str, name: str = "top_view") -> str:
-    return f"""{name}_m AS (
-  SELECT CAST(date_trunc('month', d.pnl_date) AS DATE) AS month, d.instrument_id, i.symbol, i.asset_class,
-         CAST(SUM(d.realised_pnl) AS DECIMAL(28,6)) AS realised_pnl, CAST(SUM(d.trade_count) AS BIGINT) AS trade_count
-  FROM {daily} d JOIN {dim} i ON i.instrument_id = d.instrument_id
-  GROUP BY 1, 2, 3, 4),
-{name} AS (SELECT *, RANK() OVER (PARTITION BY month ORDER BY realised_pnl DESC) AS pnl_rank FROM {name}_m)"""
+    """A rank is one more than the number of greater sums of the month."""
+    return f"""{name}_sums AS (
+  SELECT make_date(year(pnl_date), month(pnl_date), 1) AS month, instrument_id, CAST(sum(realised_pnl) AS DECIMAL(28,6)) AS realised_pnl,
+         CAST(sum(trade_count) AS BIGINT) AS trade_count
+  FROM {daily} WHERE instrument_id IN (SELECT instrument_id FROM {dim}) GROUP BY ALL),
+{name} AS (
+  SELECT mine.*, known.symbol, known.asset_class, 1 + count(better.instrument_id) AS pnl_rank
+  FROM {name}_sums mine JOIN {dim} known USING (instrument_id)
+  LEFT JOIN {name}_sums better ON better.month = mine.month AND better.realised_pnl > mine.realised_pnl
+  GROUP BY ALL)"""
 
 
 def build() -> dict[str, str]:
@@ -212,14 +243,13 @@ SELECT 'trades_csv', greatest({LINEITEM_MARK}, (SELECT max(executed_at) FROM li_
        CAST(1000 + (SELECT count(*) FROM li_win) AS BIGINT)""")
     out["upsert_trades"] = _q(
         [LINEITEM_FEED, last_copy("li_a", "li_feed", f"executed_at < {LINEITEM_SPLIT}"),
-         last_copy("li_b", "li_feed", f"executed_at >= {LINEITEM_SPLIT}")],
+         last_copy("li_b", "li_feed", f"executed_at IS NULL OR executed_at >= {LINEITEM_SPLIT}")],
         "SELECT * FROM li_b UNION ALL SELECT * FROM li_a WHERE trade_id NOT IN (SELECT trade_id FROM li_b)")
     out["upsert_instruments"] = _q(
         [EVENTS_DIM, SEED_DIM],
         "SELECT * FROM seed_dim UNION ALL "
         "SELECT * FROM events_dim WHERE instrument_id NOT IN (SELECT instrument_id FROM seed_dim)")
-    ev_since = valid_cte("ev_since", "events_feed", "events_dim").replace(
-        "AND executed_at IS NOT NULL", f"AND executed_at IS NOT NULL AND CAST(executed_at AS DATE) >= {SINCE}")
+    ev_since = valid_cte("ev_since", "events_feed", "events_dim", SINCE)
     out["upsert_daily_pnl"] = _q(
         ev_book + [ev_since] + book_ctes("ev_since", "s"),
         f"SELECT {PNL_COLS} FROM s_pnl UNION ALL SELECT {PNL_COLS} FROM b_pnl "
@@ -244,7 +274,7 @@ SELECT 'trades_csv', greatest({LINEITEM_MARK}, (SELECT max(executed_at) FROM li_
     # book stages
     out["trade_positions"] = _q(ev_book, f"""SELECT instrument_id, trade_date, trade_id, side, quantity, price,
        {scaled('sq', 4, 'DECIMAL(18,4)')} AS signed_qty,
-       {scaled('pc', 10, 'DECIMAL(29,10)')} AS prior_buy_cost,
+       {scaled('pc', 10, 'DECIMAL(38,10)')} AS prior_buy_cost,
        {scaled('pq', 4, 'DECIMAL(29,4)')} AS prior_buy_qty
 FROM b_real""")
     out["trade_realised"] = _q(ev_book, f"""SELECT trade_id, instrument_id, trade_date,
@@ -256,11 +286,19 @@ FROM b_real""")
     out["daily_marks"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
        {scaled('mark', 6, 'DECIMAL(18,6)')} AS close_price FROM b_run""")
     out["eod_cost"] = _q(ev_book, f"""SELECT instrument_id, trade_date,
-       {scaled('cc', 10, 'DECIMAL(28,10)')} AS cum_buy_cost, {scaled('cq', 4, 'DECIMAL(28,4)')} AS cum_buy_qty FROM b_run""")
+       {scaled('cc', 10, 'DECIMAL(37,10)')} AS cum_buy_cost, {scaled('cq', 4, 'DECIMAL(28,4)')} AS cum_buy_qty FROM b_run""")
     out["daily_pnl_since"] = _q(EV_BASE + [ev_since] + book_ctes("ev_since", "s"), "SELECT * FROM s_pnl")
     out["daily_pnl_since_carry"] = _q(ev_book, f"SELECT * FROM b_pnl WHERE pnl_date >= {SINCE}")
-    out["daily_pnl_hourly_segments"] = out["daily_pnl_lineitem"]
-    out["daily_pnl_hot_slices"] = out["daily_pnl"]
+    out["daily_pnl_hourly_segments"] = out["daily_pnl"]
+    out["daily_pnl_hot_slices"] = out["daily_pnl_lineitem"]
+    large = """li_large AS (SELECT * REPLACE (CAST(CAST(quantity AS DECIMAL(24,4)) * CAST(1000000 AS DECIMAL(8,0)) AS DECIMAL(18,4)) AS quantity,
+         CAST(CAST(price AS DECIMAL(24,6)) * CAST(10000 AS DECIMAL(8,0)) AS DECIMAL(18,6)) AS price) FROM li_valid)"""
+    out["book_of_large_trades"] = _q(LI_BASE + [large] + book_ctes("li_large", "g", large=True), f"""
+SELECT instrument_id, trade_date, CAST(n AS INTEGER) AS trade_count, {scaled('closing', 4, 'DECIMAL(28,4)')} AS closing_position,
+       {scaled('cc', 10, 'DECIMAL(37,10)')} AS cum_buy_cost, {scaled('r10', 10, 'DECIMAL(38,10)')} AS realised_pnl,
+       {scaled('u10', 10, 'DECIMAL(38,10)')} AS unrealised_pnl,
+       CASE WHEN cq > 0 THEN {scaled(half('cc', 'cq'), 6, 'DECIMAL(18,6)')} END AS avg_cost
+FROM g_run""")
     out["daily_pnl_lineitem_since_carry"] = _q(li_book, "SELECT * FROM b_pnl WHERE pnl_date >= DATE '2000-01-01'")
 
     # views and the read surface
@@ -273,6 +311,7 @@ FROM b_real""")
     out["running_pnl_latest"] = _q(ev_views, "SELECT * FROM run_view ORDER BY pnl_date DESC, symbol LIMIT 500")
     out["running_pnl_lineitem"] = _q(
         li_views, "SELECT * FROM run_view WHERE symbol = 'AAPL' ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["running_pnl_lineitem_all"] = _q(li_views, "SELECT * FROM run_view")
     out["top_by_month"] = _q(ev_views, "SELECT * FROM top_view")
     out["top_by_month_lineitem"] = _q(li_views, "SELECT * FROM top_view")
     out["top_by_month_filtered"] = _q(
@@ -293,13 +332,30 @@ FROM b_real""")
        CAST(cumulative_realised_pnl AS DOUBLE) AS cumulative_realised_pnl, CAST(total_pnl AS DOUBLE) AS total_pnl
 FROM ({filt})""")
     out["feed_roundtrip"] = """SELECT 'E' || CAST(event_id AS VARCHAR) AS trade_id,
-       CASE WHEN event_id % 667 = 5 THEN '999999' ELSE CAST(user_id + 1 AS VARCHAR) END AS instrument_id,
+       CASE WHEN event_id % 667 = 5 THEN '-1' ELSE CAST(user_id + 1 AS VARCHAR) END AS instrument_id,
        CASE WHEN event_type = 'purchase' THEN 'BUY' WHEN event_type = 'signup' THEN 'buy'
             WHEN event_type IN ('view', 'click') THEN 'SELL' WHEN event_type = 'error' THEN 'B' END AS side,
        CASE WHEN event_id % 500 = 11 THEN '0' ELSE CAST(event_id % 97 + 1 AS VARCHAR) END AS quantity,
        CASE WHEN event_id % 400 = 3 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,6)) AS VARCHAR) END AS price,
        CASE WHEN event_id % 1250 = 9 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS executed_at
 FROM events"""
+    number = "CAST(event_id % 97 + 1 AS VARCHAR)"
+    out["coerce_dirty_text"] = f"""WITH raw AS (
+  SELECT 'E' || event_id AS trade_id,
+         CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'x' || user_id WHEN 2 THEN '99999999999' ELSE CAST(user_id AS VARCHAR) END AS i,
+         CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'Sell' ELSE upper(event_type) END AS s,
+         CASE event_id % 11 WHEN 0 THEN 'abc' WHEN 1 THEN '' WHEN 2 THEN '1,000' WHEN 3 THEN {number} || '.50009'
+              WHEN 4 THEN '-' || {number} WHEN 5 THEN {number} || 'x' ELSE {number} END AS q,
+         CASE event_id % 13 WHEN 0 THEN 'n/a' WHEN 1 THEN '12.3.4' WHEN 2 THEN '' WHEN 3 THEN '0.0000005' ELSE CAST(CAST(value AS DECIMAL(18,6)) AS VARCHAR) END AS p,
+         CASE event_id % 17 WHEN 0 THEN '2024-02-30T10:00:00' WHEN 1 THEN 'yesterday' WHEN 2 THEN '' WHEN 3 THEN '2024-01-05'
+              WHEN 4 THEN '2024-13-01T00:00:00' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS t
+  FROM events)
+SELECT trade_id, TRY_CAST(i AS INTEGER) AS instrument_id, nullif(s, '') AS side, TRY_CAST(q AS DECIMAL(18,4)) AS quantity,
+       TRY_CAST(p AS DECIMAL(18,6)) AS price, TRY_CAST(t AS TIMESTAMP) AS executed_at, 'dirty' AS source_file FROM raw"""
+    out["feed_of_two_headers"] = out["feed_roundtrip"]
+    out["sql_views"] = _q(ev_views, """SELECT v.pnl_date, v.symbol, v.cumulative_realised_pnl, t.pnl_rank,
+       (SELECT count(*) FROM ev_valid) AS valid_rows
+FROM run_view v JOIN top_view t ON t.instrument_id = v.instrument_id AND t.month = date_trunc('month', v.pnl_date)""")
     out["loaded_trades"] = _q([LINEITEM_FEED, LINEITEM_TRADES], "SELECT * FROM li_trades")
     out["trade_pipeline"] = out["stats"].replace("'events.parquet'", "'trades.csv'")
     split = "TIMESTAMP '1998-01-01 00:00:00'"
@@ -310,11 +366,13 @@ FROM events"""
     out["etl_watermark"] = _q(two, """SELECT 'trades_csv' AS stream,
        greatest((SELECT max(executed_at) FROM li_a), (SELECT max(executed_at) FROM li_b)) AS watermark_at,
        (SELECT count(*) FROM li_a) + (SELECT count(*) FROM li_b) AS rows_loaded""")
-    li_since = valid_cte("li_since", "li_trades", "seed_dim").replace(
-        "AND executed_at IS NOT NULL", "AND executed_at IS NOT NULL AND CAST(executed_at AS DATE) >= DATE '2000-01-01'")
+    li_since = valid_cte("li_since", "li_trades", "seed_dim", "DATE '2000-01-01'")
     out["pnl_job_since"] = _q(
         li_book + [li_since] + book_ctes("li_since", "s"),
         f"SELECT {PNL_COLS} FROM s_pnl UNION ALL SELECT {PNL_COLS} FROM b_pnl "
         "WHERE (pnl_date, instrument_id) NOT IN (SELECT (pnl_date, instrument_id) FROM s_pnl)")
+    two_trades = """li_two AS (SELECT * FROM li_b UNION ALL SELECT * FROM li_a WHERE trade_id NOT IN (SELECT trade_id FROM li_b))"""
+    out["pnl_after_two_loads"] = _q([*two, two_trades, SEED_DIM, valid_cte("two_valid", "li_two", "seed_dim")]
+                                    + book_ctes("two_valid", "t"), "SELECT * FROM t_pnl")
     out["streaming_load"] = _q([EVENTS_FEED], "SELECT * REPLACE ('stream-epoch-0' AS source_file) FROM events_feed")
     return out

@@ -1,12 +1,7 @@
-"""Shared fixtures: one local Spark session, feed-row builders, a fresh store per test.
-
-The scenarios are the reference's hand-worked ones (FIXTURES.md section 2); the
-expected numbers are worked out by hand in each test, never produced by the code.
-"""
+"""Shared fixtures: one local Spark session, a tape of fills, fresh stores."""
 
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -21,56 +16,56 @@ from ledgerloom.schema import FEED_COLUMNS  # noqa: E402
 from ledgerloom.session import build_session  # noqa: E402
 from ledgerloom.sources.feed_csv import FEED_ORDER  # noqa: E402
 
+DIMENSION = [(1, "AAPL"), (2, "MSFT"), (3, "EURUSD")]
+
 
 @pytest.fixture(scope="session")
 def spark():
     # spark.checkpoint.dir is left as the environment sets it; when it is unset,
     # ledgerloom.session.checkpoint_root picks a fresh folder (local master only).
-    s = build_session(master="local[4]", shuffle_partitions=8)
-    yield s
+    yield build_session(master="local[4]", shuffle_partitions=8)
 
 
-def at(day: int, hour: int = 10, month: int = 1) -> str:
-    """An ISO timestamp on day N of January 2024, UTC."""
-    return dt.datetime(2024, month, day, hour, tzinfo=dt.timezone.utc).isoformat()
+class Tape:
+    """Feed rows in file order; times are written like ``2023-05-02 09:30`` (UTC) or given as raw text."""
 
+    def __init__(self, *rows: tuple):
+        self.rows = list(rows)
 
-def trade(trade_id, *, instrument_id=1, side="BUY", quantity=100, price="10.00",
-          executed_at="2024-01-01T10:00:00+00:00"):
-    return (trade_id, str(instrument_id), side, str(quantity), str(price), executed_at)
+    def raw(self, key, instrument, side, units, price, time) -> Tape:
+        self.rows.append(tuple(str(x) for x in (key, instrument, side, units, price, time)))
+        return self
 
+    def _fill(self, side, key, units, price, when, on) -> Tape:
+        stamp = f"{when.replace(' ', 'T')}:00Z" if len(when) == 16 and when[10] == " " else when
+        return self.raw(key, on, side, units, price, stamp)
 
-def feed(spark, rows):
-    """Feed rows in 'file order' (their list position)."""
-    data = [(*r, i) for i, r in enumerate(rows)]
-    df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in FEED_COLUMNS) + ", _pos long")
-    order = F.struct(F.lit("mem").alias("file"), F.lit(0).cast("long").alias("block"), F.col("_pos").alias("row"))
-    return df.select(*FEED_COLUMNS, order.alias(FEED_ORDER))
+    def buy(self, key, units, price, when, on=1) -> Tape:
+        return self._fill("BUY", key, units, price, when, on)
 
+    def sell(self, key, units, price, when, on=1) -> Tape:
+        return self._fill("SELL", key, units, price, when, on)
 
-SEEDED = [(1, "AAPL"), (2, "MSFT"), (3, "EURUSD")]
+    def frame(self, spark):
+        data = [(*r, i) for i, r in enumerate(self.rows)]
+        df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in FEED_COLUMNS) + ", place long")
+        order = F.struct(F.lit("tape").alias("file"), F.lit(0).cast("long").alias("block"), F.col("place").alias("row"))
+        return df.select(*FEED_COLUMNS, order.alias(FEED_ORDER))
 
-
-@pytest.fixture()
-def store(spark):
-    s = jobs.create_schema(spark)
-    jobs.upsert_instruments(s, classify(spark.createDataFrame(SEEDED, "instrument_id int, symbol string")))
-    return s
+    def land(self, store, incremental=False, **kw):
+        return jobs.load_trades(store, self.frame(store.spark), incremental=incremental, **kw)
 
 
 @pytest.fixture()
 def store_factory(spark):
-    """Fresh seeded stores on demand (for property tests that need one per example)."""
+    """Fresh stores with the three instruments of ``DIMENSION``, on demand."""
     def make():
-        s = jobs.create_schema(spark)
-        jobs.upsert_instruments(s, classify(spark.createDataFrame(SEEDED, "instrument_id int, symbol string")))
-        return s
+        made = jobs.create_schema(spark)
+        jobs.upsert_instruments(made, classify(spark.createDataFrame(DIMENSION, "instrument_id int, symbol string")))
+        return made
     return make
 
 
-def load(spark, store, rows, incremental=True):
-    return jobs.load_trades(store, feed(spark, rows), incremental=incremental)
-
-
-def count(df) -> int:
-    return df.count()
+@pytest.fixture()
+def store(store_factory):
+    return store_factory()

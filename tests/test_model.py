@@ -19,8 +19,7 @@ from hypothesis import strategies as st
 
 from ledgerloom.operators import book
 from ledgerloom.operators.valid import valid_trades
-from ledgerloom.plans import jobs
-from tests.conftest import feed
+from tests.conftest import Tape
 
 UNIT6 = Decimal("0.000001")
 
@@ -83,7 +82,7 @@ def test_book_matches_brute_force(spark, store_factory, trades):
     for i, (inst, side, q, cents, day, hour) in enumerate(trades):
         ts = dt.datetime(2024, 3, 1 + day, 9 + hour, tzinfo=dt.timezone.utc)
         rows.append((f"T{i:03d}", str(inst), side, str(q), f"{cents / 100:.2f}", ts.isoformat()))
-    jobs.load_trades(store, feed(spark, rows), incremental=False)
+    Tape(*rows).land(store)
     m = store.manifest()
     got = {(r.pnl_date, r.instrument_id): (r.trade_count, r.closing_position, r.avg_cost, r.close_price,
                                            r.realised_pnl, r.unrealised_pnl)
