@@ -84,6 +84,9 @@ def ship(spark: SparkSession) -> None:
     import zipfile
     from pathlib import Path
 
+    # Texts are long: batches of the default 10 000 rows would hold tens of MB in Python and in the JVM.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context = spark.sparkContext
     if getattr(context, "_ledgerloom_shipped", False):
         return

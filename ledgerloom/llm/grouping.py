@@ -204,6 +204,12 @@ class Forest:
             x = p[x]
         return x
 
+    def roots(self) -> np.ndarray:
+        p = np.array(self.parent, np.int64)
+        while not np.array_equal(q := p[p], p):
+            p = q
+        return p
+
     def join(self, x: int, y: int) -> bool:
         x, y = self.find(x), self.find(y)
         if x != y:

@@ -165,7 +165,7 @@ def distinct_pairs(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, n
 def lines(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of every line (split at newline bytes; an empty text has one empty line)."""
     breaks = np.flatnonzero(chunk.data == 10)
-    per_doc = chunk.per_doc(chunk.data == 10) + 1
+    per_doc = np.diff(np.searchsorted(breaks, chunk.offsets)) + 1
     doc = np.repeat(np.arange(chunk.n), per_doc)
     first = np.cumsum(per_doc) - per_doc
     s, e = np.empty(len(doc), np.int64), np.empty(len(doc), np.int64)
