@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -77,13 +80,9 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per session.
 
     What ``spark-submit --py-files`` does; needed when the session was started
-    by a script whose workers do not have the repository on their path.
+    by a script whose workers do not have the repository on their path.  The
+    archive lies in the shared folder.
     """
-    import os
-    import tempfile
-    import zipfile
-    from pathlib import Path
-
     # Texts are long: batches of the default 10 000 rows would hold tens of MB in Python and in the JVM.
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -91,9 +90,15 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_ledgerloom_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
-    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-ship-"), "ledgerloom_package.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for p in sorted(package.rglob("*.py")):
             z.write(p, p.relative_to(package.parent))
-    context.addPyFile(archive)
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark, 'package')}/ledgerloom_package.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(held.getvalue()))
+    finally:
+        out.close()
+    context.addPyFile(path.toString())
     context._ledgerloom_shipped = True

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +45,18 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Pieces(dict):
+    """Tables of pieces, made when first asked for."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, piece: str) -> bytes:
+        made = self[piece] = self.vocabulary.piece(piece)
+        return made
+
+
 class Vocabulary:
     """Merges of a byte-level BPE vocabulary file, and prefix tables under them."""
 
@@ -62,7 +75,7 @@ class Vocabulary:
         self.blanks = regex.compile(r"\p{White_Space}{2,}")
         self.blank_pair = re.compile(r"\s\s").search  # a wider class: only says where to look
         self._follows: dict[tuple[bytes, bytes], bool] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._pieces = _Pieces(self)
 
     def merge(self, text: bytes) -> list[bytes]:
         """Plain byte-pair encoding: join the pair of least rank, again and again."""
@@ -93,17 +106,21 @@ class Vocabulary:
         token that ended the last prefix, made longer, is the likeliest.
         """
         tokens, follows, longest = self.tokens, self._follows, self.longest
+        if len(follows) > 2 * CACHE_PIECES:
+            follows.clear()
         count, last, begin = [0], [b""], 0
         for i in range(1, len(piece) + 1):
-            starts = [begin, *range(i - 1, begin, -1), *range(begin - 1, max(0, i - longest) - 1, -1)]
-            for start in starts:
+            token = piece[begin:i]
+            if follows.get((last[begin], token)):
+                count.append(count[begin] + 1)
+                last.append(token)
+                continue
+            for start in (begin, *range(i - 1, begin, -1), *range(begin - 1, max(0, i - longest) - 1, -1)):
                 token = piece[start:i]
                 if token in tokens:
                     pair = (last[start], token)
                     fits = follows.get(pair)
                     if fits is None:
-                        if len(follows) > 2 * CACHE_PIECES:
-                            follows.clear()
                         fits = follows[pair] = self._ends(*pair)
                     if fits:
                         count.append(count[start] + 1)
@@ -125,30 +142,25 @@ class Vocabulary:
             out = [count[i] for i in ends]
         if text in ("'ll", "'re", "'ve"):
             out[1] = 2  # cut after one letter it is no contraction: apostrophe, letter
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes()
 
     def _plain(self, text: str) -> np.ndarray:
         """Counts at each prefix (by characters, from 0) of a text without special strings."""
         pieces, known = self.split(text), self._pieces
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = set(pieces)
-            for p in new:
-                known[p] = self.piece(p)
-        tables = [known[p] for p in pieces]
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        tables = list(map(known.__getitem__, pieces))
         out = np.zeros(len(text) + 1, np.int32)
         if not pieces:
             return out
-        out[1:] = np.frombuffer(b"".join(tables), "<i4")
+        out[1:] = np.frombuffer(b"".join(tables), np.int32)
         sizes = np.fromiter(map(len, tables), np.int64, len(tables)) // 4
         ends = np.cumsum(sizes)
         before = np.concatenate([[0], np.cumsum(out[ends])[:-1]])
         out[1:] += np.repeat(before, sizes).astype(np.int32)
         for run in self.blanks.finditer(text) if self.blank_pair(text) else ():  # a prefix that ends in blanks takes them as one piece
             a, b = run.span()
-            out[a + 1:b + 1] = out[a] + np.frombuffer(self.piece(text[a:b]), "<i4")
+            out[a + 1:b + 1] = out[a] + np.frombuffer(self.piece(text[a:b]), np.int32)
         return out
 
     def table(self, text: str) -> np.ndarray:
