@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import materialize
-from ledgerloom.llm.textcodes import distinct_pairs, mix
+from ledgerloom.llm.textcodes import distinct_pairs, mix, release
 
 PACKED = "bucket int, block long, kind int, a binary, b binary, c binary"
 _SEVERAL = np.uint32(0xFFFFFFFF)
@@ -103,6 +103,7 @@ def _count_shared(rows: pa.Table) -> pa.Table:
             if len(mine):
                 out.append((int(blocks[i]), _COUNTS, _planes(mine), _planes(count.astype(np.uint32)), None))
     cols = list(zip(*out)) if out else [[]] * 5
+    release()
     return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
                      *(pa.array(cols[k], pa.binary()) for k in (2, 3, 4))], names=["block", "kind", "a", "b", "c"])
 

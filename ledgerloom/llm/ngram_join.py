@@ -40,7 +40,7 @@ WORDS = 5
 #: Similarity in percent.
 SIMILARITY = 75
 #: Text bytes for each bucket of the key space, and items of a block of a group (task sizes, not limits).
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 BLOCK_ITEMS = 1024
 #: Weight of the merge against a probe in the choice of the number of long lists.
 MU = 0.0085
@@ -73,7 +73,7 @@ def pack(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = grouping.Packer(buckets)
         for b in batches:
-            for chunk in chunks(b.column(0), 2 << 20):
+            for chunk in chunks(b.column(0)):
                 s = Sets(chunk)
                 _, first, item = np.unique(s.digest, return_index=True, return_inverse=True)
                 leads = np.zeros(chunk.n, bool)  # one document of each set of the block

@@ -8,6 +8,7 @@ its own.  Nulls are read as empty texts (``Chunk.null`` keeps where they were).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,14 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are reused, and the allocators would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Chunk:
     """Whole documents: ``data`` (UTF-8 bytes) and ``offsets`` (one more than documents)."""
 
@@ -84,6 +93,8 @@ def chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
         stop = min(max(stop, start + 1), len(column))
         yield Chunk(data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start], null[start:stop], start)
         start = stop
+    if start:
+        release()
 
 
 class Words:
