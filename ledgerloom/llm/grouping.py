@@ -32,6 +32,8 @@ from ledgerloom.llm.textcodes import distinct_pairs, mix, release
 PACKED = "bucket int, block long, kind int, a binary, b binary, c binary"
 _SEVERAL = np.uint32(0xFFFFFFFF)
 _ENTRIES, _HEADER, _COUNTS = 0, 1, 2
+#: As the number of keys an item needs: it is live whatever its keys are.
+LIVE = -1
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -53,7 +55,7 @@ class Packer:
         self.blocks = 0
 
     def pack(self, keys: np.ndarray, owner: np.ndarray, item: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
-        """Rows of one block: ``keys`` with their ``owner`` (place in ``item``); ``need``: live keys an item must have."""
+        """Rows of one block: ``keys`` with their ``owner`` (place in ``item``); ``need``: live keys an item must have, or LIVE."""
         block = (self.task << 32) + self.blocks
         self.blocks += 1
         h, o = distinct_pairs(keys, owner)
@@ -116,7 +118,7 @@ def _live_of_block(rows: pa.Table) -> pa.Table:
     for r in found:
         if r["kind"] == _COUNTS:
             total[_unplanes(r["a"])] += _unplanes(r["b"]).astype(np.int64)
-    return pa.table({"item": pa.array(item[(total >= need) & (need > 0)], pa.int64())})
+    return pa.table({"item": pa.array(item[(need == LIVE) | (total >= need) & (need > 0)], pa.int64())})
 
 
 def live_items(packed: DataFrame) -> DataFrame:

@@ -209,6 +209,19 @@ def test_lines_of_near_copies(llm, monkeypatch):
         assert sorted(((r.doc_id, r.n_removed, r.text) for r in got.collect()), key=KEY) == want
 
 
+def test_equal_lines_of_neighbours_whatever_the_batches(llm):
+    """Batches are cut by bytes, elsewhere in each pass; a line of two neighbouring documents only must be found."""
+    rows = [(d, f"{words(40000 + d, 30)}\n{words(50000 + d // 2, 14)}", "s") for d in range(240)]
+    docs = llm.createDataFrame(rows, DOC).coalesce(1)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = llm.conf.get(name)
+    try:
+        llm.conf.set(name, "2500")
+        assert {r.doc_id for r in line_dedup.line_report(docs).collect() if r.n_removed} == set(range(1, 240, 2))
+    finally:
+        llm.conf.set(name, before)
+
+
 def test_lines_of_nasty_rows(nasty, no_docs):
     out = line_dedup.dedup_lines(nasty)
     assert out.columns == nasty.columns and out.schema["n_chars"].dataType == nasty.schema["n_chars"].dataType
