@@ -222,6 +222,15 @@ def test_equal_lines_of_neighbours_whatever_the_batches(llm):
         llm.conf.set(name, before)
 
 
+def test_short_lines_that_repeat_go(llm):
+    """Too short for shingles, or under 30 characters; blank lines and indents stay."""
+    own = [words(60000 + d, 12) for d in range(6)]
+    rows = [(d, "\n".join(["  ", "Ab 1", own[d], "", "tel: 555-0100 ext 7", "ab 1" if d else f"x{d}", "-", "x"]), "s") for d in range(6)]
+    got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.line_report(llm.createDataFrame(rows, DOC).repartition(3)).collect()}
+    assert got[0] == (0, rows[0][1])
+    assert all(got[d] == (5, "\n".join(["  ", own[d], ""])) for d in range(1, 6))
+
+
 def test_lines_of_nasty_rows(nasty, no_docs):
     out = line_dedup.dedup_lines(nasty)
     assert out.columns == nasty.columns and out.schema["n_chars"].dataType == nasty.schema["n_chars"].dataType
