@@ -8,8 +8,10 @@ The windows searched have the size of an item and start at every word.  The CGK
 embedding walks over a window: step j copies the current word and goes on to the
 next one if a random bit of (j, word) says so, so that after an edit the walks of
 two near sequences meet again and most of their outputs agree.  A repetition
-samples ``SAMPLES`` outputs as its hash key.  How many repetitions reach
-``RECALL`` is worked out on the items themselves, with random edits at the limit.
+samples ``SAMPLES`` outputs as its hash key.  Repetitions are added
+until the share ``RECALL`` of the items, with random edits at the limit, has a key
+in common with the passage that begins where the item does, and two standard
+errors of that measurement are added to the share.
 Windows that share a key with an item are verified by banded dynamic programming.
 
 Before the walk, windows that cannot be near any item are passed over: an item of
@@ -41,6 +43,8 @@ from ledgerloom.llm.textcodes import Chunk, Words, chunks, fold, mix
 
 EDITS = 0.15
 RECALL = 0.98
+#: Edited items on which the recall is measured, for each size.
+TRIALS = 800
 SAMPLES = 4
 LEAST_WORDS = 8
 BLOCK_ITEMS = 2000
@@ -140,9 +144,9 @@ class Items:
         return int(EDITS * size)
 
     def _repetitions(self, size: int) -> int:
-        """How many keys an item with edits at the limit needs to share one with probability RECALL."""
+        """How many keys it takes until the share RECALL of items with edits at the limit has one in common with the plain item."""
         rng = np.random.default_rng(size)
-        plain = [self.words[i] for i in rng.choice(self.members[size], 48)]
+        plain = [self.words[i] for i in rng.choice(self.members[size], TRIALS)]
         edited = np.full((len(plain), size), _PAD)
         for row, w in zip(edited, plain):
             w = list(w)
@@ -152,8 +156,12 @@ class Items:
                 w[at:at + (kind != 1)] = new  # replace, insert, delete
             row[:len(w)] = w[:size]
         plain = np.stack(plain)
-        p = np.mean([np.mean(keys(plain, size, r) == keys(edited, size, r)) for r in range(24)])
-        return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - min(max(float(p), 0.02), 0.999))))
+        found, r = np.zeros(len(plain), bool), 0
+        while found.mean() < RECALL + 2 * math.sqrt(RECALL * (1 - RECALL) / TRIALS):  # two standard errors beyond
+            left = np.flatnonzero(~found)
+            found[left] = keys(plain[left], size, r) == keys(edited[left], size, r)
+            r += 1
+        return r
 
     def windows(self, chunk: Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Size, document, first word and words of the windows that share enough word pairs with items of that size."""

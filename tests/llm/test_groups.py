@@ -311,6 +311,21 @@ def test_items_are_found_with_edits_and_only_then(llm):
         assert edits(own, body[d][r.first_word:r.first_word + len(own) + 20]) == r.edits <= decontamination.EDITS * len(own)
 
 
+@pytest.mark.parametrize("size", [20, 40])
+def test_items_with_edits_at_the_limit_are_found(size):
+    rng = random.Random(size)
+    items = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(size)) for _ in range(60)]
+    docs = []
+    for k in range(900):
+        w = items[k % 60].split()
+        for _ in range(int(decontamination.EDITS * size)):
+            at, kind = rng.randrange(len(w)), rng.randrange(3)
+            w[at:at + (kind != 1)] = [f"n{rng.randrange(10**6)}"] if kind < 2 else []
+        docs.append(f"{words(k, 12)} {' '.join(w)} {words(k + 5000, 20)}")
+    row, item, _, _ = decontamination.Items(list(range(60)), items).search(pa.array(docs, pa.large_string()))
+    assert np.sum(item == row % 60) / len(docs) >= decontamination.RECALL
+
+
 def test_passages_of_nasty_rows(nasty, no_docs, benchmark_items, no_items):
     rows = decontamination.find_items(nasty, benchmark_items).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(9, 1), (9, 5)}
