@@ -8,12 +8,13 @@ source: documents are dealt to blocks of about ``BLOCK_TOKENS``, every pass has
 its own permutation of the blocks, and the last pass stops at the budget.
 
 Without a given budget the mixture takes the least one at which every source is
-used in full at least once, so nothing is dropped and small sources repeat up to
+used in full at least once, so no document with a word is dropped and small sources repeat up to
 the limit.  Only sizes per source and per block are ever brought together; the
 running sums over blocks go by buckets of blocks, so no task holds all blocks of
 a hot source.
 
-Defined cases: null and blank texts have no tokens but stay in their block; a
+Defined cases: null and blank texts have no tokens but stay in their block (one
+that holds nothing else is left out if it comes last in a used-up budget); a
 source without any token takes no part; a null source is a source of its own;
 null ids are dealt like an empty id; rows with one id go to one block, each as a
 row of its own; an empty table gives an empty mixture; other columns are kept.
