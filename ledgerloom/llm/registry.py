@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
+from ledgerloom.llm import (collocations, conversations, decontamination, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_classifier,
+                            quality_rules, simhash, token_counts, toxicity)
 from ledgerloom.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,12 @@ def _with_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    turns = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair(turns, present=F.col("present"))
+
+
 def _token_counts(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
@@ -53,11 +60,14 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": _on_documents(quality_rules.quality_rules),
         "op9_language_id": _on_documents(language_id.language_id),
         "op10_line_dedup": _on_documents(line_dedup.line_report),
+        "op11_simhash": _on_documents(simhash.near_duplicates),
+        "op12_collocations": _on_documents(collocations.collocations),
+        "op13_repaired": _repaired,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixed_sources": mixing.SQL, "op8_quality_rules": quality_rules.SQL}
+    return {"op1_mixed_sources": mixing.SQL, "op8_quality_rules": quality_rules.SQL, "op12_collocations": collocations.SQL}
 
 
 def _identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
