@@ -8,6 +8,8 @@ valid-trade rule decides later what is usable.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,35 +52,31 @@ def parse_int(c: Column | str) -> Column:
     return _strip_digit_underscores(_col(c)).try_cast("int")
 
 
-# Accepted ISO-8601 forms (the subset of Python's datetime.fromisoformat that a feed
-# uses): date 'YYYY-MM-DD' or 'YYYYMMDD'; optional time after 'T' or ' ' as HH, HH:MM,
-# HH:MM:SS or HH:MM:SS.f (1-6 digits, '.' or ','); optional offset 'Z', +HH, +HHMM,
-# +HH:MM or +HH:MM:SS.  No offset means UTC.
-_ISO = (
-    r"^(\d{4}-\d{2}-\d{2}|\d{8})"
-    r"(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
-    r"(Z|[+-]\d{2}(?::?\d{2}(?::\d{2})?)?)?)?$"
+# Accepted ISO-8601 forms (those of Python's datetime.fromisoformat): date 'YYYY-MM-DD' or
+# 'YYYYMMDD', or a week 'YYYY-Www', 'YYYY-Www-D', 'YYYYWww', 'YYYYWwwD' (Monday if no day is
+# given); optional time after 'T' or ' ' as HH, HH:MM, HH:MM:SS or HH:MM:SS.f (6 digits of f
+# count, '.' or ','), its colons all there or all left out; optional offset 'Z', +HH, +HHMM,
+# +HH:MM, +HHMMSS or +HH:MM:SS.  No offset means UTC.
+_TIME = (
+    r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
+    r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
 )
+_ISO = r"^(\d{4}-\d{2}-\d{2}|\d{8})" + _TIME
+_WEEK = r"^\d{4}(?:-W\d{2}(?:-[1-7])?|W\d{2}[1-7]?)(?:[T ].*)?$"
+# Colons in one place of a time or offset and none in another.
+_MIXED = r"(?:^[\dW-]{7,10}[T ]|^.{11,}[+-])(?:\d{2}:\d{4}|\d{4}:\d{2})"
 
 
 # The full form a feed normally carries: Spark's cast reads it as is (naive -> append Z).
 _FULL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?$"
 
 
-def parse_iso_timestamp(c: Column | str) -> Column:
-    """ISO text -> TimestampType instant, NULL when it does not parse.
+def _calendar_form(s: Column) -> Column:
+    """Any accepted form with a calendar date -> 'yyyy-MM-dd HH:mm:ss.f<offset>'.
 
-    The regex guard keeps the accepted set strict (a bare cast takes '2024',
-    '2024-1-1', '10:00').  A well-formed value is rewritten by a short chain of
-    regex replacements - split into fields, fill the missing trailing time
-    fields, default the offset to UTC - into 'yyyy-MM-dd HH:mm:ss.f<offset>',
-    which ``try_cast`` checks for calendar validity (Feb 30, hour 24 -> NULL).
-    The chain is linear (no sub-expression is used twice), so the generated
-    code stays small even when the optimizer inlines it into several operators.
-    Values already in the full 'yyyy-MM-ddTHH:mm:ss[.f][offset]' form skip the
-    chain: one match and the cast.
+    The chain is linear (no sub-expression is used twice), so the generated code
+    stays small even when the optimizer inlines it into several operators.
     """
-    s = _col(c)
     x = F.regexp_replace(s, _ISO, "$1|$2|$3|$4|$5|$6")
     # Fields can only be missing from the right: fill them.
     x = F.regexp_replace(x, r"^([^|]*)\|\|\|\|\|", "$1|00|00|00|0|")
@@ -86,14 +84,50 @@ def parse_iso_timestamp(c: Column | str) -> Column:
     x = F.regexp_replace(x, r"^([^|]*\|\d\d\|\d\d)\|\|", "$1|00|0")
     x = F.regexp_replace(x, r"^([^|]*\|\d\d\|\d\d\|\d\d)\|\|", "$1|0|")
     x = F.regexp_replace(x, r"\|$", "|Z")
-    x = F.regexp_replace(
-        x, r"^(\d{4})-?(\d\d)-?(\d\d)\|(\d\d)\|(\d\d)\|(\d\d)\|(\d+)\|(.+)$", "$1-$2-$3 $4:$5:$6.$7$8"
+    return F.regexp_replace(
+        x, r"^(\d{4})-?(\d\d)-?(\d\d)\|(\d\d)\|(\d\d)\|(\d\d)\|(\d+)\|([Z+-]\d{0,2}):?(\d{0,2}):?(\d{0,2})$",
+        "$1-$2-$3 $4:$5:$6.$7$8$9$10"
     )
+
+
+def _week_to_calendar(s: Column) -> Column:
+    """A week form with its date written as a calendar date; NULL where the year has no such week."""
+    part = lambda group: F.regexp_extract(s, r"^(\d{4})-?W(\d{2})-?([1-7]?)(.*)$", group)
+    year, week = part(1).cast("int"), part(2).cast("int")
+    day = F.coalesce(F.nullif(part(3), F.lit("")).cast("int"), F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in week 1; the 28th of December always in the last week
+    exists = (year >= 1) & (week >= 1) & (week <= F.weekofyear(F.make_date(year, F.lit(12), F.lit(28))))
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    return F.when(exists, F.concat(F.date_format(F.date_add(monday, (week - 1) * 7 + day - 1), "yyyy-MM-dd"), part(4)))
+
+
+def parse_iso_timestamp(c: Column | str) -> Column:
+    """ISO text -> TimestampType instant, NULL when it does not parse.
+
+    The regex guard keeps the accepted set strict (a bare cast takes '2024',
+    '2024-1-1', '10:00').  A well-formed value is rewritten by a short chain of
+    regex replacements - split into fields, fill the missing trailing time
+    fields, default the offset to UTC - which ``try_cast`` checks for calendar
+    validity (Feb 30, hour 24 -> NULL).  Values already in the full
+    'yyyy-MM-ddTHH:mm:ss[.f][offset]' form skip the chain: one match and the cast.
+    """
+    s = _col(c)
     # In the full form an offset is 'Z' or '+HH:MM' / '-HH:MM': its sign sits 6 from the end,
     # where a naive value always has a digit, ':' or '.'.
     zoned = (F.substring(s, -1, 1) == "Z") | F.substring(s, -6, 1).isin("+", "-")
     full = F.when(zoned, s).otherwise(F.concat(s, F.lit("Z")))
-    return F.when(s.rlike(_FULL), full.try_cast("timestamp")).when(s.rlike(_ISO), x.try_cast("timestamp"))
+    return F.when(s.rlike(_FULL), full.try_cast("timestamp")).otherwise(_interpreted(s, _other_form))
+
+
+def _other_form(s: Column) -> Column:
+    return (F.when(s.rlike(_MIXED), F.lit(None).cast("timestamp"))
+            .when(s.rlike(_ISO), _calendar_form(s).try_cast("timestamp"))
+            .when(s.rlike(_WEEK), _calendar_form(_week_to_calendar(s)).try_cast("timestamp")))
+
+
+def _interpreted(s: Column, form: Callable[[Column], Column]) -> Column:
+    """form(s) outside generated code, which a long rare branch would make too large for the JIT compiler."""
+    return F.element_at(F.transform(F.array(s), form), 1)
 
 
 def utc_date(ts: Column | str) -> Column:

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..functions.coerce import utc_date
 from ..session import scratch_dir
 
 
@@ -66,6 +67,15 @@ HOT_SEGMENT_ROWS = 1_000_000
 MICROS_PER_DAY = 86_400_000_000
 
 
+def busy_days(records: DataFrame, hot_rows: int = HOT_SEGMENT_ROWS) -> DataFrame:
+    """(instrument_id, trade_date, n): days with more than ``hot_rows`` of these records, duplicates and invalid ones counted too.
+
+    For ``hot_days`` below, where the landed records are cheaper to count than the trades made of them.
+    """
+    days = records.groupBy("instrument_id", utc_date("executed_at").alias("trade_date")).agg(F.count(F.lit(1)).alias("n"))
+    return days.where(F.col("n") > hot_rows)
+
+
 COST10, QTY4 = money.COST, "decimal(28,4)"  # narrowed so adding two sums keeps the scale
 
 
@@ -88,7 +98,11 @@ def opening_book(valid: DataFrame, since: dt.date) -> DataFrame:
 
 def opening_from_days(days: DataFrame, since: dt.date) -> DataFrame:
     """The opening book from stored day sums (``daily_pnl`` rows with ``DAY_SUMS``): no trade is read."""
-    earlier = days.where(F.col("pnl_date") < F.lit(since))
+    return opening_of_days(days.where(F.col("pnl_date") < F.lit(since)))
+
+
+def opening_of_days(earlier: DataFrame) -> DataFrame:
+    """The opening book that these stored days make, one row per instrument."""
     return earlier.groupBy("instrument_id").agg(
         F.sum("trade_count").alias("open_n"),
         F.sum(DAY_SUMS[1]).cast(COST10).alias("open_cost"),
@@ -124,15 +138,16 @@ def _legs(clean: DataFrame) -> DataFrame:
     )
 
 
-def _segmented(legs: DataFrame, segment_micros: int | None,
-               hot_rows: int | None) -> tuple[DataFrame, list[str]]:
+def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int | None,
+               hot_days: DataFrame | None) -> tuple[DataFrame, list[str]]:
     """Add the ``slice`` of the UTC day each trade falls in; segments are (day, slice).
 
     Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
     Default: slice 0 (the whole day) except for the trades of hot days, whose slice is
-    their range in (instrument, day, executed_at, trade_id) order.  Whether there are hot
-    days is found by one aggregate when the plan is made (``hot_rows=None`` skips it, for
-    data known not to be skewed).
+    their range in (instrument, day, executed_at, trade_id) order.  ``hot_days``
+    (instrument_id, trade_date, n) names them, as counted when the trades were stored;
+    without it they are found by one aggregate when the plan is made (``hot_rows=None``
+    skips both, for data known not to be skewed).
     """
     order = ["trade_date", "slice"]
     if segment_micros is not None:
@@ -142,7 +157,9 @@ def _segmented(legs: DataFrame, segment_micros: int | None,
     if hot_rows is None:
         return plain, order
     day = ["instrument_id", "trade_date"]
-    hot = legs.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    hot = hot_days
+    if hot is None:
+        hot = legs.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
     total = hot.agg(F.sum("n")).first()[0]
     if not total:
         return plain, order
@@ -181,7 +198,8 @@ def segment_carry(legs: DataFrame, order: list[str], opening: DataFrame | None =
 
 
 def positions(clean: DataFrame, segment_micros: int | None = None,
-              hot_rows: int | None = HOT_SEGMENT_ROWS, opening: DataFrame | None = None) -> DataFrame:
+              hot_rows: int | None = HOT_SEGMENT_ROWS, opening: DataFrame | None = None,
+              hot_days: DataFrame | None = None) -> DataFrame:
     """P2 + P3, one row per trade: signed quantity, prior buy cost / quantity, realised.
 
     ``prior_buy_cost`` / ``prior_buy_qty`` are NULL on an instrument's first trade
@@ -189,7 +207,7 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
     is the price of the segment's last execution (the same window ordering, so
     the same sort) and ``segment_rank`` orders segments within a day.
     """
-    legs, order = _segmented(_legs(clean), segment_micros, hot_rows)
+    legs, order = _segmented(_legs(clean), segment_micros, hot_rows, hot_days)
     keys = ["instrument_id", *order]
     ordered = Window.partitionBy(*keys).orderBy("executed_at", "trade_id")
     within = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -211,10 +229,8 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
         ~empty_frame,
         F.col("carry_qty").cast(QTY4) + F.coalesce(F.col("intra_qty"), F.lit(0)).cast(QTY4),
     )
-    realised = F.when(
-        _is_sell() & (F.coalesce(prior_qty, F.lit(0)) > 0),
-        money.realised_on_sell(F.col("price"), F.col("quantity"), prior_cost, prior_qty),
-    ).otherwise(money.zero10())
+    rows = rows.select("*", prior_cost.alias("prior_buy_cost"), prior_qty.alias("prior_buy_qty"))
+    rows = money.add_realised(rows, "realised_pnl", "price", "quantity", "prior_buy_cost", "prior_buy_qty", _is_sell())
     return rows.select(
         "instrument_id",
         "trade_date",
@@ -226,9 +242,9 @@ def positions(clean: DataFrame, segment_micros: int | None = None,
         "signed_qty",
         "buy_cost",
         "buy_qty",
-        prior_cost.alias("prior_buy_cost"),
-        prior_qty.alias("prior_buy_qty"),
-        realised.alias("realised_pnl"),
+        "prior_buy_cost",
+        "prior_buy_qty",
+        "realised_pnl",
         "segment_close",
         F.col("slice").alias("segment_rank"),
     )
@@ -273,20 +289,18 @@ def running_days(days: DataFrame, opening: DataFrame | None = None) -> DataFrame
     )
 
 
-def _unrealised(run_columns: tuple[str, str, str, str] = ("close_price", "cum_buy_cost", "cum_buy_qty", "closing_position")) -> Column:
-    return F.when(F.col("cum_buy_qty") > 0, money.unrealised_at_mark(*(F.col(c) for c in run_columns))).otherwise(money.zero10())
-
-
-def _average() -> Column:
-    return F.when(F.col("cum_buy_qty") > 0, money.to_price(money.average_cost(F.col("cum_buy_cost"), F.col("cum_buy_qty"))))
+def _valued(run: DataFrame) -> DataFrame:
+    """``run`` with ``unrealised_pnl`` at scale 10 and ``avg_cost`` (NULL before the first buy)."""
+    run = money.add_unrealised(run, "unrealised_pnl", "close_price", "cum_buy_cost", "cum_buy_qty", "closing_position")
+    return money.add_average(run, "avg_cost", "cum_buy_cost", "cum_buy_qty")
 
 
 def wide_days(valid: DataFrame) -> DataFrame:
     """The daily book before its values are narrowed to the column scales of ``daily_pnl``."""
-    run = running_days(day_totals(positions(valid)))
+    run = _valued(running_days(day_totals(positions(valid))))
     return run.select("instrument_id", "trade_date", "trade_count", "closing_position", "cum_buy_cost",
-                      F.col("realised_pnl").cast(money.SCALE10).alias("realised_pnl"),
-                      _unrealised().cast(money.SCALE10).alias("unrealised_pnl"), _average().alias("avg_cost"))
+                      F.col("realised_pnl").cast(money.SCALE10).alias("realised_pnl"), "unrealised_pnl",
+                      money.to_price(F.col("avg_cost")).alias("avg_cost"))
 
 
 DAY_SUMS = ("day_net_qty", "day_buy_cost", "day_buy_qty")
@@ -297,15 +311,15 @@ def finish(run: DataFrame, with_sums: bool = False) -> DataFrame:
 
     ``with_sums`` adds what a later opening book needs of the day (``DAY_SUMS``).
     """
-    return run.select(
+    return _valued(run).select(
         F.col("trade_date").alias("pnl_date"),
         "instrument_id",
         "trade_count",
         money.to_qty(F.col("closing_position")).alias("closing_position"),
-        _average().alias("avg_cost"),
+        money.to_price(F.col("avg_cost")).alias("avg_cost"),
         money.to_price(F.col("close_price")).alias("close_price"),
         money.to_price(F.col("realised_pnl")).alias("realised_pnl"),
-        money.to_price(_unrealised()).alias("unrealised_pnl"),
+        money.to_price(F.col("unrealised_pnl")).alias("unrealised_pnl"),
         F.current_timestamp().alias("computed_at"),
         *((F.col("net_qty").cast(QTY4).alias(DAY_SUMS[0]), F.col("day_buy_cost").cast(COST10).alias(DAY_SUMS[1]),
            F.col("day_buy_qty").cast(QTY4).alias(DAY_SUMS[2])) if with_sums else ()),
@@ -319,6 +333,7 @@ def daily_pnl(
     carry_in: bool = False,
     segment_micros: int | None = None,
     hot_rows: int | None = HOT_SEGMENT_ROWS,
+    hot_days: DataFrame | None = None,
     opening: DataFrame | None = None,
     with_sums: bool = False,
 ) -> DataFrame:
@@ -336,5 +351,11 @@ def daily_pnl(
         opening = None
     elif opening is None:
         opening = opening_book(valid, since)
-    days = day_totals(positions(clean, segment_micros, hot_rows, opening))
+    days = day_totals(positions(clean, segment_micros, hot_rows, opening, hot_days))
     return finish(running_days(days, opening), with_sums)
+
+
+def days_after(clean: DataFrame, opening: DataFrame, hot_rows: int | None = None, hot_days: DataFrame | None = None) -> DataFrame:
+    """The daily_pnl rows, with the day sums, of trades that come after an opening book; each instrument may start on its own day."""
+    days = day_totals(positions(clean, None, hot_rows, opening, hot_days))
+    return finish(running_days(days, opening), with_sums=True)

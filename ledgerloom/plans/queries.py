@@ -428,6 +428,45 @@ def q_pnl_job_since(spark, sf):
     return comparable(store.daily_pnl())
 
 
+def _seeded(spark, instruments):
+    store = _jobs.create_schema(spark)
+    _jobs.upsert_instruments(store, instruments)
+    return store
+
+
+@register("daily_pnl_refreshed")
+def q_daily_pnl_refreshed(spark, sf):
+    """The events book without one instrument's first days, then those trades as a late load, then only what changed anew."""
+    store = _seeded(spark, W.events_instruments(spark, sf))
+    feed = _derived.events_feed(spark, sf).withColumn(_csv.FEED_ORDER, F.lit(0))
+    late = (F.col("instrument_id") == "3") & (F.col("executed_at") < "2024-01-11") & (F.col("executed_at") != "")
+    _jobs.load_trades(store, feed.where(~late), source_file="events.parquet", incremental=False)
+    _jobs.compute_daily_pnl(store)
+    _jobs.load_trades(store, feed.where(late), source_file="events.parquet", incremental=False)
+    _jobs.refresh_daily_pnl(store)
+    return comparable(store.daily_pnl())
+
+
+CORRECTED_INSTRUMENT, CORRECTED_BEFORE = 7, "1994-01-01"
+
+
+@register("daily_pnl_refreshed_lineitem")
+def q_daily_pnl_refreshed_lineitem(spark, sf):
+    """The lineitem book, then old trades of one instrument sent again one dearer, then only what changed anew.
+
+    Trades that move to this instrument change another one's days as well.
+    """
+    store = _seeded(spark, W.lineitem_instruments(spark))
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet", incremental=False)
+    _jobs.compute_daily_pnl(store)
+    again = records.where((F.col("instrument_id") == str(CORRECTED_INSTRUMENT)) & (F.col("executed_at") < CORRECTED_BEFORE))
+    dearer = again.withColumn("price", (F.col("price").cast("decimal(18,6)") + 1).cast("decimal(18,6)").cast("string"))
+    _jobs.load_trades(store, dearer, source_file="lineitem.parquet", incremental=False)
+    _jobs.refresh_daily_pnl(store)
+    return comparable(store.daily_pnl())
+
+
 @register("streaming_load")
 def q_streaming_load(spark, sf):
     """The events feed dropped as CSV files, landed by the availableNow file stream."""

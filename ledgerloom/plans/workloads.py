@@ -44,12 +44,18 @@ def lineitem_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_trades(lineitem_trades(spark, sf_dir), lineitem_instruments(spark))
 
 
+def _busy(records: DataFrame, kw: dict) -> dict:
+    """Hot days counted on the landed records, before they are collapsed and joined."""
+    hot_rows = kw.get("hot_rows", book.HOT_SEGMENT_ROWS)
+    return kw if hot_rows is None or "segment_micros" in kw else {**kw, "hot_days": book.busy_days(records, hot_rows)}
+
+
 def events_daily_pnl(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return book.daily_pnl(events_valid(spark, sf_dir), **kw)
+    return book.daily_pnl(events_valid(spark, sf_dir), **_busy(events_trades(spark, sf_dir), kw))
 
 
 def lineitem_daily_pnl(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return book.daily_pnl(lineitem_valid(spark, sf_dir), **kw)
+    return book.daily_pnl(lineitem_valid(spark, sf_dir), **_busy(lineitem_records(spark, sf_dir), kw))
 
 
 def drop_volatile(df: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # A store has many small leaves here: listing them is quicker on the driver than as a job.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "10000")
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

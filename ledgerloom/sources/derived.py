@@ -56,6 +56,13 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _week_text(ts_ntz: Column) -> Column:
+    """ISO week text of a time: the year of the week's Thursday, the week and the day, then a time without colons."""
+    thursday = F.date_add(F.to_date(ts_ntz), F.lit(3) - F.weekday(ts_ntz))
+    return F.concat(F.year(thursday).cast("string"), F.lit("W"), F.lpad(F.weekofyear(ts_ntz).cast("string"), 2, "0"),
+                    (F.weekday(ts_ntz) + 1).cast("string"), F.date_format(ts_ntz, "'T'HHmmss"))
+
+
 def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as feed text that parses only in part: ids, numbers, sides and times of every malformed kind."""
     e = table(spark, sf_dir, "events")
@@ -76,7 +83,10 @@ def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                   5: F.concat(number, F.lit("x"))}, number).alias("quantity"),
         pick(13, {0: "n/a", 1: "12.3.4", 2: "", 3: "0.0000005"},
              F.col("value").cast("decimal(18,6)").cast("string")).alias("price"),
-        pick(17, {0: "2024-02-30T10:00:00", 1: "yesterday", 2: "", 3: "2024-01-05", 4: "2024-13-01T00:00:00"},
+        pick(17, {0: "2024-02-30T10:00:00", 1: "yesterday", 2: "", 3: "2024-01-05", 4: "2024-13-01T00:00:00",
+                  5: F.date_format("ts", "yyyyMMdd'T'HHmmss"), 6: F.concat(F.date_format("ts", "yyyy-MM-dd HHmm"), F.lit("+0130")),
+                  7: _week_text(F.col("ts")), 8: F.concat(F.lit("2024-W"), F.lpad((eid % 60).cast("string"), 2, "0")),
+                  9: F.date_format("ts", "yyyy-MM-dd'T'HH:mmss")},
              F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("executed_at"),
     )
 

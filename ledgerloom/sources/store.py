@@ -17,22 +17,31 @@ A commit that lost the race is put on top of the newest version when the two
 changed different parts of the manifest (``publish``).
 
 Tables:
-  trade       directories by month of the UTC trade date (rows without a time under
-              ``none``); always merged: a load that re-sends known trades rewrites the
-              months that hold their old versions, so a read is a plain scan.
-  daily_pnl   one directory per month; a run rewrites only the months it touches.
-              The files also hold each day's sums for later opening books.
+  trade       leaf directories by month of the UTC trade date (rows without a time under
+              ``none``) and bucket of trade_id, written with Spark's ``bucketBy``; always merged:
+              a load that re-sends known trades rewrites the leaves that hold their old
+              versions, so a read is a plain scan.  ``bucketed_trades`` reads leaves as a
+              bucketed table of the session catalog: a join on trade_id does not shuffle them.
+  daily_pnl   leaf directories by month and bucket of instrument_id; a run rewrites only the
+              leaves it touches.  The files also hold each day's sums for later opening books.
+  touched     per load, the instrument-days whose trades changed and how many rows landed there.
+  totals      realised sums and row counts per instrument and month of daily_pnl.
   instrument  one directory per version.
   marks       the etl_watermark rows live in the manifest itself (one per stream).
+
+The numbers of buckets are chosen when the store is created and kept in its manifest: more
+buckets make smaller leaves, less to rewrite, and more tasks for a bucketed join.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import json
 import uuid
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +55,10 @@ NO_MONTH = "none"
 #: daily_pnl as stored: with the day's exact sums.
 STORED_DAILY = T.StructType([*DAILY_PNL_SCHEMA.fields,
                              *(T.StructField(c, T.DecimalType(*size)) for c, size in zip(DAY_SUMS, ((28, 4), (37, 10), (28, 4))))])
+TOUCHED_SCHEMA = "instrument_id int, trade_date date, landed long"
+TRADE_BUCKETS, DAILY_BUCKETS = 2, 2
+
+Leaves = dict[str, list[str]]  # month -> leaf directories
 
 
 class CommitConflict(RuntimeError):
@@ -67,8 +80,11 @@ def _from_iso(s: str | None) -> dt.datetime | None:
 class TableStore:
     """The four tables of the engine under one root directory."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None,
+                 trade_buckets: int = TRADE_BUCKETS, daily_buckets: int = DAILY_BUCKETS):
+        """``trade_buckets`` and ``daily_buckets`` count for a new store; an existing one keeps its own."""
         self.spark = spark
+        self._buckets, self._fixed = {"trade": trade_buckets, "daily_pnl": daily_buckets}, False
         self.root = (root or scratch_dir(spark, "store")).rstrip("/")
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
@@ -91,7 +107,7 @@ class TableStore:
     def manifest(self, version: int | None = None) -> dict:
         v = self.version() if version is None else version
         if v == 0:
-            return {"version": 0, "trade_months": {}, "daily_pnl": {}, "instrument": None, "marks": {}}
+            return {"version": 0, "trade_months": {}, "daily_pnl": {}, "instrument": None, "marks": {}, "buckets": self._buckets}
         stream = self._fs.open(self._Path(f"{self._manifest_dir()}/v{v:010d}.json"))
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
@@ -158,15 +174,58 @@ class TableStore:
             return self.spark.createDataFrame([], TRADE_SCHEMA)
         return self.spark.read.schema(TRADE_SCHEMA).parquet(*paths)
 
-    def daily_pnl(self, manifest: dict | None = None, months: list[str] | None = None,
-                  schema: T.StructType = DAILY_PNL_SCHEMA) -> DataFrame:
-        """daily_pnl; ``months`` ('YYYY-MM') reads only those month directories, ``STORED_DAILY`` the day sums too."""
+    @contextlib.contextmanager
+    def bucketed_trades(self, paths: list[str]) -> Iterator[DataFrame]:
+        """The trades of some leaves as a bucketed table: scans and joins on trade_id need no exchange.
+
+        The table is a temporary entry of the session catalog over files that stay where they are.
+        """
+        name = f"ledgerloom_trade_{uuid.uuid4().hex}"
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRADE_SCHEMA.fields)
+        # The folder of the entry itself stays empty: every leaf is a partition with a place of its own.
+        self.spark.sql(f"CREATE TABLE {name} ({columns}, leaf STRING) USING parquet PARTITIONED BY (leaf) CLUSTERED BY (trade_id) "
+                       f"INTO {self.buckets('trade')} BUCKETS LOCATION '{self._new_dir('scan')}'")
+        try:
+            places = " ".join(f"PARTITION (leaf='{k}') LOCATION '{p}'" for k, p in enumerate(paths))
+            if places:
+                self.spark.sql(f"ALTER TABLE {name} ADD {places}")
+            yield self.spark.table(name).drop("leaf")
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def daily_pnl(self, manifest: dict | None = None, months: Iterable[str] | None = None,
+                  schema: T.StructType = DAILY_PNL_SCHEMA, buckets: Iterable[int] | None = None) -> DataFrame:
+        """daily_pnl; ``months`` ('YYYY-MM') and ``buckets`` read only those leaves, ``STORED_DAILY`` the day sums too."""
         m = manifest or self.manifest()
-        paths = [p for k, p in sorted(m["daily_pnl"].items()) if months is None or k in months]
+        return self.read_daily(self.daily_leaves(m, months, buckets), schema)
+
+    def daily_leaves(self, m: dict, months: Iterable[str] | None = None, buckets: Iterable[int] | None = None) -> list[str]:
+        months, wanted = (None if x is None else set(x) for x in (months, buckets))
+        return [p for k, leaves in sorted(m["daily_pnl"].items()) if months is None or k in months
+                for p in leaves if wanted is None or leaf_of(p)[1] in wanted]
+
+    def read_daily(self, paths: list[str], schema: T.StructType = DAILY_PNL_SCHEMA) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def touched(self, manifest: dict, since_load: int = 0) -> DataFrame:
+        """(instrument_id, trade_date, landed): what loads from number ``since_load`` on changed; repeated days are not summed."""
+        return self.read_touched([t["path"] for t in manifest.get("touched", []) if t["load"] >= since_load])
+
+    def read_touched(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], TOUCHED_SCHEMA)
+        return self.spark.read.schema(TOUCHED_SCHEMA).parquet(*paths)
+
+    def buckets(self, table: str) -> int:
+        if not self._fixed:
+            self._buckets, self._fixed = self.manifest().get("buckets", self._buckets), self.version() > 0
+        return self._buckets[table]
+
+    def daily_bucket(self, instrument: Column) -> Column:
+        return F.pmod(F.hash(instrument), F.lit(self.buckets("daily_pnl"))).cast("int")
+
     def marks(self, manifest: dict | None = None) -> DataFrame:
         m = manifest or self.manifest()
         marks = {
@@ -186,31 +245,34 @@ class TableStore:
     def _new_dir(self, table: str) -> str:
         return f"{self.root}/{table}/{uuid.uuid4().hex}"
 
-    def write_trades(self, rows: DataFrame) -> dict[str, str]:
-        """Write trades partitioned by month; month -> directory.
+    def write_trades(self, rows: DataFrame, spread: bool = True) -> Leaves:
+        """Write trades by month and bucket; month -> leaf directories.
 
-        Rows are sorted by time inside each task (no shuffle), so Parquet row-group
-        min/max on executed_at let a ``since`` read skip row groups of its first month.
+        ``spread`` first deals the rows to the buckets, so that a leaf is one file; rows
+        that come from ``bucketed_trades`` are dealt already.  Rows of a leaf are sorted by
+        instrument and time: Parquet row-group statistics on both let a read skip row groups.
         """
-        path = self._new_dir("trade")
+        n = self.buckets("trade")
+        path, name = self._new_dir("trade"), f"ledgerloom_write_{uuid.uuid4().hex}"
         month = F.coalesce(F.date_format(utc_date("executed_at"), "yyyy-MM"), F.lit(NO_MONTH))
-        (
-            rows.select(*TRADE_SCHEMA.fieldNames(), month.alias("trade_month"))
-            .sortWithinPartitions("trade_month", "executed_at")
-            .write.mode("errorifexists")
-            .partitionBy("trade_month")
-            .parquet(path)
-        )
-        return self._partitions(path, "trade_month")
-
-    def _partitions(self, path: str, column: str) -> dict[str, str]:
-        found = {}
+        dealt = rows.repartition(n, "trade_id") if spread else rows
+        out = dealt.select(*TRADE_SCHEMA.fieldNames(), month.alias("trade_month"), trade_bucket(n).alias("trade_bucket"))
+        # bucketBy needs a table; its entry in the session catalog is dropped again, the files stay.
+        (out.write.format("parquet").partitionBy("trade_month", "trade_bucket").bucketBy(n, "trade_id")
+         .sortBy("instrument_id", "executed_at").option("path", path).saveAsTable(name))
+        self.spark.sql(f"DROP TABLE {name}")
+        return self._leaves(path)
+
+    def _leaves(self, path: str) -> Leaves:
+        """The directories two levels below ``path`` (month, bucket), by month."""
+        found: Leaves = {}
         root = self._Path(path)
         if self._fs.exists(root):
-            for st in self._fs.listStatus(root):
-                name = st.getPath().getName()
-                if name.startswith(f"{column}="):
-                    found[name.split("=", 1)[1]] = f"{path}/{name}"
+            for month in self._fs.listStatus(root):
+                name = month.getPath().getName()
+                if month.isDirectory() and "=" in name:
+                    inner = [st.getPath().getName() for st in self._fs.listStatus(month.getPath())]
+                    found[name.split("=", 1)[1]] = sorted(f"{path}/{name}/{x}" for x in inner if "=" in x)
         return found
 
     def write_instruments(self, instruments: DataFrame) -> str:
@@ -218,35 +280,73 @@ class TableStore:
         instruments.select(*INSTRUMENT_SCHEMA.fieldNames()).write.mode("errorifexists").parquet(path)
         return path
 
-    def write_daily_months(self, rows: DataFrame, observation=None, metrics=()) -> dict[str, str]:
-        """Write ``rows`` partitioned by month under one new directory; month -> leaf path.
+    def write_daily_months(self, rows: DataFrame, observation=None, metrics=()) -> Leaves:
+        """Write ``rows`` by month and bucket of the instrument under one new directory; month -> leaf directories.
 
         ``observation``/``metrics`` are attached after the last exchange, i.e. in
         the stage that writes, where Spark applies each task's result once even
         when tasks or earlier stages are re-run.  Columns not in the daily_pnl
-        schema (markers for the metrics) are dropped before the write.
+        schema (markers for the metrics) are dropped before the write.  A leaf is
+        dealt to one task by a hash: nothing is sampled, so nothing runs twice.
         """
         path = self._new_dir("daily_pnl")
-        # Range partitioning: each task holds a contiguous (month, instrument) slice,
-        # so a month is spread over a few balanced tasks and files stay few per month.
-        out = rows.withColumn("pnl_month", F.date_format("pnl_date", "yyyy-MM")).repartitionByRange(
-            "pnl_month", "instrument_id"
-        )
+        out = rows.withColumns({"pnl_month": F.date_format("pnl_date", "yyyy-MM"),
+                                "pnl_bucket": self.daily_bucket(F.col("instrument_id"))}).repartition("pnl_month", "pnl_bucket")
         if observation is not None:
             out = out.observe(observation, *metrics)
         (
-            out.select(*STORED_DAILY.fieldNames(), "pnl_month")
+            out.select(*STORED_DAILY.fieldNames(), "pnl_month", "pnl_bucket")
+            .sortWithinPartitions("pnl_month", "pnl_bucket", "instrument_id", "pnl_date")
             .write.mode("errorifexists")
-            .partitionBy("pnl_month")
+            .partitionBy("pnl_month", "pnl_bucket")
             .parquet(path)
         )
-        return self._partitions(path, "pnl_month")
+        return self._leaves(path)
+
+    def write_touched(self, rows: DataFrame) -> dict:
+        """Write the instrument-days a load changed; the entry for the manifest (``most``: the fullest day's rows)."""
+        path, obs = self._new_dir("touched"), Observation("touched")
+        rows.observe(obs, F.max("landed").alias("most")).write.mode("errorifexists").parquet(path)
+        return {"path": path, "most": int(obs.get["most"] or 0)}
 
     def compact_trades(self) -> int:
-        """Fold months that several loads added to into one directory each (same rows); the new version."""
-        m = self.manifest()
-        several = [k for k, paths in m["trade_months"].items() if len(paths) > 1]
-        if not several:
-            return m["version"]
-        folded = self.write_trades(self.read_trades([p for k in several for p in m["trade_months"][k]]))
-        return self.publish(m, {"trade_months": {**m["trade_months"], **{k: [p] for k, p in folded.items()}}})
+        """Fold what several loads added to one leaf, and their counts of touched days, into one (same rows); the new version."""
+        m, changes = self.manifest(), {}
+        several = [p for paths in m["trade_months"].values() for same in by_leaf(paths).values() if len(same) > 1 for p in same]
+        if several:
+            with self.bucketed_trades(several) as rows:
+                folded = self.write_trades(rows, spread=False)
+            changes["trade_months"] = replaced(m["trade_months"], several, folded)
+        settled = [t for t in m.get("touched", []) if t["load"] < (m.get("book") or {}).get("loads", 0)]
+        if len(settled) > 1:
+            rows = self.read_touched([t["path"] for t in settled]).groupBy("instrument_id", "trade_date").agg(F.sum("landed").alias("landed"))
+            changes["touched"] = [{**self.write_touched(rows), "load": settled[-1]["load"]},
+                                  *(t for t in m["touched"] if t not in settled)]
+        return self.publish(m, changes) if changes else m["version"]
+
+
+def trade_bucket(n: int) -> Column:
+    """The bucket Spark's ``bucketBy(n, "trade_id")`` puts a row in."""
+    return F.pmod(F.hash("trade_id"), F.lit(n)).cast("int")
+
+
+def leaf_of(path: str) -> tuple[str, int]:
+    """Month and bucket of a leaf directory."""
+    month, bucket = path.rstrip("/").rsplit("/", 2)[1:]
+    return month.split("=", 1)[1], int(bucket.split("=", 1)[1])
+
+
+def by_leaf(paths: Iterable[str]) -> dict[tuple[str, int], list[str]]:
+    out: dict[tuple[str, int], list[str]] = {}
+    for p in paths:
+        out.setdefault(leaf_of(p), []).append(p)
+    return out
+
+
+def replaced(leaves: Leaves, old: Iterable[str], new: Leaves) -> Leaves:
+    """``leaves`` without the directories ``old`` and with ``new``; months left empty go."""
+    gone = set(old)
+    out = {month: [p for p in paths if p not in gone] for month, paths in leaves.items()}
+    for month, paths in new.items():
+        out[month] = [*out.get(month, []), *paths]
+    return {month: paths for month, paths in out.items() if paths}

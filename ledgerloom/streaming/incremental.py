@@ -2,11 +2,11 @@
 
 New CSV files dropped into ``input_dir`` are picked up by a file stream; each
 micro-batch runs the same load job as a batch run (``jobs.load_trades``), so the
-high-water filter, the collapse and the atomic commit are identical.  The load
-is an idempotent upsert, so the at-least-once replay of a micro-batch after a
-failure converges to the same table (``rows_loaded`` counts the replay, as a
-re-run does).  This is a batch high-water mark, not an event-time watermark:
-nothing is dropped for lateness except by the stored mark.
+high-water filter, the collapse and the atomic commit are identical.  The number of
+the micro-batch is committed with its rows, under the stream's checkpoint location: a
+micro-batch that is replayed after a failure has been committed or not, and if so
+nothing is done again, so ``rows_loaded`` counts it once.  This is a batch high-water
+mark, not an event-time watermark: nothing is dropped for lateness except by the stored mark.
 
 Streaming file sources need a declared schema and map columns by position, so
 the stream reads fields by position, headers included, and each micro-batch maps
@@ -49,7 +49,8 @@ def start_incremental_load(
         # The row position is taken per micro-batch scan, before any shuffle.
         order = F.struct("file", F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row"))
         records = by_header(batch.select("*", order.alias(FEED_ORDER))).drop("file", "_block")
-        jobs.load_trades(store, records, stream=stream, source_file=f"stream-epoch-{epoch_id}")
+        jobs.load_trades(store, records, stream=stream, source_file=f"stream-epoch-{epoch_id}",
+                         replay=(checkpoint_location, epoch_id))
 
     writer = feed_stream(spark, input_dir, max_files_per_trigger).writeStream.foreachBatch(land) \
         .option("checkpointLocation", checkpoint_location)

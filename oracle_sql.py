@@ -348,10 +348,18 @@ FROM events"""
               WHEN 4 THEN '-' || {number} WHEN 5 THEN {number} || 'x' ELSE {number} END AS q,
          CASE event_id % 13 WHEN 0 THEN 'n/a' WHEN 1 THEN '12.3.4' WHEN 2 THEN '' WHEN 3 THEN '0.0000005' ELSE CAST(CAST(value AS DECIMAL(18,6)) AS VARCHAR) END AS p,
          CASE event_id % 17 WHEN 0 THEN '2024-02-30T10:00:00' WHEN 1 THEN 'yesterday' WHEN 2 THEN '' WHEN 3 THEN '2024-01-05'
-              WHEN 4 THEN '2024-13-01T00:00:00' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS t
+              WHEN 4 THEN '2024-13-01T00:00:00' WHEN 5 THEN strftime(ts, '%Y%m%dT%H%M%S') WHEN 6 THEN strftime(ts, '%Y-%m-%d %H%M') || '+0130'
+              WHEN 7 THEN strftime(ts, '%GW%V%uT%H%M%S') WHEN 8 THEN '2024-W' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0')
+              WHEN 9 THEN strftime(ts, '%Y-%m-%dT%H:%M%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS t,
+         -- What the odd forms mean, from the time they were written from: to the second, less an offset, or the Monday of a week of 2024.
+         CASE event_id % 17 WHEN 5 THEN date_trunc('second', ts) WHEN 7 THEN date_trunc('second', ts)
+              WHEN 6 THEN date_trunc('minute', ts) - INTERVAL 90 MINUTE
+              WHEN 8 THEN CASE WHEN event_id % 60 BETWEEN 1 AND 52 THEN TIMESTAMP '2024-01-01 00:00:00' + (event_id % 60 - 1) * INTERVAL 7 DAY END
+         END AS odd
   FROM events)
 SELECT trade_id, TRY_CAST(i AS INTEGER) AS instrument_id, nullif(s, '') AS side, TRY_CAST(q AS DECIMAL(18,4)) AS quantity,
-       TRY_CAST(p AS DECIMAL(18,6)) AS price, TRY_CAST(t AS TIMESTAMP) AS executed_at, 'dirty' AS source_file FROM raw"""
+       TRY_CAST(p AS DECIMAL(18,6)) AS price, CASE WHEN CAST(substr(trade_id, 2) AS BIGINT) % 17 BETWEEN 5 AND 9 THEN odd ELSE TRY_CAST(t AS TIMESTAMP) END AS executed_at,
+       'dirty' AS source_file FROM raw"""
     out["feed_of_two_headers"] = out["feed_roundtrip"]
     out["sql_views"] = _q(ev_views, """SELECT v.pnl_date, v.symbol, v.cumulative_realised_pnl, t.pnl_rank,
        (SELECT count(*) FROM ev_valid) AS valid_rows
@@ -374,5 +382,13 @@ FROM run_view v JOIN top_view t ON t.instrument_id = v.instrument_id AND t.month
     two_trades = """li_two AS (SELECT * FROM li_b UNION ALL SELECT * FROM li_a WHERE trade_id NOT IN (SELECT trade_id FROM li_b))"""
     out["pnl_after_two_loads"] = _q([*two, two_trades, SEED_DIM, valid_cte("two_valid", "li_two", "seed_dim")]
                                     + book_ctes("two_valid", "t"), "SELECT * FROM t_pnl")
+    out["daily_pnl_refreshed"] = out["daily_pnl"]
+    sent_again = """li_again AS (SELECT * REPLACE (price + 1 AS price) FROM li_feed WHERE instrument_id = 7 AND executed_at < TIMESTAMP '1994-01-01 00:00:00')"""
+    corrected = """li_now AS (SELECT * FROM li_new UNION ALL SELECT * FROM li_trades WHERE trade_id NOT IN (SELECT trade_id FROM li_new))"""
+    out["daily_pnl_refreshed_lineitem"] = _q(
+        li_book + [sent_again, last_copy("li_new", "li_again"), corrected, valid_cte("now_valid", "li_now", "seed_dim")]
+        + book_ctes("now_valid", "n"),
+        f"SELECT {PNL_COLS} FROM n_pnl UNION ALL SELECT {PNL_COLS} FROM b_pnl "
+        "WHERE (pnl_date, instrument_id) NOT IN (SELECT (pnl_date, instrument_id) FROM n_pnl)")
     out["streaming_load"] = _q([EVENTS_FEED], "SELECT * REPLACE ('stream-epoch-0' AS source_file) FROM events_feed")
     return out

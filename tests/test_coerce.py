@@ -16,6 +16,14 @@ CASES = [
     "2024", "2024-1-1", "10:00", "2024-01-01T10:00:00+0530", "2024-01-01T10:00:00+05",
     "1969-12-31T23:59:59.999999+00:00", "2024-01-01T24:00:00", "", " 2024-01-01",
     "2024-01-01T10:00:00+05:30:15", "2024-01-01T10:00:00.1234567", "2024-13-01", "2024-01-01T10:60",
+    # Times without colons, and colons in one place only.
+    "2024-01-01T101530", "2024-01-01T1015", "20240101T101530.25", "20240101 101530,5+0530", "2024-01-01T10:15:30+053015",
+    "2024-01-01T10:1530", "2024-01-01T1015:30", "2024-01-01T10:15:30+05:3015", "2024-01-01T10:15:30+0530:15", "2024-01-01T101560",
+    "2024-01-01T1015-05:00", "2024-01-01T10153", "20240101T", "2024-01-01T10+05:30",
+    # Weeks: first and last ones, years of 52 and 53 weeks, days in the next or the former year.
+    "2024-W01", "2024W01", "2024-W01-1", "2024W017", "2020-W53-5", "2021-W53-1", "2024-W53", "2015-W53-7", "2009-W01-1",
+    "2024-W00", "2024-W54-1", "2024-W10-0", "2024-W10-8", "2024-W1-1", "2024-W10-3T10:15:30", "2024W103T101530+02", "2024-W10T10",
+    "2026-W53-4 23:59:59.999999-12:00", "2024-W10-3T10:1530", "0001-W01-1", "W10-3", "2024-w10-3",
 ]
 
 

@@ -14,7 +14,7 @@ from ledgerloom.operators.instruments import classify
 from ledgerloom.operators.watermark import read_mark
 from ledgerloom.plans import jobs
 from ledgerloom.sources.feed_csv import FeedHeaderError, read_feed_csv, write_feed_csv
-from ledgerloom.sources.store import CommitConflict
+from ledgerloom.sources.store import CommitConflict, by_leaf, leaf_of
 from ledgerloom.streaming.incremental import start_incremental_load
 from tests.conftest import Tape
 
@@ -112,9 +112,13 @@ def test_three_overlapping_loads_and_compaction(store):
     assert price == {f"t{i}": (2000 if i >= 25 else 1000 if i >= 10 else 0) + i for i in range(35)}
     Tape().buy("new", 1, "1", "2023-01-20 10:00").land(store)
     before = store.trades()
-    assert any(len(p) > 1 for p in store.manifest()["trade_months"].values())
+
+    def several():
+        return [leaf for p in store.manifest()["trade_months"].values() for leaf, same in by_leaf(p).items() if len(same) > 1]
+
+    assert several()
     store.compact_trades()
-    assert all(len(p) == 1 for p in store.manifest()["trade_months"].values())
+    assert not several()
     assert before.exceptAll(store.trades()).count() == 0 and store.trades().count() == 36
 
 
@@ -130,6 +134,51 @@ def test_reading_after_two_loads_shuffles_no_trades(spark, store):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
 
 
+def paths_of(store):
+    return {p for paths in store.manifest()["trade_months"].values() for p in paths}
+
+
+def test_one_resent_trade_rewrites_its_leaf_only(store):
+    tape = Tape()
+    for i in range(200):
+        tape.buy(f"t{i}", 1, "1", f"2023-{1 + i % 4:02d}-15 10:00")
+    tape.land(store)
+    before = paths_of(store)
+    Tape().buy("t6", 1, "2", "2023-03-15 10:00").land(store)  # stored in March, comes again in March
+    gone, new = before - paths_of(store), paths_of(store) - before
+    assert len(gone) == 1 and {leaf_of(p) for p in gone} == {leaf_of(p) for p in new} and len(new) == 1
+    assert next(iter(gone)).count("trade_month=2023-03") == 1
+    assert store.trades().count() == 200 and table(store)["t6"].price == Decimal("2.000000")
+
+
+def test_the_key_lookup_shuffles_the_batch_only_and_is_cut_by_a_bloom_filter(spark, store):
+    """The stored side is bucketed by trade_id; without a broadcast, Spark's runtime filter of the batch reaches its scan."""
+    tape, again = Tape(), Tape()
+    for i in range(300):
+        tape.buy(f"t{i:03d}", 1, "1", f"2023-{1 + i % 4:02d}-15 10:00")
+    tape.land(store)
+    stored_paths = sorted(paths_of(store))
+    for i in range(0, 300, 50):
+        again.buy(f"t{i:03d}", 1, "2", "2023-07-01 10:00")
+    landed = sorted(p for paths in store.write_trades(coerce_feed(again.frame(spark)).withColumn(
+        "ingested_at", jobs.F.current_timestamp())).values() for p in paths)
+    # The size from which on a scan is worth a filter is 10 GB by default.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        with store.bucketed_trades(stored_paths) as stored:
+            found = jobs.replaced_trades(stored, store.read_trades(landed), "t000", "t250")
+            plan, with_filter = (getattr(found._jdf.queryExecution(), k)().toString() for k in ("executedPlan", "optimizedPlan"))
+            assert sorted(r.trade_id for r in found.collect()) == [f"t{i:03d}" for i in range(0, 300, 50)]
+            text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "might_contain" in with_filter and "Bucketed: true" in text
+    assert plan.count("Exchange hashpartitioning(trade_id") == 1  # of the batch; the stored side keeps its buckets
+
+
 # ---------------------------------------------------------------- commits
 
 
@@ -166,6 +215,50 @@ def test_a_pnl_run_and_a_load_meanwhile_both_count(store, monkeypatch):
     assert jobs.sums_valid_before(store.manifest()) == dt.date(2023, 8, 2)
 
 
+def test_loads_of_two_streams_at_once_both_land(store, monkeypatch):
+    """The second to commit is merged again on top of the first, here over a trade that both hold."""
+    Tape().buy("a", 1, "10", "2023-08-01 12:00").land(store)
+    merge, done = jobs._merge, []
+
+    def merge_and_load(*args):
+        out = merge(*args)
+        if not done:
+            done.append(True)
+            done.append(Tape().buy("b", 1, "20", "2023-08-02 12:00").buy("a", 1, "11", "2023-08-01 12:00").land(store, stream="other"))
+        return out
+
+    monkeypatch.setattr(jobs, "_merge", merge_and_load)
+    out = Tape().buy("b", 2, "30", "2023-09-02 12:00").buy("c", 1, "1", "2023-08-03 12:00").land(store)
+    assert out.rows_upserted == 2
+    assert {k: int(r.price) for k, r in table(store).items()} == {"a": 11, "b": 30, "c": 1} and store.trades().count() == 3
+    m = store.manifest()
+    assert (m["marks"]["other"]["rows_loaded"], m["marks"]["trades_csv"]["rows_loaded"], m["loads"]) == (2, 3, 3)
+    # A load of the same stream meanwhile still conflicts: its mark is not the one that was read.
+    done.clear()
+
+    def merge_and_load_same(*args):
+        out = merge(*args)
+        if not done:
+            done.append(True)
+            Tape().buy("d", 1, "1", "2023-10-01 12:00").land(store)
+        return out
+
+    monkeypatch.setattr(jobs, "_merge", merge_and_load_same)
+    with pytest.raises(CommitConflict):
+        Tape().buy("e", 1, "1", "2023-10-02 12:00").land(store)
+
+
+def test_a_load_of_a_committed_number_does_nothing(store):
+    tape = Tape().buy("a", 1, "10", "2023-08-01 12:00")
+    tape.land(store, replay=("inbox", 4))
+    version, mark = store.version(), store.manifest()["marks"]
+    for number in (4, 3):
+        assert tape.land(store, replay=("inbox", number)).rows_read == 0
+    assert store.version() == version and store.manifest()["marks"] == mark
+    assert tape.land(store, replay=("other inbox", 4)).rows_upserted == 1
+    assert Tape().buy("b", 1, "1", "2023-08-02 12:00").land(store, replay=("inbox", 5)).rows_upserted == 1
+
+
 def test_dimension_keys_are_checked(spark, store):
     def given(*rows):
         return classify(spark.createDataFrame(list(rows), "instrument_id int, symbol string"))
@@ -221,6 +314,24 @@ def test_the_stream_reads_files_of_different_headers(spark, tmp_path, store):
         "T1": (1, "BUY", 5, 20), "T2": (2, "SELL", 6, 21)}
 
 
+def test_the_feed_is_scanned_once_for_each_order_of_columns(spark, tmp_path):
+    """First lines are read by themselves, also of compressed and empty files; files of one order are one scan."""
+    import gzip
+
+    (tmp_path / "a.csv").write_text(HEADER + "T1,1,BUY,5,20,2024-01-01\n")
+    (tmp_path / "b.csv").write_text("")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as out:
+        out.write("\n" + HEADER + "T3,1,BUY,5,20,2024-01-01\n")
+    rows = read_feed_csv(spark, str(tmp_path))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(r.trade_id for r in rows.collect()) == ["T1", "T3"]
+    (tmp_path / "d.csv").write_text('"side",price,"trade_id",instrument_id,executed_at,quantity\nSELL,21,T4,2,2024-01-02,6\n')
+    rows = read_feed_csv(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Join" not in plan
+    assert {r.trade_id: r.price for r in rows.collect()} == {"T1": "20", "T3": "20", "T4": "21"}
+
+
 def test_blank_and_short_lines_are_read_and_long_ones_raise(spark, tmp_path):
     good, long_ = tmp_path / "good.csv", tmp_path / "long.csv"
     good.write_text(HEADER + "T1,1,BUY,5,10,2024-01-01T10:00:00Z\n\nT2,1,SELL\n")
