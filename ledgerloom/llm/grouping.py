@@ -12,8 +12,9 @@ once, so a key list is never longer than the number of blocks, however many
 items share the key.  (Remainders may collide; that can only let an item pass,
 never drop one.)
 
-``components`` labels connected components by alternating large-star and
-small-star steps over an edge table written after every round.
+``components`` labels connected components: edges are contracted within tasks, then
+alternating large-star and small-star steps go on over an edge table written after
+every round, until every component is a star.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import materialize
+from ledgerloom.llm.skew import join_by_weight
 from ledgerloom.llm.textcodes import distinct_pairs, mix, release
 
 PACKED = "bucket int, block long, kind int, a binary, b binary, c binary"
@@ -171,27 +173,71 @@ def sieve_of(items: DataFrame) -> Sieve:
     return Sieve.build(items, items.count())
 
 
+#: Edges that a task contracts together.
+FOREST_EDGES = 1 << 18
+
+
+def _contracted(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """The same components with fewer edges (u, v), u > v, and whether each is a star around its least node.
+
+    Tasks of about FOREST_EDGES edges keep, of each run of so many, an edge from every node
+    to the least one it is connected with.
+    """
+    def forest(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+        trees = Forest(len(nodes))
+        for x, y in zip(place[:len(u)].tolist(), place[len(u):].tolist()):
+            trees.join(x, y)
+        root = trees.roots()
+        child = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[child]), pa.array(nodes[root[child]])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= 2 * FOREST_EDGES:
+                yield forest(*(np.concatenate([np.asarray(x.column(k)) for x in held]) for k in (0, 1)))
+                held, n = [], 0
+        if n:
+            yield forest(*(np.concatenate([np.asarray(x.column(k)) for x in held]) for k in (0, 1)))
+
+    edges = materialize(edges.select("u", "v"), "edges")
+    tasks = max(1, -(-edges.count() // FOREST_EDGES))
+    out = materialize(edges.coalesce(tasks).mapInArrow(run, "u long, v long"), "edges")
+    return out, tasks == 1 or _stars(out)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Every node has one edge, to a node without one."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionAll(
+        edges.select("v", F.lit(0), F.lit(1)))
+    loose = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return loose.where((F.col("below") > 1) | (F.col("below") == 1) & (F.col("above") == 1)).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of an edge table (a long, b long); component: its least node."""
-    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
-    edges = materialize(edges, "edges")
-    state = None
-    while True:
+    """(node, component) of all nodes of an edge table (a long, b long); component: its least node.
+
+    Edges are contracted task by task before each round.  A hub's edges are joined with
+    its least neighbour through ``join_by_weight``: its degree is its weight.
+    """
+    edges, done = _contracted(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v"))
+    while not done:
+        total = 2 * edges.count()
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("weight"))
+        large = (join_by_weight(both, least, ["u"], "weight", total).where(F.col("v") > F.col("u"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v"))
+        large = materialize(large.distinct(), "edges")
         # Small star: towards the least smaller neighbour; neighbours (and the node) then point to it.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
-            low.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = materialize(small, "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state:
-            break
-        state = now
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("weight"))
+        small = join_by_weight(large, low, ["u"], "weight", total).select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
+            low.select("u", F.col("m").alias("v"))).where("u != v")
+        edges, done = _contracted(small.distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 class Forest:
