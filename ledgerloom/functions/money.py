@@ -104,8 +104,10 @@ def add_value(df: DataFrame, name: str, price: str, cost: str, qty: str, units:
     # What is left to subtract is r2 / d of the last digit: half or more goes away from zero.
     up = F.when(c("_exact") > 0, c("_r2") + c("_r2") > c("_ds")).otherwise(c("_r2") + c("_r2") >= c("_ds"))
     slow = (c("_exact") - F.when(up, _unit(10)).otherwise(F.lit(0).cast("decimal(10,10)"))).cast(SCALE10)
-    fast = (c("_fast").cast("decimal(19,0)") * _unit(10)).cast(SCALE10)
-    return out.select(*df.columns, F.when(~c("_fits"), slow).when(c("_n") < 0, zero10() - fast).otherwise(fast).cast(SCALE10).alias(name))
+    fast = (c("_fast").cast("decimal(19,0)") * _unit(10)).cast(COST)
+    # 0 - x of the narrower type: a difference of two 38 digit decimals would lose a digit of scale.
+    signed = F.when(c("_n") < 0, (F.lit(0).cast(COST) - fast).cast(SCALE10)).otherwise(fast.cast(SCALE10))
+    return out.select(*df.columns, F.when(~c("_fits"), slow).otherwise(signed).alias(name))
 
 
 def add_unrealised(df: DataFrame, name: str, close: str, cum_cost: str, cum_qty: str, position: str) -> DataFrame:

@@ -16,20 +16,25 @@ def _with_instrument(daily: DataFrame, instrument: DataFrame) -> DataFrame:
     return daily.join(instrument.select("instrument_id", "symbol", "asset_class"), "instrument_id")
 
 
-def running_pnl(daily: DataFrame, instrument: DataFrame) -> DataFrame:
+def running_pnl(daily: DataFrame, instrument: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """v_running_pnl: cumulative realised per instrument; total = that + the day's unrealised.
 
     Unrealised is a point-in-time mark, never summed.  The window partitions by
     (instrument_id, symbol) - symbol is unique per instrument, so the frame is
     the same, but a symbol filter above the view can then be pushed below the
     window to the dimension scan.  One instrument has at most one row per day,
-    so no partition grows with trade volume.
+    so no partition grows with trade volume.  ``before`` (instrument_id, realised_before)
+    is what each instrument realised ahead of the first day in ``daily``.
     """
     w = Window.partitionBy("instrument_id", "symbol").orderBy("pnl_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     cum = F.sum("realised_pnl").over(w)
-    return _with_instrument(daily, instrument).select(
+    rows = _with_instrument(daily, instrument)
+    if before is not None:
+        rows = rows.join(before, "instrument_id", "left")
+        cum = (cum + F.coalesce("realised_before", F.lit(0).cast("decimal(28,6)"))).cast("decimal(28,6)")
+    return rows.select(
         *RUNNING_COLUMNS[:-2],
         cum.alias("cumulative_realised_pnl"),
         (cum + F.col("unrealised_pnl")).alias("total_pnl"),

@@ -282,6 +282,25 @@ def q_running_pnl_lineitem_all(spark, sf):
     return _views.running_pnl(*_lineitem_book(spark, sf))
 
 
+def _stored_lineitem_book(spark, sf):
+    store = _seeded(spark, W.lineitem_instruments(spark))
+    records = _derived.lineitem_feed(spark, sf).withColumnRenamed("feed_order", _csv.FEED_ORDER)
+    _jobs.load_trades(store, records, source_file="lineitem.parquet", incremental=False)
+    _jobs.compute_daily_pnl(store)
+    return store
+
+
+@register("running_pnl_stored_latest")
+def q_running_pnl_stored_latest(spark, sf):
+    """The newest rows of the stored book: the newest months, on top of what their instruments realised before."""
+    return _jobs.running_pnl(_stored_lineitem_book(spark, sf))
+
+
+@register("running_pnl_stored_from")
+def q_running_pnl_stored_from(spark, sf):
+    return _jobs.running_pnl(_stored_lineitem_book(spark, sf), symbol="AAPL", start=_dt.date(1996, 3, 5), end=_dt.date(1997, 2, 10))
+
+
 @register("top_by_month")
 def q_top_by_month(spark, sf):
     return _views.top_instruments_by_month(*_events_book(spark, sf))
@@ -447,7 +466,7 @@ def q_daily_pnl_refreshed(spark, sf):
     return comparable(store.daily_pnl())
 
 
-CORRECTED_INSTRUMENT, CORRECTED_BEFORE = 7, "1994-01-01"
+CORRECTED_INSTRUMENT, CORRECTED_BEFORE = 7, "1996-01-01"
 
 
 @register("daily_pnl_refreshed_lineitem")

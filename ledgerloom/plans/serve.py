@@ -32,9 +32,12 @@ def running_pnl(
     start: dt.date | None = None,
     end: dt.date | None = None,
     limit: int = 500,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Q2: running PnL, newest first then symbol, at most ``limit`` rows.
 
+    ``before`` (instrument_id, realised_before): what was realised ahead of the days in ``daily``.
+
     Filters apply after the running sum (a ``start`` does not reset it); only
     predicates that are set are added.  ORDER BY + LIMIT plans as a top-k
     (TakeOrderedAndProject): each task keeps ``limit`` rows, no full sort.
@@ -45,7 +48,7 @@ def running_pnl(
         # Safe below the window: a running sum only looks backwards, so days after
         # ``end`` never change the rows we keep - and the scan can skip them.
         daily = daily.where(F.col("pnl_date") <= F.lit(end))
-    out = running_view(daily, instrument)
+    out = running_view(daily, instrument, before)
     if symbol is not None:
         out = out.where(F.col("symbol") == F.lit(symbol))
     if start is not None:

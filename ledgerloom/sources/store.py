@@ -40,7 +40,9 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,8 +58,20 @@ NO_MONTH = "none"
 STORED_DAILY = T.StructType([*DAILY_PNL_SCHEMA.fields,
                              *(T.StructField(c, T.DecimalType(*size)) for c, size in zip(DAY_SUMS, ((28, 4), (37, 10), (28, 4))))])
 TOUCHED_SCHEMA = "instrument_id int, trade_date date, landed long"
+TOTALS_SCHEMA = T.StructType([T.StructField("instrument_id", T.IntegerType()), T.StructField("pnl_month", T.StringType()),
+                              T.StructField("pnl_bucket", T.IntegerType()), T.StructField("n", T.LongType()),
+                              T.StructField("realised_pnl", T.DecimalType(28, 6))])
 TRADE_BUCKETS, DAILY_BUCKETS = 2, 2
 
+
+def observed(observation: Observation) -> dict:
+    """The metrics of a finished write; none if Spark took the observed step out because its input turned out empty."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 Leaves = dict[str, list[str]]  # month -> leaf directories
 
 
@@ -303,11 +317,35 @@ class TableStore:
         )
         return self._leaves(path)
 
+    def write_totals(self, leaves: Leaves) -> dict[str, str]:
+        """Write the sums of daily_pnl leaves per instrument and month; leaf -> directory, for the manifest."""
+        paths = [p for same in leaves.values() for p in same]
+        if not paths:
+            return {}
+        path, month = self._new_dir("totals"), F.date_format("pnl_date", "yyyy-MM").alias("pnl_month")
+        (self.read_daily(paths).groupBy("instrument_id", month)
+         .agg(F.count(F.lit(1)).alias("n"), F.sum("realised_pnl").alias("realised_pnl"))
+         .withColumn("pnl_bucket", self.daily_bucket(F.col("instrument_id")))
+         .select(*TOTALS_SCHEMA.fieldNames()).write.mode("errorifexists").parquet(path))
+        return {leaf_name(p): path for p in paths}
+
+    def totals(self, manifest: dict | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """(instrument_id, pnl_month, pnl_bucket, n, realised_pnl): rows and realised sum of each instrument's months."""
+        m, wanted = manifest or self.manifest(), None if buckets is None else set(buckets)
+        current: dict[str, list[str]] = {}
+        for name, path in m.get("totals", {}).items():
+            if wanted is None or int(name.rsplit("/", 1)[1]) in wanted:
+                current.setdefault(path, []).append(name)
+        # Of a directory only the leaves that no later run has written again count.
+        name = F.concat_ws("/", "pnl_month", "pnl_bucket")
+        parts = [self.spark.read.schema(TOTALS_SCHEMA).parquet(path).where(name.isin(names)) for path, names in sorted(current.items())]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], TOTALS_SCHEMA)
+
     def write_touched(self, rows: DataFrame) -> dict:
         """Write the instrument-days a load changed; the entry for the manifest (``most``: the fullest day's rows)."""
         path, obs = self._new_dir("touched"), Observation("touched")
         rows.observe(obs, F.max("landed").alias("most")).write.mode("errorifexists").parquet(path)
-        return {"path": path, "most": int(obs.get["most"] or 0)}
+        return {"path": path, "most": int(observed(obs).get("most") or 0)}
 
     def compact_trades(self) -> int:
         """Fold what several loads added to one leaf, and their counts of touched days, into one (same rows); the new version."""
@@ -336,6 +374,10 @@ def leaf_of(path: str) -> tuple[str, int]:
     return month.split("=", 1)[1], int(bucket.split("=", 1)[1])
 
 
+def leaf_name(path: str) -> str:
+    return "{}/{}".format(*leaf_of(path))
+
+
 def by_leaf(paths: Iterable[str]) -> dict[tuple[str, int], list[str]]:
     out: dict[tuple[str, int], list[str]] = {}
     for p in paths:

@@ -311,6 +311,10 @@ FROM g_run""")
     out["running_pnl_latest"] = _q(ev_views, "SELECT * FROM run_view ORDER BY pnl_date DESC, symbol LIMIT 500")
     out["running_pnl_lineitem"] = _q(
         li_views, "SELECT * FROM run_view WHERE symbol = 'AAPL' ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["running_pnl_stored_latest"] = _q(li_views, "SELECT * FROM run_view ORDER BY pnl_date DESC, symbol LIMIT 500")
+    out["running_pnl_stored_from"] = _q(
+        li_views, "SELECT * FROM run_view WHERE symbol = 'AAPL' AND pnl_date BETWEEN DATE '1996-03-05' AND DATE '1997-02-10' "
+                  "ORDER BY pnl_date DESC, symbol LIMIT 500")
     out["running_pnl_lineitem_all"] = _q(li_views, "SELECT * FROM run_view")
     out["top_by_month"] = _q(ev_views, "SELECT * FROM top_view")
     out["top_by_month_lineitem"] = _q(li_views, "SELECT * FROM top_view")
@@ -383,7 +387,7 @@ FROM run_view v JOIN top_view t ON t.instrument_id = v.instrument_id AND t.month
     out["pnl_after_two_loads"] = _q([*two, two_trades, SEED_DIM, valid_cte("two_valid", "li_two", "seed_dim")]
                                     + book_ctes("two_valid", "t"), "SELECT * FROM t_pnl")
     out["daily_pnl_refreshed"] = out["daily_pnl"]
-    sent_again = """li_again AS (SELECT * REPLACE (price + 1 AS price) FROM li_feed WHERE instrument_id = 7 AND executed_at < TIMESTAMP '1994-01-01 00:00:00')"""
+    sent_again = """li_again AS (SELECT * REPLACE (price + 1 AS price) FROM li_feed WHERE instrument_id = 7 AND executed_at < TIMESTAMP '1996-01-01 00:00:00')"""
     corrected = """li_now AS (SELECT * FROM li_new UNION ALL SELECT * FROM li_trades WHERE trade_id NOT IN (SELECT trade_id FROM li_new))"""
     out["daily_pnl_refreshed_lineitem"] = _q(
         li_book + [sent_again, last_copy("li_new", "li_again"), corrected, valid_cte("now_valid", "li_now", "seed_dim")]

@@ -51,6 +51,16 @@ def test_landing_a_tape_again_changes_nothing(store):
     assert first.exceptAll(store.trades().drop("ingested_at")).count() == 0 and store.trades().count() == 3
 
 
+def test_an_empty_feed_lands_nothing(store):
+    """Before anything is stored, and after: no rows, no mark, and a book without days."""
+    assert Tape().land(store).rows_read == 0 and store.trades().count() == 0 and store.read_mark() is None
+    assert jobs.compute_daily_pnl(store).rows_written == 0 and store.daily_pnl().count() == 0
+    Tape().buy("a", 1, "1", "2023-08-01 12:00").land(store)
+    out = Tape().land(store)
+    assert (out.rows_read, out.rows_upserted) == (0, 0) and out.watermark_after == out.watermark_before
+    assert jobs.refresh_daily_pnl(store).rows_written == 1 and jobs.refresh_daily_pnl(store).rows_written == 0
+
+
 def test_copies_in_one_tape_collapse_to_the_last(store):
     tape = Tape()
     for price in ("7", "8", "9"):
