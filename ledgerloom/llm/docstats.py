@@ -45,6 +45,27 @@ class Stats:
             self._hashes = self.words.hashes(lower=False)
         return self._hashes
 
+    def subset(self, keep: np.ndarray) -> Stats:
+        """The same counts for the documents ``keep`` (one flag each); what was counted already is taken over."""
+        chunk, sizes = self.chunk, np.diff(self.chunk.offsets)
+        stays = np.repeat(keep, sizes)
+        out = Stats(Chunk(chunk.data[stays], np.concatenate([[0], np.cumsum(sizes[keep])]).astype(np.int64), chunk.null[keep], chunk.first))
+        out._cache = {name: v[keep] for name, v in self._cache.items() if name != "line_spans"}
+        if self._words is not None:
+            old, mine = self._words, np.repeat(keep, self._words.counts)
+            moved = np.repeat(chunk.offsets[:-1][keep] - out.chunk.offsets[:-1], old.counts[keep])
+            words = Words.__new__(Words)
+            words.chunk, words.is_word = out.chunk, old.is_word[stays]
+            words.starts, words.ends, words.counts = old.starts[mine] - moved, old.ends[mine] - moved, old.counts[keep]
+            words.offsets = np.concatenate([[0], np.cumsum(words.counts)])
+            out._words = words
+            if self._hashes is not None:
+                out._hashes = self._hashes[mine]
+        return out
+
+    def has(self, name: str) -> bool:
+        return name in self._cache
+
     def get(self, name: str) -> np.ndarray:
         if name not in self._cache:
             self._cache[name] = getattr(self, f"_{name}")()

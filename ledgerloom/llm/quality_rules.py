@@ -51,17 +51,11 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 BASE = ("too_short", "repeated_words")
 
 
-def _subset(chunk: Chunk, keep: np.ndarray) -> Chunk:
-    if keep.all():
-        return chunk
-    sizes = np.diff(chunk.offsets)[keep]
-    spans = [chunk.data[a:b] for a, b in zip(chunk.offsets[:-1][keep], chunk.offsets[1:][keep])]
-    data = np.concatenate(spans) if spans else chunk.data[:0]
-    return Chunk(data, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), chunk.null[keep], chunk.first)
-
-
 def cascade(chunk: Chunk, rules: tuple[Rule, ...]) -> tuple[np.ndarray, list[Stats], list[np.ndarray]]:
-    """Index of the rejecting rule per document (-1: kept), and the counts gathered on the way."""
+    """Index of the rule that rejected each document (-1: kept), and the counts gathered on the way.
+
+    A rejected document is taken out at once: later rules neither judge it nor count anything of it.
+    """
     stopped = np.full(chunk.n, -1)
     alive = np.arange(chunk.n)
     stats = Stats(chunk)
@@ -69,10 +63,8 @@ def cascade(chunk: Chunk, rules: tuple[Rule, ...]) -> tuple[np.ndarray, list[Sta
     for k, rule in enumerate(rules):
         bad = rule.rejects(*(stats.get(c) for c in rule.needs))
         stopped[alive[bad]] = k
-        if bad.mean() > 0.2 and k + 1 < len(rules):  # enough went: go on with the survivors only
-            keep = ~bad & (stopped[alive] < 0)
-            stats = Stats(_subset(stats.chunk, keep))
-            alive = alive[keep]
+        if bad.any() and k + 1 < len(rules):
+            stats, alive = stats.subset(~bad), alive[~bad]
             seen.append(stats)
             owners.append(alive)
             if not len(alive):
@@ -121,17 +113,14 @@ def apply_cascade(docs: DataFrame, rules: tuple[Rule, ...], id_column: str = "do
             for chunk in chunks(b.column(1)):
                 stopped, seen, owners = cascade(chunk, rules)
                 out = {id_column: b.column(0).slice(chunk.first, chunk.n)}
-                left = np.ones(chunk.n, bool)
-                left[owners[-1]] = False
-                rest = Stats(_subset(chunk, left)) if left.any() and len(seen) > 1 else None
                 for c in complete:
-                    whole = seen[0]._cache.get(c)
-                    if whole is None and rest is None:
-                        whole = seen[0].get(c)
-                    if whole is None:
-                        whole = np.zeros(chunk.n, np.int64)
-                        whole[owners[-1]] = seen[-1].get(c)
-                        whole[left] = rest.get(c)
+                    # Each document's count from the stage that counted it; the rest is counted now.
+                    whole, known = np.zeros(chunk.n, np.int64), np.zeros(chunk.n, bool)
+                    for stage, own in zip(seen, owners):
+                        if stage.has(c):
+                            whole[own], known[own] = stage.get(c), True
+                    if not known.all():
+                        whole[~known] = seen[0].subset(~known).get(c)
                     out[c] = pa.array(whole, pa.int64())
                 out["kept"] = pa.array(stopped < 0)
                 out["stopped_by"] = pa.array([names[k] if k >= 0 else None for k in stopped], pa.string())
