@@ -120,7 +120,7 @@ def build_trees(lang_names: list[str], gram: np.ndarray, n: np.ndarray) -> Trees
     if not languages:
         return Trees([], np.ones(256, np.int16), np.zeros(8, np.int32), np.zeros((1, 2, 0), np.float32))
     place = {name: i for i, name in enumerate(languages)}
-    lang = np.array([place[x] for x in lang_names], np.int8)
+    lang = np.array([place[x] for x in lang_names], np.int64)
     digits = np.stack([((gram >> (9 * k)) & 511).astype(np.int16) for k in range(ORDER, -1, -1)])  # oldest byte first
     seen = np.unique(digits[-1])
     symbol = np.ones(256, np.int16)
@@ -176,16 +176,23 @@ def build_trees(lang_names: list[str], gram: np.ndarray, n: np.ndarray) -> Trees
 
 
 def train(docs: DataFrame, learn: Column, lang_column: str = "lang", column: str = "text",
-          train_docs: int = TRAIN_DOCS) -> Trees:
-    """Trees from the rows where ``learn`` holds and the language and text are known."""
-    labelled = docs.where(learn & F.col(lang_column).isNotNull() & F.col(column).isNotNull())
-    sizes = labelled.groupBy(lang_column).count().collect()
-    none = np.zeros(0, np.int64)
-    if not sizes:
+          train_docs: int = TRAIN_DOCS, id_column: str = "doc_id") -> Trees:
+    """Trees from the rows where ``learn`` holds and the language and text are known.
+
+    Of a language with more than ``train_docs`` of them so many are drawn (expected number) by a
+    hash of id and text: how the rows lie in files doesn't matter.
+    """
+    labelled = docs.where(learn & F.col(lang_column).isNotNull() & F.col(column).isNotNull()).select(
+        F.col(lang_column).alias("lang"), F.col(column).alias("text"), F.xxhash64(id_column, column).alias("mark"))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    large = [(r[0], train_docs / r[1]) for r in sizes.where(F.col("n") > train_docs).collect()]
+    share = F.lit(1.0)
+    for name, part in large:
+        share = F.when(F.col("lang") == F.lit(name), F.lit(part)).otherwise(share)
+    rows = count_grams(labelled.where(F.pmod("mark", F.lit(1 << 30)) < share * float(1 << 30)).select("lang", "text")).toArrow()
+    if not rows.num_rows:
+        none = np.zeros(0, np.int64)
         return build_trees([], none, none)
-    drawn = labelled.sampleBy(lang_column, {r[0]: min(1.0, train_docs / r[1]) for r in sizes}, 7)
-    grams = count_grams(drawn.select(F.col(lang_column).alias("lang"), F.col(column).alias("text")))
-    rows = grams.toArrow()
     return build_trees(rows["lang"].to_pylist(), *(np.asarray(rows[c].combine_chunks()) for c in ("gram", "n")))
 
 
