@@ -12,12 +12,12 @@ model sharpens, only the bags that look toxic.  A part of the sample that
 training does not see calibrates the scores.
 
 Training takes at most ``TRAIN_DOCS`` labelled documents of each class, drawn
-by a hash of the id; scoring reads whole texts of all rows.
+by a hash of the id among the labelled ids that have a document; scoring reads whole texts of all rows.
 
 Defined cases: texts without a word (null, empty, blank) have no bag and get the
 lowest score the calibration gives; without labels of both classes every score
 is the share of label 1 (0 without labels); several labels of one id count as
-their maximum; repeated rows and null ids give a row each; other columns are not
+their maximum, and of several texts of one id the least is learnt from; repeated rows and null ids give a row each; other columns are not
 read.
 """
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import remainder
+from ledgerloom.llm.common import materialize, remainder
 from ledgerloom.llm.textcodes import IS_WORD, LOWER, Chunk, chunks
 
 #: Labelled documents that training may take: toxic, clean.
@@ -40,7 +40,7 @@ BAG_WORDS = 4
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 8
-EPOCHS = 7
+EPOCHS = 8
 _NO_BAG = -50.0
 _K = np.uint32(0x01000193)
 
@@ -232,6 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
     """Fit on a sample of the rows whose id is labelled and for which ``learn`` (over the id) holds."""
     own = labels.where(learn & F.col(label).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(
         (F.max(label) > 0).cast("int").alias("label"))
+    own = materialize(own.join(docs.select(id_column).distinct(), id_column, "left_semi"), "labelled")
     sizes = {r[0]: r[1] for r in own.groupBy("label").count().collect()}
     total = sum(sizes.values())
     if not total:
@@ -243,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
         drawn = part if drawn is None else drawn.union(part)
     drawn = drawn.select(F.col(id_column).alias("sampled_id"), "label")
     rows = (docs.select(id_column, column).join(F.broadcast(drawn), F.col(id_column) == F.col("sampled_id"))
-            .select(id_column, F.coalesce(column, F.lit("")).alias("text"), "label").dropDuplicates([id_column]).collect())
+            .groupBy(id_column).agg(F.min(F.coalesce(column, F.lit(""))).alias("text"), F.max("label").alias("label")).collect())
     rows.sort(key=lambda r: r[0])
     return fit([r[1] for r in rows], np.array([int(r[2] > 0) for r in rows]), sum(n for c, n in sizes.items() if c > 0) / total)
 
