@@ -14,6 +14,11 @@ in common with the passage that begins where the item does, and two standard
 errors of that measurement are added to the share.
 Windows that share a key with an item are verified by banded dynamic programming.
 
+Items of fewer than ``LEAST_WORDS`` words match verbatim only, by the hash of the passage.
+Items of more than ``LONG_WORDS`` words are cut into parts of at most ``PART_WORDS``: edits within the limit
+of the whole leave some part within its own limit.  Around each part that is found, the whole item is
+verified by dynamic programming over all starts, if the passage holds enough of its word pairs.
+
 Before the walk, windows that cannot be near any item are passed over: an item of
 W words within k edits shares at least W - 1 - 2k of its word pairs with the
 passage, and nothing near an item fails this test.
@@ -21,8 +26,8 @@ passage, and nothing near an item fails this test.
 Items go to the tasks in blocks of at most ``BLOCK_ITEMS``; every block is
 searched against all documents.
 
-Defined cases: null and empty texts hold nothing; items with fewer than
-``LEAST_WORDS`` words are too short to be evidence and are not searched; equal
+Defined cases: null and empty texts hold nothing; items without a word are not
+searched; ``clean`` takes items of fewer than ``EVIDENCE_WORDS`` words as no evidence (``find_items`` reports them); equal
 items are found each under its id; repeated rows and null ids are searched like
 others; an empty table on either side gives an empty result; other columns are
 not read (``clean`` keeps them).
@@ -46,7 +51,8 @@ RECALL = 0.98
 #: Edited items on which the recall is measured, for each size.
 TRIALS = 800
 SAMPLES = 4
-LEAST_WORDS = 8
+LEAST_WORDS, LONG_WORDS, PART_WORDS = 8, 128, 64
+EVIDENCE_WORDS = 3
 BLOCK_ITEMS = 2000
 _PAD = np.uint64(0x5851F42D4C957F2D)
 _TABLE_BITS = 20
@@ -59,17 +65,31 @@ def keys(rows: np.ndarray, size: int, repetition: int) -> np.ndarray:
     sample = set(rng.integers(0, 2 * size, SAMPLES).tolist())
     salts = rng.integers(0, 2**63, 2 * size // 64 + 1, dtype=np.uint64)
     rows = np.hstack([rows[:, :size], np.full((len(rows), 1), _PAD)])
-    coins = [mix(rows ^ s) for s in salts]
     row = np.arange(len(rows))
     step = np.zeros(len(rows), np.int64)
     out = np.full(len(rows), size * 1000003 + repetition, np.uint64)
     for j in range(max(sample) + 1):
+        if j % 64 == 0:
+            coins = mix(rows ^ salts[j // 64])  # one bit for each of the next 64 steps
         if j in sample:
             out = fold([out, rows[row, step]], j)
-        step = np.minimum(step + ((coins[j // 64][row, step] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64), size)
+        step = np.minimum(step + ((coins[row, step] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64), size)
     return out
 
 
+def nearest_start(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Least edits between ``item`` and any passage of ``text``, and the first word of the first such passage."""
+    back, place = text[::-1], np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)  # by reversed place: passages may end anywhere
+    for i, word in enumerate(item[::-1], 1):
+        new = np.empty_like(row)
+        new[0] = i
+        np.minimum(row[:-1] + (back != word), row[1:] + 1, out=new[1:])
+        row = np.minimum.accumulate(new - place) + place
+    least = int(row.min())
+    return least, len(text) - int(np.flatnonzero(row == least)[-1])
+
+
 def distances(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
     """Least edits between each row of ``a`` and a prefix of the same row of ``b``; limit + 1: more than limit."""
     n, size = a.shape
@@ -120,10 +140,31 @@ class Items:
                 span = slice(words.offsets[i], words.offsets[i + 1])
                 self.words.append(hashes[span])
                 pairs.append(place[span][:-1])
+        self.real = len(self.words)  # the parts of long items come after the items
+        self.part_of: list[tuple[int, int]] = []
+        self.pairs_of: dict[int, np.ndarray] = {}
+        for i, w in enumerate(self.words[:self.real]):
+            if len(w) > LONG_WORDS:
+                self.pairs_of[i] = np.unique(pairs[i])
+                cuts = -(-len(w) // PART_WORDS)
+                edge = [len(w) * k // cuts for k in range(cuts + 1)]
+                for low, high in zip(edge, edge[1:]):
+                    self.words.append(w[low:high])
+                    pairs.append(pairs[i][low:high - 1])
+                    self.part_of.append((i, low))
         by_size: dict[int, list[int]] = {}
+        brief: dict[int, list[int]] = {}
         for i, w in enumerate(self.words):
-            if len(w) >= LEAST_WORDS:
+            if LEAST_WORDS <= len(w) <= LONG_WORDS:
                 by_size.setdefault(len(w), []).append(i)
+            elif 0 < len(w) < LEAST_WORDS:
+                brief.setdefault(len(w), []).append(i)
+        self.part_sizes = {len(w) for w in self.words[self.real:]}
+        self.brief = {}
+        for size, own in brief.items():
+            k = fold([np.array([self.words[i][j] for i in own]) for j in range(size)], size)
+            order = np.argsort(k, kind="stable")
+            self.brief[size] = (k[order], np.array(own)[order])
         self.sizes = sorted(by_size)
         self.members = {s: np.array(by_size[s]) for s in self.sizes}
         self.repetitions = {s: self._repetitions(s) for s in self.sizes}
@@ -163,10 +204,51 @@ class Items:
             r += 1
         return r
 
-    def windows(self, chunk: Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def verbatim(self, words: Words, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Document, item, distance 0 and first word of the first place of each short item in a document."""
+        for size, (table, members) in self.brief.items():
+            doc_of, end = words.doc(), np.repeat(words.offsets[1:], words.counts)
+            start = np.flatnonzero(end - np.arange(len(hashes)) >= size)
+            if not len(start):
+                continue
+            k = fold([hashes[start + j] for j in range(size)], size)
+            low, many = np.searchsorted(table, k, "left"), np.searchsorted(table, k, "right")
+            many -= low
+            at = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            start, item = np.repeat(start, many), members[at]
+            same = np.array([np.array_equal(hashes[s:s + size], self.words[i]) for s, i in zip(start.tolist(), item.tolist())], bool)
+            start, item = start[same], item[same]
+            _, first = np.unique(np.stack([doc_of[start], item]), axis=1, return_index=True)
+            start, item = start[first], item[first]
+            yield doc_of[start], item, np.zeros(len(item), np.int64), start - words.offsets[doc_of[start]]
+
+    def whole(self, hits: list, words: Words, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, distance, first word) of the long items that hold around their parts (document, part, first word)."""
+        place = _pairs(words, hashes)
+        around: dict[tuple[int, int], list[int]] = {}
+        for doc, part, first in hits:
+            item, offset = self.part_of[part - self.real]
+            around.setdefault((doc, item), []).append(first - offset)
+        for (doc, item), starts in around.items():
+            size = len(self.words[item])
+            limit, slack = self.limit(size), self.limit(size) + self.limit(PART_WORDS)
+            begin, stop = words.offsets[doc], words.offsets[doc + 1]
+            starts.sort()
+            edge = [0, *(k for k in range(1, len(starts)) if starts[k] - starts[k - 1] > 2 * slack + size), len(starts)]
+            best = None
+            for low, high in zip(edge, edge[1:]):
+                first = max(begin, begin + starts[low] - slack)
+                last = min(stop, begin + starts[high - 1] + slack + size + limit)
+                if np.isin(place[first:last - 1], self.pairs_of[item]).sum() < size - 1 - 2 * limit:
+                    continue
+                d, at = nearest_start(self.words[item], hashes[first:last])
+                if d <= limit and (best is None or d < best[0]):
+                    best = (d, int(first + at - begin))
+            if best is not None:
+                yield doc, item, *best
+
+    def windows(self, words: Words, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Size, document, first word and words of the windows that share enough word pairs with items of that size."""
-        words = Words(chunk)
-        hashes = words.hashes()
         place = _pairs(words, hashes)
         doc_of, end = words.doc(), np.repeat(words.offsets[1:], words.counts)
         for group, table in enumerate(self.pair_sizes):
@@ -216,20 +298,34 @@ class Items:
         """Row, item (by place), distance and first word of every item found, the nearest passage each."""
         waiting: dict[int, list] = {}
         held: dict[int, int] = {}
-        found = []
+        found, parts = [], []
 
         def flush(size: int) -> None:
             doc, first, rows = (np.concatenate(x) for x in zip(*waiting.pop(size)))
             window, item, d = self.match(size, rows)
-            found.append((doc[window], item, d, first[window]))
+            real = item < self.real
+            found.append((doc[window][real], item[real], d[real], first[window][real]))
+            parts.extend(zip(doc[window][~real].tolist(), item[~real].tolist(), first[window][~real].tolist()))
             held.pop(size)
 
         for chunk in chunks(column):
-            for size, doc, first, rows in self.windows(chunk):
+            words = Words(chunk)
+            hashes = words.hashes()
+            found += [(doc + chunk.first, *rest) for doc, *rest in self.verbatim(words, hashes)]
+            for size, doc, first, rows in self.windows(words, hashes):
                 waiting.setdefault(size, []).append((doc + chunk.first, first, rows))
                 held[size] = held.get(size, 0) + len(rows)
                 if held[size] > _WINDOWS:
                     flush(size)
+            if self.part_sizes:  # parts are put together while their texts are at hand
+                for size in self.part_sizes & set(waiting):
+                    flush(size)
+                here = [(doc - chunk.first, part, first) for doc, part, first in parts]
+                parts.clear()
+                rows = list(self.whole(here, words, hashes))
+                if rows:
+                    doc, item, d, first = (np.array(x, np.int64) for x in zip(*rows))
+                    found.append((doc + chunk.first, item, d, first))
         for size in list(waiting):
             flush(size)
         if not found:
@@ -283,8 +379,9 @@ def _arrow(kind) -> pa.DataType:
 
 
 def clean(docs: DataFrame, items: DataFrame, column: str = "text", item_id: str = "item_id",
-          item_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
+          item_column: str = "text", least_words: int = EVIDENCE_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no item of ``least_words`` words or more, with all their columns."""
+    items = items.where(F.size(F.filter(F.split(F.col(item_column), r"[\x20\x09-\x0D]+"), lambda w: w != "")) >= least_words)
     for block in item_blocks(items, item_id, item_column):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 

@@ -326,9 +326,55 @@ def test_items_with_edits_at_the_limit_are_found(size):
     assert np.sum(item == row % 60) / len(docs) >= decontamination.RECALL
 
 
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_short_items_are_found_verbatim(size):
+    items = [" ".join(f"w{size}x{k}y{j}" for j in range(size)) for k in range(5)] + ["W1a w1b", "w1a  W1B"]
+    docs = [words(1, 30), f"{words(2, 5)} {items[1].upper()} {items[3]} {items[1]}", items[2], " ".join(items[4].split()[:-1]) + "x", "q w1a w1b", None, ""]
+    row, item, d, first = decontamination.Items(list(range(7)), [i.lower() for i in items]).search(
+        pa.array([None if t is None else t.lower() for t in docs], pa.large_string()))
+    assert sorted(zip(row.tolist(), item.tolist(), d.tolist(), first.tolist())) == [
+        (1, 1, 0, 5), (1, 3, 0, 5 + size), (2, 2, 0, 0), (4, 5, 0, 1), (4, 6, 0, 1)]
+
+
+@pytest.mark.parametrize("size", [129, 1000, 10_000])
+def test_long_items_are_found_by_their_parts(size):
+    """Spread edits just within the limit, edits crowded in one place, one edit too many, and a part alone."""
+    rng = random.Random(size)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    limit = int(decontamination.EDITS * size)
+
+    def edited(places):
+        w = list(item)
+        for p in sorted(places, reverse=True):
+            w[p:p + 1] = [] if p % 3 == 0 else [f"n{p}"] if p % 3 == 1 else [f"n{p}", w[p]]
+        return w
+
+    spread = edited(rng.sample(range(size), limit))
+    crowd = edited(range(size // 3, size // 3 + limit))
+    beyond = [f"n{k}" if k < limit + 1 else w for k, w in enumerate(item)]
+    docs = [" ".join(x) for x in ([*words(1, 9).split(), *spread, *words(2, 50).split()], crowd, beyond, item[:80], words(3, 400).split(), [*words(4, 3).split(), *item])]
+    row, found, d, first = decontamination.Items([0, 1], [" ".join(item), words(9, 20)]).search(pa.array(docs, pa.large_string()))
+    got = {r: (e, f) for r, i, e, f in zip(row.tolist(), found.tolist(), d.tolist(), first.tolist()) if i == 0}
+    assert set(got) == {0, 1, 5} and got[5] == (0, 3) and got[1][0] <= limit and got[0][0] <= limit
+    if size < 2000:
+        for r, (e, f) in got.items():
+            assert edits(item, docs[r].split()[f:f + size + limit + 1]) == e
+
+
+def test_nearest_start_is_the_least_over_all_passages():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        item, text = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(0, 25))
+        best = min((edits(item.tolist(), text[k:].tolist()), k) for k in range(len(text) + 1))
+        assert decontamination.nearest_start(item.astype(np.uint64), text.astype(np.uint64))[0] == best[0]
+
+
 def test_passages_of_nasty_rows(nasty, no_docs, benchmark_items, no_items):
     rows = decontamination.find_items(nasty, benchmark_items).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == {(9, 1), (9, 5)}
+    brief = benchmark_items.sparkSession.createDataFrame([(7, "Word"), (8, "four five"), (9, "two three four")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_items(nasty, brief).collect()} == {(5, 7), (12, 8), (12, 9), (13, 8), (13, 9)}
+    assert {r.doc_id for r in nasty.collect()} - {r.doc_id for r in decontamination.clean(nasty, brief).collect()} == {12, 13}
     kept = decontamination.clean(nasty, benchmark_items)
     assert kept.columns == nasty.columns and len(kept.collect()) == len(NASTY) - 1
     assert decontamination.find_items(nasty, no_items).collect() == []
@@ -450,6 +496,6 @@ def test_pipeline_of_nasty_and_empty_tables(llm, nasty, no_docs, benchmark_items
 
 def test_registry_covers_every_operator():
     names = list(registry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(names)
     assert language_id.ORDER == 3

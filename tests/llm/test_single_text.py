@@ -291,3 +291,52 @@ def test_model_probabilities_add_up_to_one():
 def test_model_beats_its_base_on_held_out_texts(llm):
     found = registry.queries()["op6_lm_scores"](llm, "/root/testdata/sf0.1").where("held_out").toPandas()
     assert found.score.sum() > found.base_score.sum()
+
+
+# ---------------------------------------------------------------- rules, samples, many languages
+
+
+def test_the_first_rule_that_rejects_is_named():
+    """Against every rule run on every document; counts gathered on the way are those of whole chunks."""
+    rng = random.Random(3)
+    texts = [words(k, rng.choice([10, 60, 120])) + rng.choice(["", " ###" * 30, "\nsame line\nsame line" * 20, " SHOUT" * 90, " a b c" * 60]) for k in range(300)]
+    (chunk,) = chunks(pa.array(texts + [None, "", "ten words " * 5], pa.large_string()))
+    whole = quality_rules.Stats(chunk)
+    flags = np.stack([r.rejects(*(whole.get(c) for c in r.needs)) for r in quality_rules.RULES])
+    for order in (list(range(6)), [5, 3, 1, 0, 4, 2], [4, 2, 5, 0, 1, 3]):
+        rules = tuple(quality_rules.RULES[i] for i in order)
+        stopped, seen, owners = quality_rules.cascade(chunk, rules)
+        first = np.where(flags[order].any(0), flags[order].argmax(0), -1)
+        assert (stopped == first).all() and len(set(first.tolist())) > 4
+        for stats, own in zip(seen, owners):
+            for c in quality_rules.COUNTS:
+                assert (stats.get(c) == whole.get(c)[own]).all()
+
+
+def test_three_hundred_languages(llm):
+    rows = [(k * 400 + j, f"{chr(97 + k % 10)}{chr(97 + k // 10 % 10)}{chr(97 + k // 100)} " * 6, f"lang{k:03d}") for k in range(300) for j in range(2)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = language_id.train(docs, F.lit(True))
+    assert len(trees.languages) == 300
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, trees).collect()}
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.95
+
+
+def test_what_is_learnt_does_not_depend_on_the_files(llm):
+    rows = [(k, words(k, 12), "ab"[k % 2]) for k in range(200)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = (language_id.train(d, F.lit(True), train_docs=20) for d in (docs.coalesce(1), docs.repartition(7)))
+    assert one.bits.shape == two.bits.shape and np.array_equal(one.bits, two.bits)
+    assert not np.array_equal(one.bits.shape, language_id.train(docs, F.lit(True), train_docs=200).bits.shape)
+
+
+def test_labels_without_a_document_take_no_place(llm, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, share: taken.append((texts, labels.tolist(), share)))
+    docs = llm.createDataFrame([(k, f"text {k}") for k in range(500, 520)] + [(500, "another"), (501, None)], "doc_id long, text string")
+    labels = llm.createDataFrame([(k, int(k % 2)) for k in range(520)], "doc_id long, toxic int")
+    for layout in (docs.coalesce(1), docs.repartition(5)):
+        toxicity.train(layout, labels, F.lit(True), train_docs=(4, 30))
+    texts, classes, share = taken[0]
+    assert sum(classes) == 4 and len(classes) == 14 and share == 0.5 and taken[0] == taken[1]
+    assert "text 500" not in texts and "text 501" not in texts
