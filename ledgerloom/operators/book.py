@@ -12,9 +12,9 @@ a hot instrument cannot serialise the job):
 
 1. segments: (instrument, UTC day, slice).  A day is one slice, except that the
    trades of days with more than ``hot_rows`` of them are range-partitioned by
-   (instrument, day, executed_at, trade_id) and each range is a slice, so trades
-   of one instant are cut as well.  The cut rows are written once under the
-   checkpoint folder: every later step sees the same slices.
+   (instrument, day, executed_at, trade_id) and every ``hot_rows`` rows of a sorted
+   range are a slice, so trades of one instant are cut as well.  The cut rows are
+   written once under the checkpoint folder: every later step sees the same slices.
    ``segment_micros`` instead cuts every day into slices of that width.
 2. ``segment_carry``: buy cost/qty per segment - a partial aggregate, then a
    running sum over that small table gives the carry-in (everything bought in
@@ -62,8 +62,12 @@ def clean_trades(valid: DataFrame, since: dt.date | None = None) -> DataFrame:
     return valid.where(F.col("executed_at") >= F.lit(start)).where(F.col("trade_date") >= F.lit(since))
 
 
-# A (instrument, day) with more trades than this is cut into slices of about this many.
+# A (instrument, day) with more trades than this is cut into slices of at most this many.
 HOT_SEGMENT_ROWS = 1_000_000
+# A task that cuts hot days takes about so many trades (or one slice, if that is more): small slices share a task.
+RANGE_ROWS = 200_000
+# monotonically_increasing_id: the partition above these bits, the row of the partition in them.
+ROW_BITS = 33
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -144,7 +148,8 @@ def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int | None
 
     Fixed ``segment_micros``: slice = floor(micros of the day / width), for every day.
     Default: slice 0 (the whole day) except for the trades of hot days, whose slice is
-    their range in (instrument, day, executed_at, trade_id) order.  ``hot_days``
+    their place in (instrument, day, executed_at, trade_id) order, by range and ``hot_rows``
+    rows of it; how many tasks do that follows from the trades, not from the slices.  ``hot_days``
     (instrument_id, trade_date, n) names them, as counted when the trades were stored;
     without it they are found by one aggregate when the plan is made (``hot_rows=None``
     skips both, for data known not to be skewed).
@@ -163,9 +168,13 @@ def _segmented(legs: DataFrame, segment_micros: int | None, hot_rows: int | None
     total = hot.agg(F.sum("n")).first()[0]
     if not total:
         return plain, order
-    slices = max(2, -(-total // hot_rows))
-    cut = (legs.join(hot.select(*day), day, "left_semi").repartitionByRange(slices, *day, "executed_at", "trade_id")
-           .withColumn("slice", F.spark_partition_id().cast("long")).select(*plain.columns))
+    in_order = [*day, "executed_at", "trade_id"]
+    ranges = max(2, -(-total // max(hot_rows, RANGE_ROWS)))
+    place = F.col("_place")
+    first = F.shiftleft(F.shiftright(place, ROW_BITS), ROW_BITS)
+    cut = (legs.join(hot.select(*day), day, "left_semi").repartitionByRange(ranges, *in_order).sortWithinPartitions(*in_order)
+           .withColumn("_place", F.monotonically_increasing_id())
+           .withColumn("slice", first + F.floor((place - first) / F.lit(hot_rows)).cast("long")).select(*plain.columns))
     path = scratch_dir(legs.sparkSession, "hot-days")
     cut.write.parquet(path)
     cut = legs.sparkSession.read.schema(cut.schema).parquet(path)
