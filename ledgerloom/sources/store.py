@@ -21,7 +21,8 @@ Tables:
               ``none``) and bucket of trade_id, written with Spark's ``bucketBy``; always merged:
               a load that re-sends known trades rewrites the leaves that hold their old
               versions, so a read is a plain scan.  ``bucketed_trades`` reads leaves as a
-              bucketed table of the session catalog: a join on trade_id does not shuffle them.
+              bucketed table of the session catalog: a join on trade_id does not shuffle them
+              (once buckets grow beyond ``BUCKET_ROWS`` it does: ``keyed_trades``).
   daily_pnl   leaf directories by month and bucket of instrument_id; a run rewrites only the
               leaves it touches.  The files also hold each day's sums for later opening books.
   touched     per load, the instrument-days whose trades changed and how many rows landed there.
@@ -62,6 +63,8 @@ TOTALS_SCHEMA = T.StructType([T.StructField("instrument_id", T.IntegerType()), T
                               T.StructField("pnl_bucket", T.IntegerType()), T.StructField("n", T.LongType()),
                               T.StructField("realised_pnl", T.DecimalType(28, 6))])
 TRADE_BUCKETS, DAILY_BUCKETS = 2, 2
+#: A bucketed join reads a bucket in one task.  Trades that may fill buckets beyond this are shuffled instead, in as many parts as Spark is told.
+BUCKET_ROWS = 500_000
 
 
 def observed(observation: Observation) -> dict:
@@ -259,18 +262,36 @@ class TableStore:
     def _new_dir(self, table: str) -> str:
         return f"{self.root}/{table}/{uuid.uuid4().hex}"
 
+    def fills_buckets(self, m: dict, landed: int = 0) -> bool:
+        """Whether the trades of ``m`` and ``landed`` more may make buckets of more than ``BUCKET_ROWS``.
+
+        By the rows that loads reported: re-sent trades count again, so this errs towards a shuffle.
+        """
+        return sum(mark["rows_loaded"] for mark in m["marks"].values()) + landed > BUCKET_ROWS * self.buckets("trade")
+
+    @contextlib.contextmanager
+    def keyed_trades(self, paths: list[str], shuffled: bool) -> Iterator[DataFrame]:
+        """The trades of some leaves for a join on trade_id: as a bucketed table, or plainly if the join is to shuffle them."""
+        if shuffled:
+            yield self.read_trades(paths)
+        else:
+            with self.bucketed_trades(paths) as rows:
+                yield rows
+
     def write_trades(self, rows: DataFrame, spread: bool = True) -> Leaves:
         """Write trades by month and bucket; month -> leaf directories.
 
-        ``spread`` first deals the rows to the buckets, so that a leaf is one file; rows
-        that come from ``bucketed_trades`` are dealt already.  Rows of a leaf are sorted by
+        ``spread`` first deals the rows to the leaves: a small leaf is one file, and Spark's
+        rebalancing cuts what is larger than its advisory size, so that no task takes more.  Rows
+        that come from ``bucketed_trades`` are dealt already.  Rows of a file are sorted by
         instrument and time: Parquet row-group statistics on both let a read skip row groups.
         """
         n = self.buckets("trade")
         path, name = self._new_dir("trade"), f"ledgerloom_write_{uuid.uuid4().hex}"
         month = F.coalesce(F.date_format(utc_date("executed_at"), "yyyy-MM"), F.lit(NO_MONTH))
-        dealt = rows.repartition(n, "trade_id") if spread else rows
-        out = dealt.select(*TRADE_SCHEMA.fieldNames(), month.alias("trade_month"), trade_bucket(n).alias("trade_bucket"))
+        out = rows.select(*TRADE_SCHEMA.fieldNames(), month.alias("trade_month"), trade_bucket(n).alias("trade_bucket"))
+        if spread:
+            out = out.hint("rebalance", F.col("trade_month"), F.col("trade_bucket"))
         # bucketBy needs a table; its entry in the session catalog is dropped again, the files stay.
         (out.write.format("parquet").partitionBy("trade_month", "trade_bucket").bucketBy(n, "trade_id")
          .sortBy("instrument_id", "executed_at").option("path", path).saveAsTable(name))
@@ -352,8 +373,9 @@ class TableStore:
         m, changes = self.manifest(), {}
         several = [p for paths in m["trade_months"].values() for same in by_leaf(paths).values() if len(same) > 1 for p in same]
         if several:
-            with self.bucketed_trades(several) as rows:
-                folded = self.write_trades(rows, spread=False)
+            shuffled = self.fills_buckets(m)
+            with self.keyed_trades(several, shuffled) as rows:
+                folded = self.write_trades(rows, spread=shuffled)
             changes["trade_months"] = replaced(m["trade_months"], several, folded)
         settled = [t for t in m.get("touched", []) if t["load"] < (m.get("book") or {}).get("loads", 0)]
         if len(settled) > 1:

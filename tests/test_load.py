@@ -14,6 +14,7 @@ from ledgerloom.operators.instruments import classify
 from ledgerloom.operators.watermark import read_mark
 from ledgerloom.plans import jobs
 from ledgerloom.sources.feed_csv import FeedHeaderError, read_feed_csv, write_feed_csv
+from ledgerloom.sources import store as store_module
 from ledgerloom.sources.store import CommitConflict, by_leaf, leaf_of
 from ledgerloom.streaming.incremental import start_incremental_load
 from tests.conftest import Tape
@@ -189,6 +190,45 @@ def test_the_key_lookup_shuffles_the_batch_only_and_is_cut_by_a_bloom_filter(spa
     assert plan.count("Exchange hashpartitioning(trade_id") == 1  # of the batch; the stored side keeps its buckets
 
 
+def test_a_leaf_is_written_by_as_many_tasks_as_its_size_asks_for(spark, store):
+    """The write is not held to one task a bucket: what is larger than Spark's advisory size is cut."""
+    k = jobs.F.col("id")
+    rows = spark.range(0, 40_000, 1, 8).select(
+        jobs.F.sha2(k.cast("string"), 256).alias("trade_id"), (k % 3 + 1).cast("int").alias("instrument_id"), jobs.F.lit("BUY").alias("side"),
+        k.cast("decimal(18,4)").alias("quantity"), k.cast("decimal(18,6)").alias("price"),
+        jobs.F.lit("2023-04-01T09:00:00Z").cast("timestamp").alias("executed_at"), jobs.F.lit("x").alias("source_file"),
+        jobs.F.current_timestamp().alias("ingested_at"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        leaves = store.write_trades(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert [len(p) for p in leaves.values()] == [store.buckets("trade")]
+    landed = store.read_trades([p for paths in leaves.values() for p in paths])
+    assert len(landed.inputFiles()) >= 2 * store.buckets("trade")
+    assert landed.count() == 40_000 and landed.select("trade_id").distinct().count() == 40_000
+
+
+def test_trades_that_fill_their_buckets_are_joined_by_a_shuffle(store, monkeypatch):
+    """Beyond ``BUCKET_ROWS`` no task reads a bucket whole; the merged table and the compacted one are as before."""
+    first, again = Tape(), Tape()
+    for i in range(40):
+        first.buy(f"t{i:02d}", 1, "1", f"2023-{1 + i % 2:02d}-15 10:00")
+    for i in range(20, 60):
+        again.buy(f"t{i:02d}", 1, "2", f"2023-{1 + i % 3:02d}-15 10:00")
+    first.land(store)
+    seen = {k: r.ingested_at for k, r in table(store).items()}
+    monkeypatch.setattr(store_module, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(store, "bucketed_trades", lambda paths: (_ for _ in ()).throw(AssertionError("a bucket in one task")))
+    assert not store.fills_buckets(store.manifest()) and store.fills_buckets(store.manifest(), 1)
+    again.land(store)
+    Tape().buy("new", 1, "3", "2023-01-20 10:00").land(store)
+    store.compact_trades()
+    got = table(store)
+    assert {k: int(r.price) for k, r in got.items()} == {"new": 3, **{f"t{i:02d}": 1 if i < 20 else 2 for i in range(60)}}
+    assert store.trades().count() == 61 and all(got[k].ingested_at == at for k, at in seen.items())
+
+
 # ---------------------------------------------------------------- commits
 
 
