@@ -229,6 +229,25 @@ def test_trades_that_fill_their_buckets_are_joined_by_a_shuffle(store, monkeypat
     assert store.trades().count() == 61 and all(got[k].ingested_at == at for k, at in seen.items())
 
 
+def test_a_stored_book_is_built_from_leaves_that_many_tasks_wrote(spark, store):
+    """A first load and its book: no bucket of the loaded trades was one task's, and the book counts each trade once."""
+    k = jobs.F.col("id")
+    text = {"trade_id": jobs.F.sha2(k.cast("string"), 256), "instrument_id": k % 3 + 1, "side": jobs.F.lit("BUY"), "quantity": jobs.F.lit(1),
+            "price": k % 7 + 1, "executed_at": jobs.F.concat(jobs.F.lit("2023-04-0"), (k % 2 + 1).cast("string"), jobs.F.lit("T09:00:00Z"))}
+    feed = spark.range(0, 40_000, 1, 8).select(*(c.cast("string").alias(n) for n, c in text.items()), k.alias("feed_order"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        jobs.load_trades(store, feed, incremental=False, order_col="feed_order")
+        jobs.compute_daily_pnl(store)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(store.trades().inputFiles()) >= 2 * store.buckets("trade")
+    days = {(r.pnl_date.day, r.instrument_id): (r.trade_count, r.closing_position) for r in store.daily_pnl().collect()}
+    ids = [(i % 2 + 1, i % 3 + 1) for i in range(40_000)]
+    assert {day: n for day, (n, _) in days.items()} == {day: ids.count(day) for day in set(ids)}
+    assert sorted(r.symbol for r in jobs.running_pnl(store, limit=3).collect()) == ["AAPL", "EURUSD", "MSFT"]
+
+
 # ---------------------------------------------------------------- commits
 
 
