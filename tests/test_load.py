@@ -248,6 +248,25 @@ def test_a_stored_book_is_built_from_leaves_that_many_tasks_wrote(spark, store):
     assert sorted(r.symbol for r in jobs.running_pnl(store, limit=3).collect()) == ["AAPL", "EURUSD", "MSFT"]
 
 
+def test_a_refresh_after_a_shuffled_merge_is_the_book_of_a_full_run(store, monkeypatch):
+    """Trades of one instrument sent again dearer, one moved to another: no bucket is read by one task, the book is that of a full run."""
+    monkeypatch.setattr(store_module, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(store, "bucketed_trades", lambda paths: (_ for _ in ()).throw(AssertionError("a bucket in one task")))
+    first, again = Tape(), Tape()
+    for i in range(30):
+        first.buy(f"t{i:02d}", 2, "1", f"2023-{1 + i % 3:02d}-1{i % 4} 10:00", on=1 + i % 3)
+    for i in range(0, 15, 3):
+        again.buy(f"t{i:02d}", 2, "2", f"2023-{1 + i % 3:02d}-1{i % 4} 10:00", on=1 if i else 2)
+    first.land(store)
+    jobs.compute_daily_pnl(store)
+    again.land(store)
+    assert jobs.refresh_daily_pnl(store).rows_written > 0
+    refreshed = sorted(tuple(r) for r in store.daily_pnl().drop("computed_at").collect())
+    jobs.compute_daily_pnl(store)
+    assert refreshed == sorted(tuple(r) for r in store.daily_pnl().drop("computed_at").collect())
+    assert {k: int(r.price) for k, r in table(store).items()} == {f"t{i:02d}": 2 if i < 15 and i % 3 == 0 else 1 for i in range(30)}
+
+
 # ---------------------------------------------------------------- commits
 
 
