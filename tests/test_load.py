@@ -12,7 +12,7 @@ from ledgerloom.operators.dedup import collapse_duplicates
 from ledgerloom.operators.ingest import coerce_feed
 from ledgerloom.operators.instruments import classify
 from ledgerloom.operators.watermark import read_mark
-from ledgerloom.plans import jobs
+from ledgerloom.plans import jobs, serve
 from ledgerloom.sources.feed_csv import FeedHeaderError, read_feed_csv, write_feed_csv
 from ledgerloom.sources import store as store_module
 from ledgerloom.sources.store import CommitConflict, by_leaf, leaf_of
@@ -267,6 +267,31 @@ def test_a_refresh_after_a_shuffled_merge_is_the_book_of_a_full_run(store, monke
     assert {k: int(r.price) for k, r in table(store).items()} == {f"t{i:02d}": 2 if i < 15 and i % 3 == 0 else 1 for i in range(30)}
 
 
+def land_in_many_tasks(spark, store, n=40_000):
+    """Load ``n`` fills of two months so that no bucket of them is written by one task, and compute the book."""
+    k = jobs.F.col("id")
+    text = {"trade_id": jobs.F.sha2(k.cast("string"), 256), "instrument_id": k % 3 + 1, "side": jobs.F.when(k % 5 < 3, "BUY").otherwise("SELL"),
+            "quantity": k % 4 + 1, "price": k % 7 + 1,
+            "executed_at": jobs.F.concat(jobs.F.lit("2023-0"), (k % 2 + 1).cast("string"), jobs.F.lit("-0"), (k % 4 + 1).cast("string"))}
+    feed = spark.range(0, n, 1, 8).select(*(c.cast("string").alias(x) for x, c in text.items()), k.alias("feed_order"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        jobs.load_trades(store, feed, incremental=False, order_col="feed_order")
+        jobs.compute_daily_pnl(store)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    months = store.manifest()["trade_months"]
+    assert sorted(months) == ["2023-01", "2023-02"]
+    for paths in months.values():
+        assert len(store.read_trades(paths).inputFiles()) >= 2 * store.buckets("trade")
+
+
+def test_the_newest_rows_of_a_book_whose_trades_many_tasks_wrote(spark, store):
+    land_in_many_tasks(spark, store)
+    whole = [tuple(r) for r in serve.running_pnl(store.daily_pnl(), store.instruments()).collect()]
+    assert len(whole) == 12 and [tuple(r) for r in jobs.running_pnl(store, limit=4).collect()] == whole[:4]
+
+
 # ---------------------------------------------------------------- commits
 
 
