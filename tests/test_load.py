@@ -292,6 +292,13 @@ def test_the_newest_rows_of_a_book_whose_trades_many_tasks_wrote(spark, store):
     assert len(whole) == 12 and [tuple(r) for r in jobs.running_pnl(store, limit=4).collect()] == whole[:4]
 
 
+def test_a_carried_run_over_trades_that_many_tasks_wrote_is_the_full_run(spark, store):
+    land_in_many_tasks(spark, store)
+    full = sorted(tuple(r) for r in store.daily_pnl().drop("computed_at").collect())
+    assert jobs.compute_daily_pnl(store, since=dt.date(2023, 2, 1), carry_in=True).rows_written == 6
+    assert len(full) == 12 and sorted(tuple(r) for r in store.daily_pnl().drop("computed_at").collect()) == full
+
+
 # ---------------------------------------------------------------- commits
 
 
