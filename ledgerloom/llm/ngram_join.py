@@ -79,7 +79,8 @@ def pack(docs: DataFrame, buckets: int) -> DataFrame:
                 leads = np.zeros(chunk.n, bool)  # one document of each set of the block
                 leads[first] = True
                 mine = leads[s.owner]
-                yield packer.pack(s.keys[mine], item[s.owner[mine]], s.digest[first], least_overlap(s.sizes[first]))
+                yield from packer.add(s.keys[mine], item[s.owner[mine]], s.digest[first], least_overlap(s.sizes[first]))
+        yield from packer.rest()
 
     return docs.mapInArrow(run, grouping.PACKED)
 

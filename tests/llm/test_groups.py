@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontamination, grouping, language_id, line_dedup, mixing, ngram_join, registry
-from ledgerloom.llm.textcodes import chunks
+from ledgerloom.llm.textcodes import chunks, stable_order
 
 from .conftest import ITEM, NASTY, frame, words
 
@@ -66,6 +66,51 @@ def test_components_of_random_graphs(llm):
     assert grouping.components(llm.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize("most", [4, 64])
+def test_components_over_many_tasks(llm, monkeypatch, most):
+    """Forests that outgrow a task, merged in rounds, give the least node of each component."""
+    monkeypatch.setattr(grouping, "FOREST_EDGES", most)
+    rng = random.Random(most)
+    path = rng.sample(range(5000, 9000), 300)
+    edges = [*zip(path, path[1:]), *((9500, k) for k in range(9501, 9600))] + [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]
+    rng.shuffle(edges)
+    nodes = sorted({x for a, b in edges for x in (a, b) if a != b})
+    at = {x: i for i, x in enumerate(nodes)}
+    find, join = union_find(len(nodes))
+    for a, b in edges:
+        if a != b:
+            join(at[a], at[b])
+    got = {r.node: r.component for r in grouping.components(llm.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
+    assert got == {x: nodes[find(at[x])] for x in nodes}
+
+
+def test_half_a_million_edges_are_contracted_at_once(llm, monkeypatch):
+    """A path in random order: two written tables, whatever the edges' order."""
+    written = []
+    real = grouping.materialize
+    monkeypatch.setattr(grouping, "materialize", lambda df, label: written.append(label) or real(df, label))
+    n = 600_000
+    place = lambda c: F.pmod(c * 387_421, F.lit(1_000_003))
+    edges = llm.range(n, numPartitions=4).select(place(F.col("id")).alias("a"), place(F.col("id") + 1).alias("b"))
+    assert grouping.components(edges).agg(F.count("*"), F.max("component")).first()[:] == (n + 1, 0)
+    assert len(written) == 2
+
+
+def test_least_nodes_of_paths_and_stars():
+    rng = np.random.default_rng(3)
+    order = rng.permutation(5000)
+    assert not grouping.least_nodes(order[1:], order[:-1], 5000).any()
+    assert not grouping.least_nodes(np.full(4999, 4999), np.arange(4999), 5000).any()
+    assert grouping.least_nodes(np.array([3, 4]), np.array([1, 3]), 6).tolist() == [0, 1, 2, 1, 1, 5]
+
+
+def test_order_of_equal_numbers_is_stable():
+    rng = np.random.default_rng(4)
+    for n, high in ((0, 1), (1, 1), (5000, 3), (5000, 10**9)):
+        x = rng.integers(0, high, n).astype(np.uint64)
+        assert np.array_equal(stable_order(x), np.argsort(x, kind="stable"))
+
+
 def test_a_sieve_holds_what_it_was_built_of(llm):
     items = llm.range(5000).select((F.xxhash64("id")).alias("item"))
     sieve = grouping.sieve_of(items)
@@ -222,6 +267,44 @@ def test_equal_lines_of_neighbours_whatever_the_batches(llm):
         llm.conf.set(name, before)
 
 
+@pytest.mark.parametrize("module", [line_dedup, ngram_join])
+def test_packed_rows_do_not_grow_with_the_batches(llm, module):
+    """One block of one task has a row for each bucket and a header, however many batches it came in."""
+    docs = llm.createDataFrame([(f"{words(70000 + d, 30)}\n{words(80000 + d, 14)}",) for d in range(240)], "text string").coalesce(1)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = llm.conf.get(name)
+    try:
+        llm.conf.set(name, "2500")
+        packed = module.pack(docs, 64).collect()
+    finally:
+        llm.conf.set(name, before)
+    assert len(packed) <= 65 and len({r.block for r in packed}) == 1
+
+
+def test_a_key_of_many_lines_is_sent_once_by_a_block(llm):
+    """Lines that differ in a character share most bands; a task sends each band once and links its lines itself."""
+    base = words(71000, 40)
+    items = llm.createDataFrame([(k, base[:k] + "#" + base[k + 1:]) for k in range(120)], "item long, text string").coalesce(1)
+    keyed = line_dedup.band_keys(items).collect()
+    keys = [r.key for r in keyed if r.key is not None]
+    assert len(keys) == len(set(keys)) and all(r.least is None for r in keyed if r.key is not None)
+    clustered = grouping.settled_clusters(line_dedup.band_keys(items.repartition(3)))
+    got = {r.node: r.component for r in clustered.collect()}
+    assert len(got) > 100 and set(got.values()) == {0}
+
+
+def test_the_bound_on_common_shingles_drops_no_link():
+    rng = random.Random(12)
+    base = words(72000, 60)
+    lines = [base] + ["".join(rng.choice("xyz") if rng.random() < p else c for c in base) for p in (0.005, 0.01, 0.02, 0.03, 0.05) for _ in range(8)]
+    lines += [base * 3, "ab" * 400, "ab" * 500]
+    sets = line_dedup.Sets(pa.array(lines))
+    x, y = np.triu_indices(len(lines), 1)
+    shingles = [{t[j:j + 8] for j in range(len(t) - 7)} for t in lines]
+    want = [100 * len(shingles[a] & shingles[b]) >= 75 * len(shingles[a] | shingles[b]) for a, b in zip(x, y)]
+    assert 20 < sum(want) < len(want) - 20 and sets.linked(x, y).tolist() == want
+
+
 def test_short_lines_that_repeat_go(llm):
     """Too short for shingles, or under 30 characters; blank lines and indents stay."""
     own = [words(60000 + d, 12) for d in range(6)]
